@@ -15,6 +15,11 @@ def revenue(digits: int | None = 2) -> Column:
     return amount if digits is None else F.round(amount, digits)
 
 
+def invoice_kind() -> Column:
+    """As much of the invoice number as tells a cancellation from a sale."""
+    return F.substring("InvoiceNo", 1, len(CANCELLATION_PREFIX))
+
+
 def is_sale(price: Column | None = None) -> Column:
     """A completed sale: not cancelled, something sold, at a price.
 
@@ -30,5 +35,5 @@ def has_customer() -> Column:
 
 
 def has_description() -> Column:
-    """Present and not just spaces. False, never null, for a missing name."""
-    return F.coalesce(F.trim("Description") != "", F.lit(False))
+    """Present and not just spaces. Null for a missing name, so a filter drops it."""
+    return F.trim("Description") != ""

@@ -11,26 +11,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Beyond this a double no longer holds every whole cent.
-_EXACT_CENTS = float(2**53)
+# Largest amount whose cents a double holds exactly.
+_EXACT_AMOUNT = float(2**53) / 100
 
 
 def rounded_sum(column: str = "Revenue", digits: int = 2) -> Column:
     return F.round(F.sum(column), digits)
 
 
-def cents(column: str | Column = "Revenue") -> Column:
-    """Amount in whole cents; null where it is not a number a cent count can hold."""
-    amount = F.col(column) if isinstance(column, str) else column
-    scaled = F.round(amount * 100)
-    return F.when(F.abs(scaled) <= _EXACT_CENTS, scaled.cast("bigint"))
+def is_exact(column: str = "Revenue") -> Column:
+    """Whether an amount is a number with exact cents. False for NaN, null for null."""
+    return F.abs(F.col(column)) <= _EXACT_AMOUNT
 
 
-def mean_of_cents(total: Column, n: Column) -> Column:
-    """``total`` cents over ``n`` in currency units, half a cent away from zero.
+def cents(column: str = "Revenue") -> Column:
+    """Amount in whole cents; null where :func:`is_exact` does not hold.
 
-    Null when ``n`` is 0.
+    For amounts of two decimals, adding a half and cutting off finds the cent without
+    the decimal arithmetic of a rounding.
+    """
+    return F.when(is_exact(column), F.floor(F.col(column) * 100 + 0.5))
+
+
+def mean_amount(total: Column, exact_total: Column, inexact: Column, n: Column) -> Column:
+    """Mean of ``n`` amounts to the cent, a half cent rounded away from zero.
+
+    Taken over the whole cents (``exact_total``) unless some amounts (``inexact`` of
+    them) are not made of whole cents; then over the sum of doubles. Null for no
+    amounts.
     """
     doubled = F.nullif(n * 2, F.lit(0))
-    magnitude = F.call_function("div", F.abs(total) * 2 + n, doubled)
-    return F.when(total < 0, -magnitude).otherwise(magnitude) / F.lit(100.0)
+    magnitude = F.call_function("div", F.abs(exact_total) * 2 + n, doubled)
+    exact = F.when(exact_total < 0, -magnitude).otherwise(magnitude) / F.lit(100.0)
+    plain = F.round(total / F.nullif(n, F.lit(0)), 2)
+    return F.when(inexact > 0, plain).otherwise(exact)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import lines
+from tillroll.operators.layout import reused
 from tillroll.operators.quantiles import quantiles
 
 CAPPED_COLUMNS = ("Quantity", "UnitPrice")
@@ -53,15 +54,24 @@ def median_price(df: DataFrame, relative_error: float = 0.01) -> float | None:
     return None if found is None else found[0]
 
 
+def missing_price_fill(df: DataFrame, relative_error: float = 0.01) -> float | None:
+    """The price to fill in: the median if any line lacks a price, else ``None``. Runs jobs."""
+    if df.where(F.col("UnitPrice").isNull()).isEmpty():
+        return None
+    return median_price(df, relative_error)
+
+
+def fill_price(df: DataFrame, price: float | None) -> DataFrame:
+    """Fill missing prices, NaN included; ``None`` fills nothing."""
+    return df if price is None else df.fillna({"UnitPrice": price})
+
+
 def impute_median_price(df: DataFrame, relative_error: float = 0.01) -> DataFrame:
     """Fill missing unit prices with the median, if any is missing.
 
     The fill also replaces NaN, but NaN alone does not set it off.
     """
-    if df.where(F.col("UnitPrice").isNull()).isEmpty():
-        return df
-    median = median_price(df, relative_error)
-    return df if median is None else df.fillna({"UnitPrice": median})
+    return fill_price(df, missing_price_fill(df, relative_error))
 
 
 def iqr_limits(
@@ -133,19 +143,14 @@ def iqr_outlier_counts(
     return df.agg(F.array(*measures).alias("m")).select(F.inline("m"))
 
 
-def cap_outliers_iqr(
-    df: DataFrame,
-    columns: Sequence[str],
-    k: float = 1.5,
-    relative_error: float = 0.01,
-) -> DataFrame:
+def cap_at(df: DataFrame, limits: Mapping[str, Bounds | None]) -> DataFrame:
     """Move values outside the limits to the nearest limit; rows stay.
 
     Capped columns become double. Null stays null, NaN counts as above the limit,
-    and a column without values passes through.
+    and a column without limits keeps its values.
     """
     capped = {}
-    for column, bounds in iqr_limits(df, columns, k, relative_error).items():
+    for column, bounds in limits.items():
         value = F.col(column).cast("double")
         if bounds is not None:
             # NaN sorts above every number, so `least` replaces it by the limit.
@@ -155,20 +160,34 @@ def cap_outliers_iqr(
     return df.withColumns(capped)
 
 
-def clean_full(
+def cap_outliers_iqr(
     df: DataFrame,
+    columns: Sequence[str],
     k: float = 1.5,
     relative_error: float = 0.01,
 ) -> DataFrame:
+    """:func:`cap_at` the limits the table itself gives. Runs jobs for the limits."""
+    return cap_at(df, iqr_limits(df, columns, k, relative_error))
+
+
+def clean_full(df: DataFrame, k: float = 1.5, relative_error: float = 0.01) -> DataFrame:
     """The whole cleaning chain.
 
     Known customers, named products, median price for missing ones, valid sales,
-    capped quantity and price, and revenue of the capped values. Runs the jobs of
-    :func:`impute_median_price` and :func:`iqr_limits`; the rest is lazy.
+    capped quantity and price, and revenue of the capped values.
+
+    The median and the limits run jobs. They need three narrow columns, which are
+    kept for them, so the source is read once for all statistics and once more by
+    the result.
     """
-    identified = drop_blank_description(drop_missing_customer(df))
-    sales = remove_invalid_sales(impute_median_price(identified, relative_error))
-    return add_revenue(cap_outliers_iqr(sales, CAPPED_COLUMNS, k, relative_error))
+    identified = df.where(lines.has_customer() & lines.has_description())
+    narrow = identified.select(lines.invoice_kind().alias("InvoiceNo"), *CAPPED_COLUMNS)
+    with reused(narrow) as values:
+        price = missing_price_fill(values, relative_error)
+        sold = remove_invalid_sales(fill_price(values, price))
+        limits = iqr_limits(sold, CAPPED_COLUMNS, k, relative_error)
+    sales = remove_invalid_sales(fill_price(identified, price))
+    return add_revenue(cap_at(sales, limits))
 
 
 def cleaning_audit(df: DataFrame, fill_price: float | None = None) -> DataFrame:

@@ -43,8 +43,12 @@ def reused(
     """Keep a relation while several queries read it, then let it go.
 
     Filling happens with the first query. Partitions lost with an executor are
-    computed again, so this is a saving and never a source of truth.
+    computed again, so this is a saving and never a source of truth. A relation the
+    caller keeps already stays theirs.
     """
+    if df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
     kept = df.persist(level)
     try:
         yield kept

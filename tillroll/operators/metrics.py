@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import cents, mean_of_cents, rounded_sum
+from tillroll.functions.money import cents, is_exact, mean_amount, rounded_sum
 from tillroll.sources.readers import query_sales
 
 _SALE_DATE = F.to_date
@@ -156,33 +156,18 @@ def customer_orders_revenue(df: DataFrame) -> DataFrame:
 
 
 def customer_avg_transaction(df: DataFrame) -> DataFrame:
-    """Mean invoice revenue per customer, to the cent."""
-    return (
-        invoice_totals(df)
-        .groupBy("CustomerID")
-        .agg(average_transaction_value().alias("average_transaction_value"))
-    )
-
+    """Mean invoice revenue per customer, to the cent.
 
-def invoice_totals(df: DataFrame, *more: Column) -> DataFrame:
-    """One row per customer and invoice: revenue, and the cents it is made of.
-
-    ``more`` adds measures. Only fixed-width ones keep this a hash aggregation.
+    The mean over invoices is the revenue over the number of invoices that have
+    any, so lines fold to customers in one aggregation.
     """
-    return df.groupBy("CustomerID", "InvoiceNo").agg(
-        F.sum("Revenue").alias("invoice_revenue"),
-        F.sum(cents()).alias("invoice_cents"),
-        F.count_if(F.col("Revenue").isNotNull() & cents().isNull()).alias("not_in_cents"),
-        *more,
+    return df.groupBy("CustomerID").agg(
+        average_transaction_value().alias("average_transaction_value")
     )
 
 
 def average_transaction_value() -> Column:
-    """Mean over :func:`invoice_totals` rows: exact over cents.
-
-    A revenue that is not a count of cents (NaN, or beyond 2**53) falls back to the
-    mean of the doubles.
-    """
-    exact = mean_of_cents(F.sum("invoice_cents"), F.count("invoice_revenue"))
-    plain = F.round(F.avg("invoice_revenue"), 2)
-    return F.when(F.sum("not_in_cents") > 0, plain).otherwise(exact)
+    """Revenue of a group of lines per invoice; lines without a number are one invoice."""
+    priced = F.col("Revenue").isNotNull()
+    invoices = F.count_distinct(F.when(priced, F.struct("InvoiceNo")))
+    return mean_amount(F.sum("Revenue"), F.sum(cents()), F.count_if(~is_exact()), invoices)

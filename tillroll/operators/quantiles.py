@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.layout import reused
+
 # Buckets per narrowing step, and the number of rows an interval may have for its
 # values to be counted one by one in the last step.
 _BUCKETS = 1024
@@ -40,7 +42,8 @@ def quantiles(
     if relative_error > 0:
         found = df.approxQuantile(columns, list(probabilities), relative_error)
         return {c: (values or None) for c, values in zip(columns, found)}
-    return _exact(df, columns, probabilities)
+    with reused(df.select(*columns)) as values:
+        return _exact(values, columns, probabilities)
 
 
 @dataclass(frozen=True)

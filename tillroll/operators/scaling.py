@@ -26,19 +26,20 @@ def apply_scaler(
 ) -> DataFrame:
     """Replace the columns by their z-scores; a column without spread becomes 0.
 
-    Null stays null. The fitted row is read as a scalar subquery, so it is computed
+    Null stays null. The fitted row is read as one scalar subquery, so it is computed
     once and no join is needed.
     """
     fitted = scaler.select(F.struct("*").alias("fitted")).scalar()
 
     def score(column: str) -> Column:
-        distance = F.col(column) - fitted[f"{column}_mean"]
-        spread = F.nullif(fitted[f"{column}_std"], F.lit(0.0))
+        distance = F.col(column) - F.col(f"_fitted.{column}_mean")
+        spread = F.nullif(F.col(f"_fitted.{column}_std"), F.lit(0.0))
         return F.when(F.col(column).isNotNull(), F.coalesce(distance / spread, F.lit(0.0)))
 
-    return df.withColumns({c: score(c) for c in columns})
+    with_fitted = df.withColumn("_fitted", fitted)
+    return with_fitted.withColumns({c: score(c) for c in columns}).drop("_fitted")
 
 
 def scale_features(df: DataFrame, columns: Sequence[str] = SCALED_FEATURES) -> DataFrame:
-    """Scale a table by its own statistics."""
+    """Scale a table by its own statistics. Reads the table twice."""
     return apply_scaler(df, fit_scaler(df, columns), columns)

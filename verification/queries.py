@@ -61,9 +61,12 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Churn labels with a score by a fixed rule, so that the metrics are checkable."""
+    """Churn labels with a score by a fixed rule, so that the metrics are checkable.
+
+    Checkpointed, as predictions of a model would be: metrics read them twice.
+    """
     score = F.lit(1.0) / (1 + F.col("total_purchases"))
-    return labelled(spark, sf).select(
+    return layout.checkpointed(labelled(spark, sf)).select(
         "CustomerID",
         "segment",
         "label",
@@ -102,7 +105,7 @@ def _repartition_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def _explained(spark: SparkSession, sf: str) -> DataFrame:
     """Contributions to a rule with an interaction, for every customer."""
-    rows = labelled(spark, sf)
+    rows = layout.checkpointed(labelled(spark, sf))
     rule = (
         3 * F.col("total_purchases")
         - 2 * F.col("unique_products")
@@ -181,7 +184,8 @@ def _holidays_by_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scaled(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = scaling.scale_features(customers.create_customer_features(clean_lines(spark, sf)))
+    features = layout.checkpointed(customers.create_customer_features(clean_lines(spark, sf)))
+    scaled = scaling.scale_features(features)
     return scaled.select(
         "CustomerID",
         *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in customers.SCALED_FEATURES],
