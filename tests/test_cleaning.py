@@ -1,0 +1,155 @@
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.operators import cleaning
+from tillroll.operators.profiling import null_profile
+
+
+def invoices(df):
+    return sorted(r["InvoiceNo"] for r in df.select("InvoiceNo").collect())
+
+
+def test_revenue_is_quantity_times_price(transactions):
+    revenue = cleaning.add_revenue(transactions).where("InvoiceNo = '536365'").first()["Revenue"]
+    assert revenue == 15.30
+
+
+def test_revenue_digits(make_lines):
+    lines = make_lines({"Quantity": 1, "UnitPrice": 1.005})
+    assert cleaning.add_revenue(lines).first()["Revenue"] == 1.01
+    assert cleaning.add_revenue(lines, digits=None).first()["Revenue"] == 1.005
+
+
+def test_valid_sales(transactions):
+    assert invoices(cleaning.remove_invalid_sales(transactions)) == ["536365", "536366", "536369"]
+
+
+def test_valid_sales_edges(make_lines):
+    lines = make_lines(
+        {"InvoiceNo": None},
+        {"InvoiceNo": "2", "Quantity": None},
+        {"InvoiceNo": "3", "UnitPrice": None},
+        {"InvoiceNo": "4", "UnitPrice": 0.0},
+        {"InvoiceNo": "C5"},
+        {"InvoiceNo": "c6"},
+        {"InvoiceNo": "7", "UnitPrice": float("nan")},
+    )
+    assert invoices(cleaning.remove_invalid_sales(lines)) == ["7", "c6"]
+
+
+def test_clean_data(transactions):
+    assert invoices(cleaning.clean_data(transactions)) == ["536365", "536366"]
+    kept = cleaning.clean_data(transactions, drop_missing_customer=False)
+    assert invoices(kept) == ["536365", "536366", "536369"]
+
+
+def test_blank_descriptions(make_lines):
+    lines = make_lines(
+        {"InvoiceNo": "1", "Description": None},
+        {"InvoiceNo": "2", "Description": "   "},
+        {"InvoiceNo": "3", "Description": ""},
+        {"InvoiceNo": "4", "Description": " x "},
+    )
+    assert invoices(cleaning.drop_blank_description(lines)) == ["4"]
+
+
+def test_median_fills_null_and_nan(make_lines):
+    prices = [1.0, 2.0, 9.0, None, float("nan")]
+    lines = make_lines(*[{"InvoiceNo": str(i), "UnitPrice": p} for i, p in enumerate(prices)])
+    filled = cleaning.impute_median_price(lines, relative_error=0)
+    assert [r["UnitPrice"] for r in filled.orderBy("InvoiceNo").collect()] == [1, 2, 9, 2, 2]
+
+
+def test_nan_alone_is_not_filled(make_lines):
+    lines = make_lines({"UnitPrice": 1.0}, {"UnitPrice": float("nan")})
+    filled = cleaning.impute_median_price(lines, relative_error=0)
+    assert filled.where(F.isnan("UnitPrice")).count() == 1
+
+
+def test_cap_edges(make_lines):
+    prices = [1.0, 2.0, 3.0, 4.0, 1000.0, None, float("nan")]
+    lines = make_lines(*[{"InvoiceNo": str(i), "UnitPrice": p} for i, p in enumerate(prices)])
+    capped = cleaning.cap_outliers_iqr(lines, ["UnitPrice", "Quantity"], relative_error=0)
+    found = [r["UnitPrice"] for r in capped.orderBy("InvoiceNo").collect()]
+    # Quartiles 2 and 4, so the limits are -1 and 7.
+    assert found == [1.0, 2.0, 3.0, 4.0, 7.0, None, 7.0]
+    assert dict(capped.dtypes)["Quantity"] == "double"
+    assert capped.count() == lines.count()
+
+
+@pytest.mark.parametrize("relative_error", [0, 0.01])
+def test_no_rows_give_no_limits(make_lines, relative_error):
+    empty = make_lines({"UnitPrice": 1.0}).where("false")
+    assert cleaning.iqr_bounds(empty, relative_error=relative_error).count() == 0
+    assert cleaning.iqr_outliers(empty, relative_error=relative_error).count() == 0
+    assert cleaning.clean_full(empty, relative_error=relative_error).count() == 0
+    assert cleaning.median_price(empty, relative_error) is None
+
+
+def test_all_prices_missing(make_lines):
+    lines = make_lines({"UnitPrice": None}, {"UnitPrice": None})
+    assert cleaning.impute_median_price(lines, relative_error=0).count() == 2
+    assert cleaning.clean_full(lines, relative_error=0).count() == 0
+
+
+def test_clean_full_by_hand(make_lines):
+    prices = [1.0, 2.0, 3.0, 4.0, 1000.0, None]
+    rows = [{"InvoiceNo": str(i), "UnitPrice": p, "Quantity": 2} for i, p in enumerate(prices)]
+    rows += [
+        {"InvoiceNo": "C7", "UnitPrice": 3.0},
+        {"InvoiceNo": "8", "CustomerID": None},
+        {"InvoiceNo": "9", "Description": " "},
+    ]
+    cleaned = cleaning.clean_full(make_lines(*rows), relative_error=0)
+    found = {r["InvoiceNo"]: (r["Quantity"], r["UnitPrice"], r["Revenue"]) for r in cleaned.collect()}
+    # The median over named lines of customers is 3 (the cancellation counts); then
+    # quartiles 2 and 4 give an upper limit of 7.
+    assert found == {
+        "0": (2.0, 1.0, 2.0),
+        "1": (2.0, 2.0, 4.0),
+        "2": (2.0, 3.0, 6.0),
+        "3": (2.0, 4.0, 8.0),
+        "4": (2.0, 7.0, 14.0),
+        "5": (2.0, 3.0, 6.0),
+    }
+
+
+def test_clean_full_leaves_nothing_cached(spark, make_lines):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    cleaning.clean_full(make_lines({"UnitPrice": 1.0}), relative_error=0).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_audit_adds_up(make_lines):
+    lines = make_lines(
+        {},
+        {"CustomerID": None},
+        {"Description": None},
+        {"InvoiceNo": "C1"},
+        {"UnitPrice": None},
+    )
+    audit = {r["stage"]: r for r in cleaning.cleaning_audit(lines, fill_price=1.0).collect()}
+    assert [audit[s]["rows_removed"] for s in audit] == [1, 1, 1]
+    strict = {r["stage"]: r for r in cleaning.cleaning_audit(lines).collect()}
+    assert strict["invalid_sale"]["rows_removed"] == 2
+    for stages in (audit, strict):
+        assert all(r["rows_before"] - r["rows_after"] == r["rows_removed"] for r in stages.values())
+
+
+def test_null_profile_counts_nulls_only(make_lines):
+    lines = make_lines({"UnitPrice": None}, {"UnitPrice": math.nan}, {"InvoiceDate": None})
+    profile = {r["column_name"]: r["n_null"] for r in null_profile(lines).collect()}
+    assert profile["UnitPrice"] == 1 and profile["InvoiceDate"] == 1 and profile["Country"] == 0
+
+
+def test_filter_reaches_the_files(spark, make_lines, tmp_path):
+    path = str(tmp_path / "lines")
+    make_lines({"InvoiceDate": dt.datetime(2011, 1, 1)}).write.parquet(path)
+    plan = cleaning.clean_data(spark.read.parquet(path)).select("Quantity")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    for pushed in ("IsNotNull(CustomerID)", "GreaterThan(Quantity,0)", "GreaterThan(UnitPrice,0.0)"):
+        assert pushed in text
+    assert "Country" not in text.split("ReadSchema")[1]

@@ -1,0 +1,231 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.functions.calendar import DEFAULT_HOLIDAYS
+from tillroll.operators import calendar, cleaning, customers, layout, sampling, scaling
+from verification.queries import HOLIDAYS, clean_lines, labelled, raw
+
+
+def day(text, hour=12):
+    return dt.datetime.fromisoformat(text).replace(hour=hour)
+
+
+def test_temporal_features_by_hand(make_lines):
+    lines = make_lines(
+        {"InvoiceNo": "1", "InvoiceDate": day("2010-12-25", 8)},
+        {"InvoiceNo": "2", "InvoiceDate": day("2011-08-28", 17)},
+        {"InvoiceNo": "3", "InvoiceDate": day("2011-03-01", 0)},
+        {"InvoiceNo": "4", "InvoiceDate": None},
+    )
+    features = calendar.create_temporal_features(lines)
+    rows = {r["InvoiceNo"]: tuple(r)[8:] for r in features.collect()}
+    assert features.columns[8:] == [
+        "day_of_week",
+        "day_name",
+        "month",
+        "quarter",
+        "year",
+        "hour",
+        "is_weekend",
+        "is_holiday",
+    ]
+    assert rows["1"] == (7, "Saturday", 12, 4, 2010, 8, 1, 1)
+    assert rows["2"] == (1, "Sunday", 8, 3, 2011, 17, 1, 0)
+    assert rows["3"] == (3, "Tuesday", 3, 1, 2011, 0, 0, 0)
+    assert rows["4"] == (None, None, None, None, None, None, 0, 0)
+
+
+def test_three_ways_to_flag_holidays_agree(spark, make_lines):
+    days = ["2010-12-24", "2010-12-25", "2011-04-29", "2011-12-28"]
+    lines = make_lines(*[{"InvoiceDate": day(d)} for d in days], {"InvoiceDate": None})
+    table = spark.createDataFrame([(d,) for d in DEFAULT_HOLIDAYS * 2], "day string")
+    flagged = [
+        calendar.holiday_flag(lines),
+        calendar.holiday_flag_udf(lines),
+        calendar.holiday_flag_calendar(lines, table),
+    ]
+    first, *others = [sorted(df.collect(), key=str) for df in flagged]
+    assert sum(r["is_holiday"] for r in first) == 2
+    assert all(other == first for other in others)
+    assert {dict(df.dtypes)["is_holiday"] for df in flagged} == {"int"}
+
+
+def test_builtin_flag_stays_in_the_jvm(spark, folder):
+    plan = calendar.create_temporal_features(raw(spark, folder))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text
+
+
+def test_daily_frame_has_one_row_per_day(spark, folder):
+    lines = clean_lines(spark, folder)
+    frame = calendar.daily_model_frame(lines, HOLIDAYS)
+    by_line = calendar.create_temporal_features(lines, HOLIDAYS).groupBy(
+        F.to_date("InvoiceDate").alias("sale_date"), *calendar.DAY_FEATURES
+    ).agg(F.round(F.sum("Revenue"), 2).alias("daily_revenue"))
+    rounded = frame.withColumn("daily_revenue", F.round("daily_revenue", 2))
+    assert sorted(map(tuple, rounded.collect())) == sorted(map(tuple, by_line.collect()))
+
+
+def test_customer_features_by_hand(make_lines):
+    lines = cleaning.add_revenue(
+        make_lines(
+            {"InvoiceNo": "1", "StockCode": "A", "Quantity": 2, "InvoiceDate": day("2011-01-01")},
+            {"InvoiceNo": "1", "StockCode": "B", "UnitPrice": 4.0, "InvoiceDate": day("2011-01-01")},
+            {"InvoiceNo": "2", "StockCode": "A", "InvoiceDate": day("2011-01-31", 23)},
+            {"InvoiceNo": "3", "CustomerID": 2.0, "InvoiceDate": day("2011-03-01", 1)},
+        )
+    )
+    found = {r["CustomerID"]: r.asDict() for r in customers.create_customer_features(lines).collect()}
+    assert found[1.0] == {
+        "CustomerID": 1.0,
+        "total_purchases": 2,
+        "total_quantity": 4,
+        "total_revenue": 7.0,
+        "unique_products": 2,
+        "days_since_last_purchase": 29,
+        "average_transaction_value": 3.5,
+    }
+    assert found[2.0]["days_since_last_purchase"] == 0
+
+
+def test_capped_quantity_makes_double_totals(spark, make_lines):
+    cleaned = cleaning.clean_full(make_lines({"Quantity": 3}), relative_error=0)
+    features = customers.create_customer_features(cleaned)
+    assert dict(features.dtypes)["total_quantity"] == "double"
+
+
+def test_guests_have_no_mean_basket(make_lines):
+    lines = cleaning.add_revenue(make_lines({"CustomerID": None, "Country": "Spain"}))
+    row = customers.churn_table(lines).first()
+    assert row["average_transaction_value"] is None
+    assert (row["total_purchases"], row["country"]) == (1, "Spain")
+
+
+@pytest.mark.parametrize("days, label", [(90, 0), (91, 1)])
+def test_churn_is_strictly_after_the_threshold(make_lines, days, label):
+    last = day("2011-06-01")
+    lines = cleaning.add_revenue(
+        make_lines(
+            {"CustomerID": 1.0, "InvoiceDate": last - dt.timedelta(days=days)},
+            {"CustomerID": 2.0, "InvoiceDate": last},
+        )
+    )
+    labels = {r["CustomerID"]: r["label"] for r in customers.churn_table(lines).collect()}
+    assert labels == {1.0: label, 2.0: 0}
+
+
+def test_country_is_that_of_the_earliest_line(make_lines):
+    rows = [
+        {"CustomerID": 1.0, "Country": "Spain", "InvoiceDate": day("2011-02-01")},
+        {"CustomerID": 1.0, "Country": "United Kingdom", "InvoiceDate": day("2011-01-01")},
+        {"CustomerID": 2.0, "Country": "Portugal", "InvoiceDate": day("2011-01-01")},
+        {"CustomerID": 2.0, "Country": "Italy", "InvoiceDate": day("2011-01-01")},
+        {"CustomerID": 3.0, "Country": None},
+        {"CustomerID": 4.0, "Country": "Norway", "InvoiceDate": None},
+        {"CustomerID": 4.0, "Country": "Sweden"},
+    ]
+    for order in (rows, rows[::-1]):
+        lines = cleaning.add_revenue(make_lines(*order))
+        found = {r["CustomerID"]: r for r in customers.churn_table(lines).collect()}
+        assert {c: r["country"] for c, r in found.items()} == {
+            1.0: "United Kingdom",
+            2.0: "Italy",
+            3.0: None,
+            4.0: "Sweden",
+        }
+        assert {c: r["segment"] for c, r in found.items()} == {
+            1.0: "United Kingdom",
+            2.0: "International",
+            3.0: "International",
+            4.0: "International",
+        }
+
+
+def test_features_do_not_depend_on_layout(spark, folder):
+    lines = clean_lines(spark, folder)
+    assert set(customers.create_customer_features(lines).collect()) == set(
+        customers.create_customer_features(lines.repartition(7)).collect()
+    )
+
+
+def test_scaling_edges(spark):
+    df = spark.createDataFrame(
+        [(1.0, 5.0, None), (3.0, 5.0, 2.0), (None, 5.0, 4.0)], "a double, b double, c double"
+    )
+    rows = scaling.scale_features(df, ["a", "b", "c"]).collect()
+    assert [r["a"] for r in rows] == [-1.0, 1.0, None]
+    assert [r["b"] for r in rows] == [0.0, 0.0, 0.0]
+    assert [r["c"] for r in rows] == [None, -1.0, 1.0]
+
+
+def test_saved_scaler_scales_later_data(spark, tmp_path):
+    first = spark.createDataFrame([(1.0,), (3.0,)], "a double")
+    scaling.fit_scaler(first, ["a"]).write.parquet(str(tmp_path / "scaler"))
+    later = spark.createDataFrame([(5.0,)], "a double")
+    saved = spark.read.parquet(str(tmp_path / "scaler"))
+    assert scaling.apply_scaler(later, saved, ["a"]).first()["a"] == 3.0
+
+
+def test_split_is_disjoint_complete_and_stable(spark, folder):
+    table = labelled(spark, folder)
+    train, test = sampling.split_rows(table, keys=["CustomerID"])
+    ids = [{r["CustomerID"] for r in part.select("CustomerID").collect()} for part in (train, test)]
+    assert not ids[0] & ids[1]
+    assert len(ids[0]) + len(ids[1]) == table.count()
+    assert 0.65 < len(ids[0]) / table.count() < 0.95
+    moved, _ = sampling.split_rows(table.repartition(7), keys=["CustomerID"])
+    assert {r["CustomerID"] for r in moved.collect()} == ids[0]
+    marked = sampling.label_split(table, keys=["CustomerID"])
+    assert {r["CustomerID"] for r in marked.where("part = 'train'").collect()} == ids[0]
+
+
+def test_split_of_a_sample_still_splits(spark):
+    sample = sampling.sample_rows(spark.range(20000), 0.1)
+    sizes = [part.count() for part in sampling.split_rows(sample)]
+    assert sum(sizes) == sample.count()
+    assert 0.09 < sum(sizes) / 20000 < 0.11
+    assert 0.75 < sizes[0] / sum(sizes) < 0.85
+
+
+def test_three_way_split(spark):
+    parts = sampling.split_rows(spark.range(1000), [1, 1, 2])
+    ids = [r["id"] for part in parts for r in part.collect()]
+    assert sorted(ids) == list(range(1000))
+
+
+def test_other_seed_other_rows(spark):
+    one, two = (
+        {r["id"] for r in sampling.sample_rows(spark.range(1000), 0.1, seed).collect()}
+        for seed in (1, 2)
+    )
+    assert one != two
+
+
+def test_layout_by_key_and_salt(spark):
+    df = spark.range(4000).select("id", (F.col("id") % 4 == 0).cast("string").alias("key"))
+    by_key = layout.repartition_by(df, ["key"], 8)
+    salted = layout.repartition_by(df, ["key"], 8, salt_on=["id"], salts=8)
+
+    def largest(placed):
+        return placed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    assert by_key.rdd.getNumPartitions() == salted.rdd.getNumPartitions() == 8
+    assert largest(salted) < largest(by_key)
+    profiles = [layout.repartition_profile(p, ["key"]).collect() for p in (df, by_key, salted)]
+    assert sorted(profiles[0]) == sorted(profiles[1]) == sorted(profiles[2])
+
+
+def test_reused_respects_the_callers_cache(spark):
+    df = spark.range(10).persist()
+    with layout.reused(df) as same:
+        assert same.count() == 10
+    assert df.is_cached and df.storageLevel.useMemory
+    df.unpersist()
+
+
+def test_checkpoint_cuts_the_plan(spark):
+    kept = layout.checkpointed(spark.range(10).where("id > 3"))
+    assert kept.count() == 6
+    assert "Filter" not in kept._jdf.queryExecution().executedPlan().toString()

@@ -87,12 +87,13 @@ def fit_demand_model(
     points = ParamGridBuilder()
     for name, values in grid.items():
         points = points.addGrid(forest.getParam(name), list(values))
+    combinations = points.build()
     search = TrainValidationSplit(
         estimator=forest,
-        estimatorParamMaps=points.build(),
+        estimatorParamMaps=combinations,
         evaluator=RegressionEvaluator(labelCol="Quantity", metricName="rmse"),
         trainRatio=0.8,
-        parallelism=2,
+        parallelism=len(combinations),
         seed=seed,
     )
     best = search.fit(train).bestModel

@@ -19,6 +19,15 @@ from tillroll.operators.evaluation import (
 from tillroll.operators.layout import checkpointed
 from tillroll.operators.models import CHURN_FOREST, SEED, Fitted, fit_churn_model, score_churn
 
+# What the document tells about an explained prediction, after its index.
+_EXPLAINED = (
+    "customer_id",
+    "predicted_churn_probability",
+    "actual_label",
+    "feature_values",
+    "shap_contributions",
+)
+
 
 def first_customers(predictions: DataFrame, n: int = 5) -> DataFrame:
     """The predictions a report explains: those of the lowest customer numbers."""
@@ -84,12 +93,10 @@ def churn_document(
         F.array("segment_a", "segment_b", F.lit("difference")),
         F.array("value_a", "value_b", "difference"),
     )
-    report = (
+    gaps = (
         fairness_report(per_segment)
         .withColumn("gap", gap)
-        .groupBy()
         .agg(
-            # A map cannot be compared, so these entries stay in the order they come.
             F.map_from_entries(F.collect_list(F.struct("metric", "gap"))).alias("disparities"),
             F.max("max_disparity").alias("max_disparity"),
             F.coalesce(F.bool_or("fairness_concern"), F.lit(False)).alias("fairness_concern"),
@@ -105,19 +112,31 @@ def churn_document(
             "shap_contributions"
         ),
     )
-    explanations = explained.agg(F.array_sort(F.collect_list(explanation)).alias("part"))
+    numbered = F.transform(
+        F.array_sort(F.collect_list(explanation)),
+        lambda one, i: F.struct(
+            i.alias("prediction_index"), *[one[name].alias(name) for name in _EXPLAINED]
+        ),
+    )
+    explanations = explained.agg(numbered.alias("part"))
     settings = ", ".join(f"{name}={value}" for name, value in forest.items())
-    return predictions.sparkSession.range(1).select(
-        F.lit("customer_churn_classification").alias("task"),
-        F.lit(f"no purchase in the last {churn_days} days").alias("churn_definition"),
-        F.array(*[F.lit(f) for f in features]).alias("features"),
-        F.lit(f"Spark MLlib RandomForestClassifier ({settings})").alias("model"),
+    parts = predictions.sparkSession.range(1).select(
         overall.scalar().alias("overall_metrics"),
         segments.scalar().alias("segment_metrics"),
         compared.scalar().alias("segments_compared"),
-        report.scalar().alias("fairness_report"),
+        gaps.scalar().alias("gaps"),
         explanations.scalar().alias("shap_explanations"),
     )
+    return parts.select(
+        F.lit("customer_churn_classification").alias("task"),
+        F.lit(f"no purchase in the last {churn_days} days").alias("churn_definition"),
+        F.array(*[F.lit(f) for f in features]).alias("features"),
+        F.lit(f"Spark MLlib RandomForestClassifier ({settings})").alias("model"),
+        "overall_metrics",
+        "segment_metrics",
+        F.struct("segments_compared", "gaps.*").alias("fairness_report"),
+        "shap_explanations",
+    )
 
 
 def flat_fairness(per_segment: DataFrame) -> DataFrame:
