@@ -14,6 +14,8 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.layout import spread
+
 # Upper limits that keep the variants of one row bounded.
 MAX_BACKGROUND = 100
 MAX_FEATURES = 12
@@ -55,8 +57,8 @@ def shapley_values(
     ``score`` column (a fitted model). ``background`` is a relation made by
     :func:`background_rows`; it is small by construction and becomes one array.
 
-    The variants of a row are made, scored and added up in the task that holds the
-    row: the shuffle moves one partial sum per row, not the variants.
+    Rows are spread over all cores by key, and the variants of a row are made, scored
+    and added up where the row is: the rows are shuffled, the variants never.
     Contributions of a row add up to its score minus the base value.
     """
     features, keys = list(features), list(keys)
@@ -70,7 +72,8 @@ def shapley_values(
         )
     ).scalar()
     variants = (
-        rows.select(*keys, *[F.col(f).cast("double").alias(o) for f, o in zip(features, own)])
+        spread(rows, *keys)
+        .select(*keys, *[F.col(f).cast("double").alias(o) for f, o in zip(features, own)])
         .withColumn("_pool", pool)
         .withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2**n - 1))))
         .withColumn("_other", F.explode("_pool"))

@@ -36,6 +36,19 @@ def repartition_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash layout over at least one partition per core.
+
+    For relations that are quick to store and slow to work on, such as training data
+    or predictions to explain: adaptive execution merges partitions by their size
+    and would leave most cores idle.
+    """
+    session = df.sparkSession
+    shuffle_partitions = int(session.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(shuffle_partitions, session.sparkContext.defaultParallelism)
+    return df.repartition(partitions, *(keys or df.columns))
+
+
 @contextmanager
 def reused(
     df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.calendar import DAY_FEATURES
 from tillroll.operators.customers import CHURN_FEATURES
-from tillroll.operators.layout import checkpointed
-from tillroll.operators.sampling import sample_rows, split_rows
+from tillroll.operators.layout import checkpointed, spread
+from tillroll.operators.sampling import label_split, sample_rows, split_rows
 
 SEED = 42
 # Inputs, grid and sizes of the two forests.
@@ -78,10 +78,12 @@ def fit_demand_model(
     ``lines`` carry the calendar features. The best model of the grid by root mean
     square error is refitted on all training rows.
     """
-    sample = sample_rows(lines, fraction, seed)
-    parts = split_rows(checkpointed(sample), (0.8, 0.2), seed)
+    marked = label_split(sample_rows(lines, fraction, seed), 0.8, seed)
+    inputs = marked.select(*DEMAND_FEATURES, F.col("Quantity").cast("double"), "part")
+    data = assemble(checkpointed(spread(inputs)), DEMAND_FEATURES)
     train, test = (
-        assemble(part, DEMAND_FEATURES).select("features", "Quantity") for part in parts
+        data.where(F.col("part") == part).select("features", "Quantity")
+        for part in ("train", "test")
     )
     forest = RandomForestRegressor(featuresCol="features", labelCol="Quantity", seed=seed)
     points = ParamGridBuilder()
@@ -111,7 +113,7 @@ def fit_churn_model(
     Predictions keep the customer columns and gain ``prediction`` and ``score``, the
     votes for churn.
     """
-    data = checkpointed(customers)
+    data = checkpointed(spread(customers, "CustomerID"))
     train, test = split_rows(data, (0.8, 0.2), seed, keys=["CustomerID"])
     classifier = RandomForestClassifier(
         featuresCol="features", labelCol="label", seed=seed, **forest

@@ -25,7 +25,7 @@ from tillroll.operators import (
     scaling,
 )
 from tillroll.plans import churn, kpis, training, workload
-from tillroll.sources.star import retail_view
+from tillroll.sources.star import retail_view, star_table
 
 # Parameters the SQL side repeats.
 HOME = "NATION_0"
@@ -176,7 +176,7 @@ def _churn_explanations(spark: SparkSession, sf: str) -> DataFrame:
 
 def _holidays_by_table(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar taken from the orders: the 25th and 26th of December and New Year."""
-    days = spark.read.parquet(f"{sf}/orders.parquet").select(
+    days = star_table(spark, sf, "orders").select(
         F.to_date("o_orderdate").alias("day")
     )
     listed = F.date_format("day", "MM-dd").isin("01-01", "12-25", "12-26")
