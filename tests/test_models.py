@@ -97,7 +97,7 @@ def test_explanations_of_a_forest_add_up(fitted):
 
 
 def test_result_document(spark, folder, tmp_path):
-    document = churn.evaluate_churn(labelled(spark, folder), n_explain=2, forest=SMALL_FOREST)
+    document, _ = churn.evaluate_churn(labelled(spark, folder), n_explain=2, forest=SMALL_FOREST)
     write_json_document(document, str(tmp_path / "doc"))
     (file,) = [f for f in (tmp_path / "doc").glob("part*.txt") if f.stat().st_size]
     found = json.loads(file.read_text())

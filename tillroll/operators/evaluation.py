@@ -34,10 +34,11 @@ def _counts(predictions: DataFrame, by: Sequence[str], score: str | None) -> Dat
     """Class sizes and hits per group, and the ranking wins the AUC is made of.
 
     A win is a positive scored above a negative; a tie is half a win. Rows are first
-    folded to distinct scores. Those are cut into ranges of about equal size and
-    ranked range by range in parallel; a range's wins over all lower ranges need
-    only the class sizes per range, a relation of a few hundred rows. The cuts come
-    from a sketch and only balance the work: any cuts give the same counts.
+    folded to distinct scores, however many rows share one. Those are cut into ranges
+    of about equal size and ranked range by range in parallel; a range's wins over
+    all lower ranges need only the class sizes per range, a relation of a few hundred
+    rows. The cuts come from a sketch of the distinct scores and only balance the
+    work: any cuts give the same counts.
     """
     by = list(by)
     positive, claimed = F.col("label") == 1, F.col("prediction") == 1
@@ -55,7 +56,7 @@ def _counts(predictions: DataFrame, by: Sequence[str], score: str | None) -> Dat
         *[m.alias(n) for n, m in sizes.items()]
     )
     shares = [i / _SCORE_RANGES for i in range(1, _SCORE_RANGES)]
-    cuts = predictions.agg(F.percentile_approx(value, shares).alias("_cuts")).scalar()
+    cuts = per_score.agg(F.percentile_approx("_score", shares).alias("_cuts")).scalar()
     ranged = per_score.withColumn("_cuts", cuts).withColumn(
         "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col("_score")))
     )

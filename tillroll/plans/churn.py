@@ -58,12 +58,16 @@ def evaluate_churn(
     churn_days: int = CHURN_DAYS,
     forest: Mapping[str, Any] = CHURN_FOREST,
     seed: int = SEED,
-) -> DataFrame:
-    """Fit a forest on a labelled customer table and report on the held-out customers."""
+) -> tuple[DataFrame, DataFrame]:
+    """Fit a forest on a labelled customer table and judge it on held-out customers.
+
+    Returns the result document and the metrics per segment.
+    """
     fitted = fit_churn_model(customers, features, seed, forest)
     fitted = fitted._replace(predictions=checkpointed(fitted.predictions))
     explained = explain_churn(fitted, first_customers(fitted.predictions, n_explain), features)
-    return churn_document(fitted.predictions, explained, features, churn_days, forest)
+    document = churn_document(fitted.predictions, explained, features, churn_days, forest)
+    return document, segment_metrics(fitted.predictions)
 
 
 def _as_map(key: str, value: Column) -> Column:

@@ -19,7 +19,8 @@ def write_csv(
     A report ends up in one tidy file and a large table in many, without anyone
     choosing: the shuffle before the write (a range shuffle when an order is asked
     for, a rebalance otherwise) is sized by adaptive execution, which merges small
-    partitions into one and splits large ones.
+    partitions into one and splits large ones. Only ``order_by`` orders the file: an
+    order the relation already has is lost in a rebalance.
     """
     placed = df.orderBy(*order_by) if order_by else df.hint("rebalance")
     placed.write.mode(mode).option("header", True).csv(path)

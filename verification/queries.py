@@ -290,5 +290,5 @@ QUERIES: dict[str, Query] = {
     "churn_predictions": lambda s, d: _churn_fit(s, d).predictions,
     "feature_importances": _importances,
     "churn_explanations": _churn_explanations,
-    "churn_document": lambda s, d: churn.evaluate_churn(labelled(s, d)),
+    "churn_document": lambda s, d: churn.evaluate_churn(labelled(s, d))[0],
 }
