@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import ExitStack, contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators import metrics
@@ -63,18 +63,41 @@ def shared_workload(raw: DataFrame, cache: bool = True) -> Iterator[dict[str, Da
         yield _questions(base, daily)
 
 
+def _daily_answers(daily: DataFrame) -> DataFrame:
+    """Total, mean and best day from one aggregation over the daily table."""
+    day = F.struct("d", "rev", "q")
+    earlier_first = F.struct(F.col("rev"), -F.unix_date("d"))
+    stats = daily.agg(
+        F.sum("rev").alias("total"),
+        F.avg("rev").alias("mean"),
+        F.max_by(day, earlier_first).alias("best"),
+    )
+
+    def answer(query: str, d: Column, rev: Column, q: Column) -> Column:
+        return F.struct(
+            F.lit(query).alias("query"), d.alias("d"), rev.alias("rev"), q.alias("q")
+        )
+
+    no_day, no_units = F.lit(None).cast("date"), F.lit(None).cast("bigint")
+    best = F.col("best")
+    rows = F.array(
+        answer("daily_total", no_day, F.col("total"), no_units),
+        answer("daily_mean", no_day, F.col("mean"), no_units),
+        answer("best_day", best["d"], best["rev"], best["q"]),
+    )
+    return stats.select(F.inline(rows))
+
+
 def workload(raw: DataFrame) -> DataFrame:
-    """All answers as one relation."""
+    """All answers as one relation, from one pass over the base per grouping key."""
     base = workload_base(raw)
     answers = [
-        answer.select(
-            F.lit(name).alias("query"),
-            *[
-                (F.col(c) if c in answer.columns else F.lit(None)).cast(t).alias(c)
-                for c, t in _ANSWER.items()
-                if c != "query"
-            ],
-        )
-        for name, answer in _questions(base, metrics.daily_rollup(base)).items()
+        metrics.country_revenue(base).withColumn("query", F.lit("country_revenue")),
+        metrics.top_stockcodes(base).withColumn("query", F.lit("top_stockcodes")),
+        metrics.customer_orders_revenue(base).withColumn(
+            "query", F.lit("customer_orders_revenue")
+        ),
+        _daily_answers(metrics.daily_rollup(base)),
     ]
-    return reduce(DataFrame.unionByName, answers)
+    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), answers)
+    return combined.select(*[F.col(c).cast(t).alias(c) for c, t in _ANSWER.items()])
