@@ -76,7 +76,8 @@ def test_linear_score_has_a_closed_form(table):
 
 def test_top_driver_prefers_the_first_of_a_tie(spark):
     explained = spark.createDataFrame(
-        [(1, 0.5, -2.0, 1.0), (2, -1.0, 1.0, 1.0)], "id int, phi_a double, phi_b double, phi_c double"
+        [(1, 0.5, -2.0, 1.0), (2, -1.0, 1.0, 1.0)],
+        "id int, phi_a double, phi_b double, phi_c double",
     )
     best = attribution.top_driver(explained, FEATURES, ["id"])
     assert {r["id"]: (r["top_driver"], r["contribution"]) for r in best.collect()} == {

@@ -45,7 +45,8 @@ def test_auc_equals_counting_pairs(spark, monkeypatch, ranges):
 
 def test_auc_per_group_equals_counting_pairs(spark):
     predictions = random_predictions(spark, levels=400)
-    found = {r["segment"]: r["auc_roc"] for r in evaluation.auc_roc(predictions, ["segment"]).collect()}
+    per_segment = evaluation.auc_roc(predictions, ["segment"])
+    found = {r["segment"]: r["auc_roc"] for r in per_segment.collect()}
     for segment in "ABC":
         rows = [r for r in predictions.collect() if r["segment"] == segment]
         assert found[segment] == pytest.approx(brute_force_auc(rows), abs=1e-12)
@@ -129,7 +130,8 @@ def test_fairness_of_two_segments(spark):
         "recall": 0.0145,
         "f1": 0.0118,
     }
-    assert {(r["max_disparity"], r["fairness_concern"]) for r in found.values()} == {(0.0145, False)}
+    verdicts = {(r["max_disparity"], r["fairness_concern"]) for r in found.values()}
+    assert verdicts == {(0.0145, False)}
     assert found["f1"]["segment_a"] == "International" and found["f1"]["value_b"] == 0.7738
 
 

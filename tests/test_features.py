@@ -72,12 +72,13 @@ def test_customer_features_by_hand(make_lines):
     lines = cleaning.add_revenue(
         make_lines(
             {"InvoiceNo": "1", "StockCode": "A", "Quantity": 2, "InvoiceDate": day("2011-01-01")},
-            {"InvoiceNo": "1", "StockCode": "B", "UnitPrice": 4.0, "InvoiceDate": day("2011-01-01")},
+            {"StockCode": "B", "UnitPrice": 4.0, "InvoiceDate": day("2011-01-01")},
             {"InvoiceNo": "2", "StockCode": "A", "InvoiceDate": day("2011-01-31", 23)},
             {"InvoiceNo": "3", "CustomerID": 2.0, "InvoiceDate": day("2011-03-01", 1)},
         )
     )
-    found = {r["CustomerID"]: r.asDict() for r in customers.create_customer_features(lines).collect()}
+    features = customers.create_customer_features(lines)
+    found = {r["CustomerID"]: r.asDict() for r in features.collect()}
     assert found[1.0] == {
         "CustomerID": 1.0,
         "total_purchases": 2,

@@ -129,7 +129,8 @@ def test_document_with_two_segments(spark):
         rows, "segment string, label int, prediction double, score double, CustomerID int"
     )
     explained = spark.createDataFrame(
-        [(1.0, 1, 0.5, 2.0, 0.25)], "CustomerID double, label int, score double, x double, phi_x double"
+        [(1.0, 1, 0.5, 2.0, 0.25)],
+        "CustomerID double, label int, score double, x double, phi_x double",
     )
     document = churn.churn_document(predictions, explained, features=["x"]).first()
     report = document["fairness_report"]

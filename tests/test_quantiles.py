@@ -23,7 +23,9 @@ def random_values(kind, n=3000):
         return [source.choice([-1, 1]) * 10.0 ** source.uniform(-300, 300) for _ in range(n)]
     if kind == "infinities and gaps":
         extra = [math.inf, -math.inf, math.nan, None]
-        return [source.choice(extra) if source.random() < 0.3 else source.random() for _ in range(n)]
+        return [
+            source.choice(extra) if source.random() < 0.3 else source.random() for _ in range(n)
+        ]
     if kind == "neighbours":
         return [source.choice([1.0, math.nextafter(1.0, 2), 1e300, 5e-324]) for _ in range(n)]
     raise ValueError(kind)
@@ -58,7 +60,8 @@ def test_few_buckets_need_more_steps_but_agree(spark, monkeypatch):
 
 
 def test_several_columns_and_types(spark):
-    df = spark.createDataFrame([(i, float(i * i), None) for i in range(1, 102)], "a int, b double, c double")
+    rows = [(i, float(i * i), None) for i in range(1, 102)]
+    df = spark.createDataFrame(rows, "a int, b double, c double")
     found = q.quantiles(df, ["a", "b", "c"], [0.5], relative_error=0)
     assert found == {"a": [51.0], "b": [51.0 * 51.0], "c": None}
 

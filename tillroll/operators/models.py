@@ -18,7 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.calendar import DAY_FEATURES
@@ -122,7 +122,9 @@ def fit_churn_model(
     return Fitted(model, train, score_churn(model, test, features))
 
 
-def score_churn(model: Model, rows: DataFrame, features: Sequence[str] = CHURN_FEATURES) -> DataFrame:
+def score_churn(
+    model: Model, rows: DataFrame, features: Sequence[str] = CHURN_FEATURES
+) -> DataFrame:
     """Class and churn probability of each row."""
     scored = model.transform(assemble(rows, features))
     return scored.withColumn("score", vector_to_array("probability")[1]).drop(
@@ -130,7 +132,9 @@ def score_churn(model: Model, rows: DataFrame, features: Sequence[str] = CHURN_F
     )
 
 
-def feature_importances(model: Model, features: Sequence[str], spark) -> DataFrame:
+def feature_importances(
+    model: Model, features: Sequence[str], spark: SparkSession
+) -> DataFrame:
     """Importance per feature of a fitted forest, largest first."""
     found = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
     return spark.createDataFrame(found, "feature string, importance double").orderBy(

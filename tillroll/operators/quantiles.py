@@ -135,12 +135,13 @@ def _split(df: DataFrame, intervals: Sequence[_Interval]) -> dict[_Interval, lis
     for number, interval in enumerate(intervals):
         value = _value(interval.column)
         direct = interval.rows <= _COUNT_DIRECTLY
+        bucket = F.lit(0) if direct else _bucket(value, interval)
         candidates.append(
             F.when(
                 value.between(F.lit(interval.low), F.lit(interval.high)),
                 F.struct(
                     F.lit(number).alias("interval"),
-                    F.lit(0).alias("bucket") if direct else _bucket(value, interval).alias("bucket"),
+                    bucket.alias("bucket"),
                     (value if direct else F.lit(None).cast("double")).alias("single"),
                     value.alias("value"),
                 ),
