@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.mixing import mix, mixed_sizes
 from tillroll.llm.sharding import sharded
 from tillroll.llm.simhash import near_duplicates
+from tillroll.llm.storage import new_folder
+from tillroll.llm.tokens import read_token_files, with_checksum, write_token_files
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 2
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +32,23 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    return mixed_sizes(mix(table(spark, folder, "documents")))
+
+
+def token_files(documents: DataFrame) -> DataFrame:
+    """Writes the documents' token files, and reads them back as checksums."""
+    path = new_folder(documents.sparkSession, "tokens")
+    write_token_files(documents, path, TOKENIZER, END_ID)
+    return with_checksum(read_token_files(documents.sparkSession, path))
+
+
+def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, written to ORC and read back."""
+    return token_files(table(spark, folder, "documents"))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in one of eight shards of near-equal bytes."""
     return sharded(table(spark, folder, "documents"))
@@ -32,5 +56,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
+    "op7_mixing": op7_mixing,
+    "op9_token_output": op9_token_output,
     "op10_sharding": op10_sharding,
 }
