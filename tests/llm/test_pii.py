@@ -1,0 +1,118 @@
+"""Personal data against the plain patterns, one kind at a time."""
+
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import duckdb
+from verification.compare import _cell
+
+from tests.llm.helpers import clashing, documents
+from tillroll.llm.oracle import ORACLE
+from tillroll.llm.pii import personal_data, span_digest
+from tillroll.llm.queries import op5_pii
+
+PLAIN = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+]
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        total += d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d)
+    return total % 10 == 0
+
+
+def plain_base(text):
+    spans, counts = [], defaultdict(int)
+    for order, (kind, pattern) in enumerate(PLAIN):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True,
+                "ip": kind != "ip" or all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 14 <= len(digits) <= 19 and luhn(digits),
+                "phone": 10 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                spans.append((m.start(), order, f"{kind}:{m.start()}:{m.end()}"))
+                counts[kind] += 1
+    joined = ",".join(s for _, _, s in sorted(spans))
+    return [counts[k] for k, _ in PLAIN], hashlib.sha256(joined.encode()).hexdigest()
+
+
+CASES = [
+    None,
+    "",
+    "a@b.com+x@y.z@q.rs..t %@-.-",
+    "1.2.3.4.5.6.7.8 256.1.1.1 000.0255.1.1 1.2.3 9.9.9.9",
+    "4111 1111 1111 1111 4111-1111-1111-1112 4111111111111111 7",
+    "+1 (456) 555-2186 +49 30 1234 5678 9012 3456 7 +1..... +1234567890-",
+    "é😀 a@b.cd 😀 +1 (456) 555-2186 日本 10.0.0.1",
+    "ip 10.0.0.1 server 10.0.0.2",
+    "IBAN DE89370400440532013000 and GB82 WEST 1234 5698 7654 32 but DE89370400440532013001",
+    "ssn 123-45-6789 and 123-45-6789 here; social 000-12-3456 1-2-3-4",
+    "mail me@x.org " * 3000,
+]
+# Too long for the plain patterns' backtracking.
+LONG = [
+    "x" * 100_000 + "@" + "y" * 100_000,
+    "a@" + "b." * 50_000 + "c",
+    "1" * 100_000,
+    "+1" + "-" * 100_000,
+]
+
+
+def test_base_kinds_by_the_letter(spark):
+    rng = random.Random(1)
+    alphabet = "ab@.+-_% ()0123456789"
+    noise = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 120))) for _ in range(1500)]
+    digits = ["".join(rng.choice("0123456789- ") for _ in range(80)) for _ in range(300)]
+    texts = CASES + noise + digits
+    df = documents(spark, list(enumerate(texts)))
+    for r in span_digest(personal_data(df)).collect():
+        counts, digest = plain_base(texts[r["doc_id"]])
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == counts, texts[r["doc_id"]][:200]
+        assert r["base_sha256"] == digest
+
+
+def test_added_kinds_and_context(spark):
+    rows = {r["doc_id"]: r for r in span_digest(personal_data(documents(spark, list(enumerate(CASES))))).collect()}
+    assert rows[7]["spans"] == "ip:3:11,ip:19:27" and rows[7]["scores"] == "90,90"
+    assert [s for s in rows[8]["spans"].split(",") if "iban" in s] == ["iban:5:27", "iban:32:59"]
+    assert rows[9]["n_ssn"] == 1 and "ssn:4:15" in rows[9]["spans"]
+
+
+def test_very_long_runs(spark):
+    found = personal_data(documents(spark, list(enumerate(LONG))).repartition(4))
+    rows = {r["doc_id"]: r["spans"] for r in span_digest(found).collect()}
+    assert rows == {0: "", 1: f"email:0:{len(LONG[1])}", 2: "", 3: ""}
+
+
+def test_query_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    got = op5_pii(spark, folder)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    answer = db.execute(ORACLE["op5_pii"])
+    names = [c[0] for c in answer.description]
+    expected = sorted(str([_cell(v) for v in row]) for row in answer.fetchall())
+    assert got.columns == names
+    assert sorted(str([_cell(v) for v in row]) for row in got.collect()) == expected
+
+
+def test_no_python_in_the_plan(spark):
+    plan = op5_pii(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_odd_rows(spark):
+    rows = [(None, "a@b.cd"), (1, "a@b.cd"), (1, "a@b.cd"), (2, None)]
+    got = span_digest(personal_data(clashing(documents(spark, rows)))).collect()
+    assert sorted((r["doc_id"] or 0, r["n_email"]) for r in got) == [(0, 1), (1, 1), (1, 1), (2, 0)]
+    assert span_digest(personal_data(documents(spark, []))).count() == 0

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.helpers import clashing, documents
 from tillroll.llm.queries import END_ID, TOKENIZER, op9_token_output
-from tillroll.llm.tokens import Encoder, read_token_files, with_checksum, write_token_files
+from tillroll.llm.tokens import Encoder, read_token_files, token_checksums, write_token_files
 
 TEXTS = [
     "",
@@ -21,6 +21,7 @@ TEXTS = [
     "<|endoftext|> x<|startoftext|>y <|other|> <| |>",
     "3.14159 12,000 a1b2 !!! ... @#$%^&*()_+ |~` --",
     "日本語 テスト 🎉🎉 \U0001f468‍\U0001f469 ﻿bom ퟿",
+    "Ŀlanfair ŉ ſ ÀÉ×Ü÷ß naïve l'été J'AI ÿ&& Œuvre İz café—bar “quoted” don’t",
     "word " * 5000 + "x" * 3000,
 ]
 
@@ -59,6 +60,12 @@ def test_query_against_the_library(spark):
     assert got == plain_rows([(r["doc_id"], r["text"]) for r in docs])
 
 
+def reader(spark, file):
+    jvm = spark._jvm
+    options = jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration())
+    return jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(str(file)), options)
+
+
 def test_files_are_ordered_and_indexed(spark, tmp_path):
     path = str(tmp_path / "tokens")
     df = documents(spark, [(i, f"text {i}") for i in range(500)]).repartition(7)
@@ -66,18 +73,19 @@ def test_files_are_ordered_and_indexed(spark, tmp_path):
     ids = []
     for file in sorted((tmp_path / "tokens").glob("part-*.orc")):
         ids += pa.orc.ORCFile(file).read(columns=["doc_id"]).column(0).to_pylist()
-        assert b"doc_id" in file.read_bytes()
+        assert reader(spark, file).getRowIndexStride() == 10_000
     assert ids == list(range(500))
     one = read_token_files(spark, path).filter("doc_id = 77")
     assert one.count() == 1
+    assert "EqualTo(doc_id,77)" in one._jdf.queryExecution().toString()
 
 
 def test_odd_rows(spark, tmp_path):
     rows = [(3, "b"), (None, "x y"), (1, None), (3, "b"), (2, ""), (4, "w " * 200_000)]
     path = str(tmp_path / "odd")
     write_token_files(clashing(documents(spark, rows)), path, TOKENIZER, END_ID)
-    got = sorted((tuple(r) for r in with_checksum(read_token_files(spark, path)).collect()), key=lambda r: r[1])
+    got = sorted((tuple(r) for r in token_checksums(spark, path).collect()), key=lambda r: r[1])
     assert got == plain_rows([(None, "x y"), (1, None), (2, ""), (3, "b"), (3, "b"), (4, "w " * 200_000)])
     empty = str(tmp_path / "empty")
     write_token_files(documents(spark, []), empty, TOKENIZER, END_ID)
-    assert with_checksum(read_token_files(spark, empty)).count() == 0
+    assert token_checksums(spark, empty).count() == 0

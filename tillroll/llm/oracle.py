@@ -2,4 +2,65 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+
+def _pii_kind(number: int, pattern: str, valid: str, score: int, boost: int, context: str, least: int) -> str:
+    """Spans of one kind: gaps and matches alternate, so earlier lengths give the start."""
+    return f"""
+    SELECT doc_id, row_no, {number} AS kind,
+           list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+             + coalesce(list_sum(list_transform(matches[1:i-1], lambda m: length(m))), 0) AS start,
+           length(matches[i]) AS size,
+           {score} + CASE WHEN regexp_matches(lower(right(gaps[i], 40)), '{context}') THEN {boost} ELSE 0 END AS score
+    FROM (SELECT *, unnest(range(1, len(matches) + 1)) AS i
+          FROM (SELECT doc_id, row_no, regexp_extract_all(text, '{pattern}') AS matches,
+                       string_split_regex(text, '{pattern}') AS gaps FROM docs))
+    WHERE {valid.replace("$m", "matches[i]")}
+      AND {score} + CASE WHEN regexp_matches(lower(right(gaps[i], 40)), '{context}') THEN {boost} ELSE 0 END >= {least}"""
+
+
+_DIGITS = "regexp_replace($m, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda k:
+      CASE WHEN k % 2 = 1 THEN CAST({_DIGITS}[length({_DIGITS}) + 1 - k] AS INT)
+           ELSE CASE WHEN CAST({_DIGITS}[length({_DIGITS}) + 1 - k] AS INT) > 4
+                     THEN 2 * CAST({_DIGITS}[length({_DIGITS}) + 1 - k] AS INT) - 9
+                     ELSE 2 * CAST({_DIGITS}[length({_DIGITS}) + 1 - k] AS INT) END END)) % 10 = 0"""
+_PLAIN = "replace($m, ' ', '')"
+_MOD97 = f"""list_reduce(
+      list_prepend(0, list_transform(string_split({_PLAIN}[5:] || {_PLAIN}[1:4], ''), lambda c: ord(c))),
+      lambda rest, c: (CASE WHEN c < 65 THEN rest * 10 + c - 48 ELSE rest * 100 + c - 55 END) % 97) = 1"""
+
+_PII = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row_no FROM documents),
+found AS ({" UNION ALL ".join([
+    _pii_kind(0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", 90, 10, "mail|contact|write", 0),
+    _pii_kind(1, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+              "list_bool_and(list_transform(string_split($m, '.'), lambda p: length(ltrim(p, '0')) <= 3"
+              " AND coalesce(TRY_CAST(right('000' || ltrim(p, '0'), 3) AS INT), 0) <= 255))",
+              60, 30, "ip|host|server|address", 0),
+    _pii_kind(2, r"[0-9](?:[ -]?[0-9])+", f"length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}", 80, 20,
+              "card|visa|credit|pay", 0),
+    _pii_kind(3, r"\+[0-9][ ().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 10 AND 15", 70, 30,
+              "phone|call|tel|mobile", 0),
+    _pii_kind(4, r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", _MOD97, 90, 10,
+              "iban|account|bank", 0),
+    _pii_kind(5, r"[0-9]+(?:-[0-9]+){2,}",
+              "regexp_full_match($m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')"
+              " AND NOT regexp_matches($m, '^(?:000|666|9)|-00-|-0000$')",
+              40, 40, "ssn|social|security", 60),
+])}),
+spans AS (
+  SELECT row_no, kind, start, score,
+         ['email', 'ip', 'card', 'phone', 'iban', 'ssn'][kind + 1] || ':' || start || ':' || (start + size) AS span
+  FROM found)
+SELECT d.doc_id,
+       count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip,
+       count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone,
+       count(*) FILTER (kind = 4) AS n_iban, count(*) FILTER (kind = 5) AS n_ssn,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 4), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, kind), '') AS spans,
+       coalesce(string_agg(CAST(score AS VARCHAR), ',' ORDER BY start, kind), '') AS scores
+FROM docs d LEFT JOIN spans s USING (row_no)
+GROUP BY d.row_no, d.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op5_pii": _PII}

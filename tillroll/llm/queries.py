@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.mixing import mix, mixed_sizes
+from tillroll.llm.pii import personal_data, span_digest
 from tillroll.llm.sharding import sharded
 from tillroll.llm.simhash import near_duplicates
-from tillroll.llm.storage import new_folder
-from tillroll.llm.tokens import read_token_files, with_checksum, write_token_files
+from tillroll.llm.storage import checkpointed, new_folder, remove_folder
+from tillroll.llm.tokens import token_checksums, write_token_files
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -22,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return span_digest(personal_data(table(spark, folder, "documents")))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, folder, "documents"))
@@ -38,10 +44,13 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_files(documents: DataFrame) -> DataFrame:
-    """Writes the documents' token files, and reads them back as checksums."""
-    path = new_folder(documents.sparkSession, "tokens")
+    """Writes the documents' token files, reads them back as checksums and removes them."""
+    spark = documents.sparkSession
+    path = new_folder(spark, "tokens")
     write_token_files(documents, path, TOKENIZER, END_ID)
-    return with_checksum(read_token_files(documents.sparkSession, path))
+    digest = checkpointed(token_checksums(spark, path))
+    remove_folder(spark, path)
+    return digest
 
 
 def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,6 +64,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
     "op7_mixing": op7_mixing,
     "op9_token_output": op9_token_output,

@@ -36,3 +36,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not df.sparkSession.sparkContext.getCheckpointDir():
         df.sparkSession.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that ``new_folder`` named, once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -16,14 +16,24 @@ from pyspark.sql import functions as F
 
 # Fixed value: how the word tokenizer splits. It drops white space, so words can be encoded one by one.
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# The same for lower-case printable ASCII, where bytes stand for themselves.
-_ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_ASCII_WORD = re.compile(r"[!-~]+")
+# The same for lower-case ASCII and Latin letters that no normal form changes, U+0130 left out.
+_PLAIN_WORD = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+_PLAIN_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u017f]+|[0-9]|[^a-z0-9\u00df-\u017f]+")
 # Distinct words a worker keeps, and bytes of text it encodes at a time.
 _KEPT_WORDS = 500_000
 _SLICE_BYTES = 8_000_000
 
-SCHEMA = "part int, before long, ids array<int>"
+SCHEMA = "part int, before long, n_tokens int, ids array<int>"
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level tokenizers show a byte as itself if it is printable, else as 256 and up in order."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 class Encoder:
@@ -31,7 +41,8 @@ class Encoder:
 
     A tokenizer that drops white space gives a text the ids of its words, one after
     another; distinct words are encoded once and kept, up to a bound. Any other tokenizer
-    gets whole texts.
+    gets whole texts. Words of plain letters, digits and ASCII signs are split here and given
+    to the tokenizer's model; all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -76,14 +87,16 @@ class Encoder:
         if len(kept) + len(missing) > _KEPT_WORDS:
             kept.clear()
             missing = words
-        rest = []
+        rest, tokenize = [], self.model.tokenize
         for word in missing:
-            if _ASCII_WORD.fullmatch(word) and "<|" not in word:
-                kept[word] = tuple(
-                    token.id
-                    for piece in _ASCII_SPLIT.findall(word.lower())
-                    for token in self.model.tokenize(piece)
-                )
+            if word.isascii() and word.isalpha():
+                kept[word] = tuple([token.id for token in tokenize(word.lower())])
+            elif _PLAIN_WORD.fullmatch(word) and "<|" not in word:
+                shown = word.lower()
+                pieces = _PLAIN_SPLIT.findall(shown)
+                if not shown.isascii():
+                    pieces = [p.encode().decode("latin-1").translate(_BYTE_LETTERS) for p in pieces]
+                kept[word] = tuple([token.id for piece in pieces for token in tokenize(piece)])
             else:
                 rest.append(word)
         found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
@@ -120,7 +133,7 @@ def write_token_files(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> None:
-    """Writes (id, part, before, ids) as ORC, in ascending id order over all files.
+    """Writes (id, part, before, n_tokens, ids) as ORC, in ascending id order over all files.
 
     Documents are ranged by id and sorted in each range; ``part`` numbers the ranges in
     order and ``before`` counts the ids of earlier documents of the part. ORC packs the
@@ -144,9 +157,10 @@ def write_token_files(
                         piece.column(0),
                         pa.array(np.full(len(counts), part, np.int32)),
                         pa.array(before + np.cumsum(counts) - counts),
+                        pa.array(counts.astype(np.int32)),
                         ids,
                     ],
-                    names=["doc_id", "part", "before", "ids"],
+                    names=["doc_id", "part", "before", "n_tokens", "ids"],
                 )
                 before += int(counts.sum())
 
@@ -171,38 +185,54 @@ def write_token_files(
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids): ``start`` counts the ids of all documents before."""
-    files = spark.read.orc(path)
-    totals = files.groupBy("part").agg(F.sum(F.size("ids").cast("long")).alias("total"))
+    return _started(spark, path, spark.read.orc(path))
+
+
+def _started(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """``part`` and ``before`` replaced by ``start``. There is one base per written file, so it is broadcast."""
+    totals = spark.read.orc(path).groupBy("part").agg(
+        F.sum(F.col("n_tokens").cast("long")).alias("total")
+    )
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(
         "part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base")
     )
-    return files.join(bases, "part").select(
+    others = [c for c in rows.columns if c not in ("doc_id", "part", "before", "n_tokens")]
+    return rows.join(F.broadcast(bases), "part").select(
         "doc_id",
         (F.col("base") + F.col("before")).alias("start"),
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
+        F.col("n_tokens").cast("long"),
+        *others,
     )
 
 
-def with_checksum(tokens: DataFrame) -> DataFrame:
-    """``ids`` replaced by ids_crc32, the CRC-32 of the ids as little-endian 32-bit integers."""
+def token_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) from the files' ids.
+
+    The checksum is the CRC-32 of a document's ids as little-endian 32-bit integers.
+    """
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(3)
             ends = lists.offsets.to_numpy()
-            raw = memoryview(np.asarray(lists.values).astype("<u4").view(np.uint8))
+            raw = memoryview(np.asarray(lists.values).astype("<u4", copy=False).view(np.uint8))
             codes = [
                 zlib.crc32(raw[4 * a : 4 * b])
                 for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(codes, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                [
+                    *batch.columns[:3],
+                    pa.array(np.diff(ends).astype(np.int32)),
+                    pa.array(codes, pa.int64()),
+                ],
+                names=["doc_id", "part", "before", "n_tokens", "ids_crc32"],
             )
 
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.select("doc_id", "start", "n_tokens", "ids").mapInArrow(
-        sums, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long"
+    files = spark.read.orc(path).select("doc_id", "part", "before", "ids")
+    kind = files.schema["doc_id"].dataType.simpleString()
+    summed = files.mapInArrow(
+        sums, f"doc_id {kind}, part int, before long, n_tokens int, ids_crc32 long"
     )
+    return _started(spark, path, summed)
