@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.mixing import mix, mixed_sizes
@@ -14,15 +14,39 @@ from tillroll.llm.sharding import sharded
 from tillroll.llm.simhash import near_duplicates
 from tillroll.llm.storage import checkpointed, new_folder, remove_folder
 from tillroll.llm.tokens import token_checksums, write_token_files
+from tillroll.llm.toxicity import Lexicon, learn_lexicon, toxicity
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
+TOXIC = 0.7
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fold_of(folds: int) -> Column:
+    """The fold of a document, by its id's text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def toxicity_lexicon(documents: DataFrame, labels: DataFrame) -> Lexicon:
+    """Learned from the labels that are not held out."""
+    return learn_lexicon(documents, labels.filter(fold_of(3) != 1))
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    documents = table(spark, folder, "documents")
+    scored = toxicity(documents, toxicity_lexicon(documents, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold_of(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data in every document."""
     return span_digest(personal_data(table(spark, folder, "documents")))
@@ -64,6 +88,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
     "op7_mixing": op7_mixing,
