@@ -1,0 +1,115 @@
+"""Decontamination against dynamic programming over every position."""
+
+import random
+
+import pytest
+
+from tests.llm.helpers import clashing, documents
+from tillroll.llm.decontamination import (
+    Matcher,
+    best_distance,
+    contaminated,
+    matchers,
+    normal,
+    pieces,
+    without_contaminated,
+)
+from tillroll.llm.queries import op4_decontamination
+
+ITEMS = "item_id long, text string"
+
+
+def plain_distance(pattern, text):
+    """Least edits of the pattern to any part of the text, column by column."""
+    column = list(range(len(pattern) + 1))
+    best = (len(pattern), 0)
+    for end, char in enumerate(text, 1):
+        above, column[0] = column[0], 0
+        for i, own in enumerate(pattern, 1):
+            above, column[i] = column[i], min(column[i] + 1, column[i - 1] + 1, above + (own != char))
+        best = min(best, (column[-1], end))
+    return best
+
+
+def edited(rng, text, edits):
+    for _ in range(edits):
+        i = rng.randrange(len(text))
+        text = text[:i] + rng.choice(["", "x", "q" + text[i]]) + text[i + 1 :]
+    return text
+
+
+def test_bit_vectors_against_dynamic_programming():
+    rng = random.Random(1)
+    for _ in range(300):
+        pattern = "".join(rng.choice("abc ") for _ in range(rng.randrange(1, 90)))
+        text = "".join(rng.choice("abc ") for _ in range(rng.randrange(0, 120)))
+        assert best_distance(pattern, text) == plain_distance(pattern, text)
+
+
+def test_pieces_cover_the_item():
+    for size in range(1, 40):
+        text = "".join(chr(97 + i % 26) for i in range(size))
+        for budget in range(size):
+            made = pieces(text, budget)
+            assert len(made) == budget + 1 and "".join(p for _, p in made) == text
+            assert all(text[a : a + len(p)] == p and p for a, p in made)
+
+
+def test_no_match_within_the_budget_is_missed():
+    rng = random.Random(2)
+    items = [(i, "".join(rng.choice("abcde ") for _ in range(rng.randrange(30, 120))).strip()) for i in range(12)]
+    items.append((99, items[0][1]))
+    matcher = Matcher(items, rate=0.1)
+    for _ in range(150):
+        filler = "".join(rng.choice("abcde ") for _ in range(rng.randrange(200)))
+        item = rng.choice(items)[1]
+        text = filler + edited(rng, item, rng.randrange(0, 14)) + filler[: rng.randrange(50)]
+        expected = {}
+        for number, pattern in items:
+            distance, _ = plain_distance(pattern, text)
+            if distance <= int(0.1 * len(pattern)):
+                expected[number] = distance
+        got = {m[0]: m[1] for m in matcher.matches(text)}
+        assert got == expected
+        assert matcher.contains_any(text) == bool(expected)
+
+
+def test_query_finds_every_whole_item(spark):
+    folder = "/root/testdata/sf0.01"
+    items = {r["item_id"]: normal(r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
+    docs = {r["doc_id"]: normal(r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    expected = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
+    got = op4_decontamination(spark, folder).collect()
+    assert expected and {(r["doc_id"], r["item_id"]) for r in got if r["distance"] == 0} == expected
+    for r in got:
+        assert plain_distance(items[r["item_id"]], docs[r["doc_id"]])[0] == r["distance"] <= r["budget"]
+
+
+@pytest.mark.parametrize("pass_chars", [100, 4_000_000])
+def test_blocks_of_items(spark, pass_chars):
+    rng = random.Random(3)
+    items = [(i, "".join(rng.choice("abcdefgh ") for _ in range(60))) for i in range(20)]
+    benchmark = spark.createDataFrame(items, ITEMS)
+    rows = [(i, f"Start {edited(rng, text, 2)} end") for i, text in items]
+    rows.append((50, "nothing to see here at all, nothing to see"))
+    df = documents(spark, rows)
+    got = contaminated(df, benchmark, pass_chars=pass_chars).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i, _ in items}
+    if pass_chars == 100:
+        assert len(matchers(benchmark, pass_chars=pass_chars)) > 5
+    kept = without_contaminated(df, benchmark)
+    assert [r["doc_id"] for r in kept.collect()] == [50]
+
+
+def test_odd_rows(spark):
+    item = "the quick brown fox jumps over the lazy dog"
+    benchmark = spark.createDataFrame([(1, item), (2, item.upper()), (3, None), (4, ""), (None, item), (5, "short")], ITEMS)
+    rows = [(None, item), (7, f"x {item} y"), (7, f"x {item} y"), (8, None), (9, ""), (10, "w " * 100_000 + item.replace(" ", "\n\t"))]
+    df = clashing(documents(spark, rows))
+    got = sorted(((r["doc_id"] or 0), r["item_id"], r["distance"]) for r in contaminated(df, benchmark).collect())
+    assert got == sorted((d, i, 0) for d in (0, 7, 7, 10) for i in (1, 2))
+    kept = without_contaminated(df, benchmark)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [8, 9]
+    assert contaminated(df, benchmark.limit(0)).count() == 0
+    assert contaminated(documents(spark, []), benchmark).count() == 0
+    assert without_contaminated(df, benchmark.limit(0)).count() == len(rows)

@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.decontamination import contaminated
+from tillroll.llm.languages import languages, learn_languages
 from tillroll.llm.mixing import mix, mixed_sizes
 from tillroll.llm.pii import personal_data, span_digest
 from tillroll.llm.sharding import sharded
@@ -47,6 +49,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data in every document."""
     return span_digest(personal_data(table(spark, folder, "documents")))
@@ -67,6 +74,14 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_sizes(mix(table(spark, folder, "documents")))
 
 
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(fold_of(4) == 2, F.lit(False))
+    found = languages(documents, learn_languages(documents.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def token_files(documents: DataFrame) -> DataFrame:
     """Writes the documents' token files, reads them back as checksums and removes them."""
     spark = documents.sparkSession
@@ -89,9 +104,11 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op4_decontamination": op4_decontamination,
     "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
     "op7_mixing": op7_mixing,
+    "op8_language": op8_language,
     "op9_token_output": op9_token_output,
     "op10_sharding": op10_sharding,
 }
