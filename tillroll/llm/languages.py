@@ -148,8 +148,8 @@ class Model:
         lowered = [t.lower() + " " for t in texts]
         points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
         codes = self.kinds[points]
-        kept = np.ones(len(codes), bool)
-        kept[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
+        kept = codes != 0
+        kept[1:] |= codes[:-1] != 0
         ends = np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered)))
         return codes[kept], np.cumsum(kept)[ends - 1] if len(ends) else ends
 
