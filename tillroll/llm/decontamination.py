@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Edits allowed per character of a test item.
-ERROR_RATE = 0.06
+ERROR_RATE = 0.08
 # Shorter items (normalised) are no evidence: common phrases contain them by chance.
 LEAST_CHARS = 24
 # Characters of test items searched for in one pass over the documents.

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 TRAIN_DOCUMENTS = 64
 TRAIN_CHARS = 700
 UNDETERMINED = "und"
+# Parts in which the first documents of a language are looked for.
+_BUCKETS = 64
 # Letters told apart; rarer ones share a symbol.
 _LETTERS = 120
 # A long text is parsed in blocks of that many characters, side by side.
@@ -51,13 +53,18 @@ def learn_languages(
         F.xxhash64(F.lit("language"), text).alias("order"),
         F.substring(text, start, F.lit(train_chars)).alias("part"),
     )
-    # Tasks keep the first of each language before they exchange, so no task gets a whole language.
+    # First in each of many buckets, then among those: no task gets a whole language, or what
+    # every task of a large input has kept of it.
+    each = Window.partitionBy("lang", "bucket").orderBy("order")
     first = Window.partitionBy("lang").orderBy("order")
     wanted = (
-        labelled.select("lang", "order")
+        labelled.select("lang", "order", F.pmod("order", F.lit(_BUCKETS)).alias("bucket"))
         .distinct()
+        .withColumn("rank", F.row_number().over(each))
+        .filter(F.col("rank") <= train_documents)
         .withColumn("rank", F.row_number().over(first))
         .filter(F.col("rank") <= train_documents)
+        .select("lang", "order", "rank")
     )
     # Bounded by languages times documents.
     chosen = (

@@ -2,6 +2,16 @@
 
 from __future__ import annotations
 
+from tillroll.llm.licences import (
+    EDGES,
+    HINT,
+    LINE_BREAK,
+    NOISE,
+    RULES,
+    SENTENCE_END,
+    SENTENCES,
+)
+
 
 def _pii_kind(number: int, pattern: str, valid: str, score: int, boost: int, context: str, least: int) -> str:
     """Spans of one kind: gaps and matches alternate, so earlier lengths give the start."""
@@ -63,4 +73,44 @@ FROM docs d LEFT JOIN spans s USING (row_no)
 GROUP BY d.row_no, d.doc_id
 """
 
-ORACLE: dict[str, str] = {"op5_pii": _PII}
+_KNOWN = ", ".join(f"'{sentence}': '{name}'" for sentence, name in SENTENCES.items())
+
+
+def _look(sentence: str) -> str:
+    plain = (
+        f"regexp_replace(regexp_replace(lower({sentence}), '{NOISE}', ' ', 'g'), '{EDGES}', '', 'g')"
+    )
+    return f"coalesce(known[{plain}], '')"
+
+
+def _licences() -> str:
+    """Rules one after another: each uses up the identifiers it matches."""
+    steps, before = [], "joined"
+    for i, (name, sequence) in enumerate(RULES):
+        piece = "'" + ";" + ";;".join(sequence) + ";" + "'"
+        steps.append(
+            f"rule{i} AS (SELECT doc_id, n_known, replace(remaining, {piece}, '|') AS remaining,"
+            f" CASE WHEN contains(remaining, {piece}) THEN list_append(names, '{name}') ELSE names END"
+            f" AS names FROM {before})"
+        )
+        before = f"rule{i}"
+    return f"""
+WITH hinted AS (SELECT doc_id, text, MAP {{{_KNOWN}}} AS known,
+                       regexp_matches(lower(coalesce(text, '')), '{HINT}') AS hint FROM documents),
+found AS (
+  SELECT doc_id, CASE WHEN hint THEN list_filter(flatten(list_transform(
+      string_split_regex(text, '{SENTENCE_END}'),
+      lambda s: CASE WHEN {_look("s")} <> '' THEN [{_look("s")}]
+                     ELSE list_transform(string_split_regex(s, '{LINE_BREAK}'), lambda l: {_look("l")}) END)),
+      lambda i: i <> '') ELSE CAST([] AS VARCHAR[]) END AS ids
+  FROM hinted),
+joined AS (SELECT doc_id, CAST(len(ids) AS INT) AS n_known,
+                  ';' || array_to_string(ids, ';;') || ';' AS remaining, CAST([] AS VARCHAR[]) AS names FROM found),
+{", ".join(steps)}
+SELECT doc_id, array_to_string(list_sort(list_distinct(names)), ',') AS licences, n_known,
+       CAST(len(regexp_extract_all(remaining, '[A-Z0-9_]+')) AS INT) AS n_unmatched
+FROM {before}
+"""
+
+
+ORACLE: dict[str, str] = {"op3_licences": _licences(), "op5_pii": _PII}

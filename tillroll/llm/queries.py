@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.decontamination import contaminated
 from tillroll.llm.languages import languages, learn_languages
+from tillroll.llm.licences import licence_scan
 from tillroll.llm.mixing import mix, mixed_sizes
+from tillroll.llm.neighbours import nearest_neighbours
 from tillroll.llm.pii import personal_data, span_digest
 from tillroll.llm.sharding import sharded
 from tillroll.llm.simhash import near_duplicates
@@ -49,6 +51,17 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest vectors of every hundredth vector."""
+    vectors = table(spark, folder, "embeddings")
+    return nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+def op3_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences granted in every document."""
+    return licence_scan(table(spark, folder, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items found in documents."""
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -104,6 +117,8 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_neighbours": op2_neighbours,
+    "op3_licences": op3_licences,
     "op4_decontamination": op4_decontamination,
     "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
