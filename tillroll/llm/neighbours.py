@@ -33,6 +33,10 @@ class Index:
         self.order = np.argsort(values, axis=0, kind="stable").T.copy()
         self.values = np.sort(values, axis=0).T.copy()
         self.scale = float(np.abs(values).max(initial=0.0))
+        # All sorted arrays in one, each shifted past the one before, to look up all windows at once.
+        self.shift = (4 * self.scale + 1) * np.arange(PROJECTIONS)
+        self.flat = (self.values + self.shift[:, None]).ravel()
+        self.begin = len(ids) * np.arange(PROJECTIONS)
 
     def nearest(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of the ``k`` nearest found, ties to the smaller id; never ``own``.
@@ -45,7 +49,7 @@ class Index:
         """
         n = len(self.ids)
         centre = query @ self.lines
-        at = np.array([np.searchsorted(v, c) for v, c in zip(self.values, centre, strict=True)])
+        at = self._rank(centre, "left")
         low, high = at.copy(), at.copy()
         counts = np.zeros(n, np.int32)
         verified = self.ids == own
@@ -56,11 +60,13 @@ class Index:
         while wanted and not verified.all():
             half = _WIDTH * radius / 2 + slack
             came = []
-            for i, values in enumerate(self.values):
-                new_low = int(np.searchsorted(values, centre[i] - half, "left"))
-                new_high = int(np.searchsorted(values, centre[i] + half, "right"))
-                came += [self.order[i, new_low : low[i]], self.order[i, high[i] : new_high]]
-                low[i], high[i] = min(low[i], new_low), max(high[i], new_high)
+            new_low = np.minimum(low, self._rank(centre - half, "left"))
+            new_high = np.maximum(high, self._rank(centre + half, "right"))
+            for order, a, b, c, d in zip(
+                self.order, new_low.tolist(), low.tolist(), high.tolist(), new_high.tolist(), strict=True
+            ):
+                came += [order[a:b], order[c:d]]
+            low, high = new_low, new_high
             counts += np.bincount(np.concatenate(came), minlength=n).astype(np.int32)
             found = np.flatnonzero((counts >= needed) & ~verified)
             if len(found):
@@ -75,6 +81,12 @@ class Index:
             radius = radius * GROWTH if radius else 1e-3 * self.scale
         return ids, distances
 
+    def _rank(self, points: np.ndarray, side: str) -> np.ndarray:
+        """Where one point per projection stands in its sorted array."""
+        bound = 2 * self.scale + 0.25
+        found = np.searchsorted(self.flat, np.clip(points, -bound, bound) + self.shift, side)
+        return np.clip(found - self.begin, 0, len(self.ids))
+
     def _first_radius(self, centre: np.ndarray, at: np.ndarray, k: int) -> float:
         """Where typical windows hold a small share of the vectors, at least ``k``."""
         n = len(self.ids)
