@@ -45,7 +45,8 @@ def test_equals_the_mean_over_all_orders(table):
     score = F.exp(F.col("a")) * F.col("b") + F.abs(F.col("c") - F.col("a"))
     explained = {r["id"]: r for r in explain(table, score).collect()}
     rows = table.orderBy("id").collect()
-    expected = brute_force(rows, rows[:10], lambda a, b, c: math.exp(a) * b + abs(c - a))
+    background = attribution.background_rows(table, FEATURES, ["id"], 10).collect()
+    expected = brute_force(rows, background, lambda a, b, c: math.exp(a) * b + abs(c - a))
     assert len(explained) == 40
     for key, phi in expected.items():
         assert [explained[key][f"phi_{f}"] for f in FEATURES] == pytest.approx(phi, abs=1e-9)
@@ -92,12 +93,26 @@ def test_long_form(table):
     assert long.columns == ["id", "feature", "feature_value", "contribution"]
 
 
-def test_limits_are_checked(table):
-    with pytest.raises(ValueError):
-        attribution.background_rows(table, FEATURES, ["id"], attribution.MAX_BACKGROUND + 1)
-    many = [f"f{i}" for i in range(attribution.MAX_FEATURES + 1)]
-    with pytest.raises(ValueError):
-        attribution.shapley_values(table, table, many, F.lit(1), ["id"])
+def test_background_is_drawn_by_hash(spark):
+    """No prefix of the ids, any size, the same draw after a new layout."""
+    table = spark.range(1000).select("id", F.col("id").cast("double").alias("a"))
+    drawn = {r["a"] for r in attribution.background_rows(table, ["a"], ["id"], 200).collect()}
+    assert len(drawn) == 200 and 300 < sum(drawn) / 200 < 700
+    again = attribution.background_rows(table.repartition(7), ["a"], ["id"], 200)
+    assert {r["a"] for r in again.collect()} == drawn
+
+
+def test_equal_background_rows_weigh_as_many(table):
+    rounded = table.withColumns({f: F.round(f, 0) for f in FEATURES})
+    background = attribution.background_rows(rounded, FEATURES, ["id"], 40)
+    rows = background.collect()
+    assert len(rows) < 40 and sum(r["weight"] for r in rows) == 40
+    score = F.exp(F.col("a")) * F.col("b") - F.col("c")
+    explained = {r["id"]: r for r in explain(rounded, score, size=40).collect()}
+    all_rows = rounded.orderBy("id").collect()
+    expected = brute_force(all_rows, all_rows, lambda a, b, c: math.exp(a) * b - c)
+    for key, phi in expected.items():
+        assert [explained[key][f"phi_{f}"] for f in FEATURES] == pytest.approx(phi, abs=1e-9)
 
 
 def test_variants_are_not_shuffled(table):

@@ -97,7 +97,7 @@ def test_explanations_of_a_forest_add_up(fitted):
 
 
 def test_result_document(spark, folder, tmp_path):
-    document, _ = churn.evaluate_churn(labelled(spark, folder), n_explain=2, forest=SMALL_FOREST)
+    document, _ = churn.evaluate_churn(labelled(spark, folder), n_quoted=2, forest=SMALL_FOREST)
     write_json_document(document, str(tmp_path / "doc"))
     (file,) = [f for f in (tmp_path / "doc").glob("part*.txt") if f.stat().st_size]
     found = json.loads(file.read_text())
@@ -139,3 +139,31 @@ def test_document_with_two_segments(spark):
     assert gap["difference"] == round(abs(gap["A"] - gap["B"]), 4)
     assert report["max_disparity"] == max(g["difference"] for g in report["disparities"].values())
     assert report["fairness_concern"] == (report["max_disparity"] > 0.10)
+
+
+def test_all_held_out_lines_are_scored(lines):
+    marked = calendar.create_temporal_features(lines, HOLIDAYS)
+    train, test = models.demand_parts(marked, fraction=0.3)
+    found = models.fit_demand_model(marked, fraction=0.3, grid=SMALL_GRID)
+    assert found.predictions.count() == test.count() > 0.15 * lines.count()
+    assert found.train.count() == train.count() < 0.35 * lines.count()
+
+
+def test_tuning_names_the_smallest_error(spark, lines):
+    marked = calendar.create_temporal_features(lines, HOLIDAYS)
+    found = models.fit_demand_model(marked, fraction=0.5, grid=SMALL_GRID)
+    rows = models.tuning_results(found, spark).collect()
+    assert {(r["maxDepth"], r["numTrees"]) for r in rows} == {(2, 4), (3, 4)}
+    (chosen,) = [r for r in rows if r["chosen"]]
+    assert chosen["rmse"] == min(r["rmse"] for r in rows)
+    assert chosen["maxDepth"] == found.model.getOrDefault("maxDepth")
+
+
+def test_guests_are_no_customers_of_the_churn_model(spark, folder):
+    table = labelled(spark, folder)
+    guest = table.limit(1).withColumns(
+        {"CustomerID": F.lit(None).cast("double"), "average_transaction_value": F.lit(None).cast("double")}
+    )
+    found = models.fit_churn_model(table.unionByName(guest), forest=SMALL_FOREST)
+    assert found.predictions.where("CustomerID IS NULL").count() == 0
+    assert found.predictions.count() + found.train.count() == table.count()

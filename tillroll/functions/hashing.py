@@ -4,20 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Resolution of the unit interval a hash is mapped to.
-_STEPS = 1_000_000
+# Hexadecimal digits of a hash that make a position: 2^52 steps, all of which a double holds.
+_DIGITS = 13
 
 
-def unit_hash(columns: Sequence[str], seed: int, purpose: str) -> Column:
-    """A number in [0, 1) fixed by the values of ``columns``, the seed and the purpose.
+def _text(df: DataFrame, column: str) -> Column:
+    """One fixed text per value: numbers with a fraction in millionths, times to the second."""
+    kind, value = df.schema[column].dataType.typeName(), F.col(column)
+    if kind in ("double", "float") or kind.startswith("decimal"):
+        value = F.floor(value * 1_000_000)
+    elif kind.startswith("timestamp"):
+        value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+    return F.coalesce(value.cast("string"), F.lit("~"))
 
-    The purpose keeps a split independent of the sample it is made from.
+
+def position_hash(df: DataFrame, columns: Sequence[str], seed: int, purpose: str) -> Column:
+    """Hexadecimal digits fixed by the values of ``columns``, the seed and the purpose.
+
+    They are the first of the MD5 of ``purpose|seed|value|...``, so any engine can
+    repeat them. The purpose keeps a split independent of the sample it is made from.
     """
-    mixed = F.xxhash64(F.lit(purpose), F.lit(seed), *[F.col(c) for c in columns])
-    return F.pmod(mixed, F.lit(_STEPS)) / F.lit(float(_STEPS))
+    parts = [F.lit(purpose), F.lit(str(seed)), *[_text(df, c) for c in columns]]
+    return F.substring(F.md5(F.concat_ws("|", *parts)), 1, _DIGITS)
+
+
+def unit_hash(df: DataFrame, columns: Sequence[str], seed: int, purpose: str) -> Column:
+    """The position as a number in [0, 1)."""
+    digits = F.conv(position_hash(df, columns, seed, purpose), 16, 10)
+    return digits.cast("double") / F.lit(float(16**_DIGITS))
 
 
 def bucket_hash(columns: Sequence[str], buckets: int) -> Column:

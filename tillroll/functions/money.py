@@ -1,9 +1,8 @@
 """Money aggregates.
 
-Line revenue has two decimals, and averages of such amounts fall on exact half
-cents often enough that the order in which a cluster adds doubles decides the
-last digit. Averages are therefore taken over whole cents, where addition is
-exact and the order of tasks cannot matter.
+Averages of amounts fall on exact half cents often enough that the order in which a
+cluster adds doubles decides the last digit. They are therefore taken over decimals of ten
+places, where addition is exact and the order of tasks cannot matter.
 """
 
 from __future__ import annotations
@@ -11,37 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Largest amount whose cents a double holds exactly.
-_EXACT_AMOUNT = float(2**53) / 100
-
 
 def rounded_sum(column: str = "Revenue", digits: int = 2) -> Column:
     return F.round(F.sum(column), digits)
 
 
-def is_exact(column: str = "Revenue") -> Column:
-    """Whether an amount is a number with exact cents. False for NaN, null for null."""
-    return F.abs(F.col(column)) <= _EXACT_AMOUNT
-
+def exact(column: str = "Revenue") -> Column:
+    """The amount as a decimal of ten places; null for null, NaN and infinities."""
+    return F.col(column).try_cast("decimal(38,10)")
 
-def cents(column: str = "Revenue") -> Column:
-    """Amount in whole cents; null where :func:`is_exact` does not hold.
 
-    For amounts of two decimals, adding a half and cutting off finds the cent without
-    the decimal arithmetic of a rounding.
-    """
-    return F.when(is_exact(column), F.floor(F.col(column) * 100 + 0.5))
+def is_number(column: str = "Revenue") -> Column:
+    """Whether an amount is a finite number. Null for null."""
+    return F.abs(F.col(column)) < float("inf")
 
 
-def mean_amount(total: Column, exact_total: Column, inexact: Column, n: Column) -> Column:
+def mean_amount(exact_total: Column, total: Column, odd: Column, n: Column) -> Column:
     """Mean of ``n`` amounts to the cent, a half cent rounded away from zero.
 
-    Taken over the whole cents (``exact_total``) unless some amounts (``inexact`` of
-    them) are not made of whole cents; then over the sum of doubles. Null for no
-    amounts.
+    Taken over the decimals (``exact_total``). Amounts that are no numbers (``odd`` of
+    them) make it what they make the sum of doubles. Null for no amounts.
     """
-    doubled = F.nullif(n * 2, F.lit(0))
-    magnitude = F.call_function("div", F.abs(exact_total) * 2 + n, doubled)
-    exact = F.when(exact_total < 0, -magnitude).otherwise(magnitude) / F.lit(100.0)
-    plain = F.round(total / F.nullif(n, F.lit(0)), 2)
-    return F.when(inexact > 0, plain).otherwise(exact)
+    whole = F.nullif(n, F.lit(0))
+    mean = F.round(exact_total / whole, 2).cast("double")
+    return F.when(odd > 0, total / whole).otherwise(mean)

@@ -14,22 +14,31 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.hashing import position_hash
 from tillroll.operators.layout import spread
 
-# Upper limits that keep the variants of one row bounded.
-MAX_BACKGROUND = 100
-MAX_FEATURES = 12
+# Rows of a background unless another number is asked for.
+BACKGROUND_ROWS = 100
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 
 def background_rows(
-    df: DataFrame, features: Sequence[str], order_by: Sequence[str], size: int = MAX_BACKGROUND
+    df: DataFrame,
+    features: Sequence[str],
+    keys: Sequence[str],
+    size: int = BACKGROUND_ROWS,
+    seed: int = 42,
 ) -> DataFrame:
-    """A fixed background: the first ``size`` rows in the given order."""
-    if not 0 < size <= MAX_BACKGROUND:
-        raise ValueError(f"a background has 1 to {MAX_BACKGROUND} rows")
-    return df.orderBy(*order_by).limit(size).select(*features)
+    """A fixed background drawn from the whole table, with a weight per distinct row.
+
+    The ``size`` rows of smallest hash of their keys: a sample without regard to the order in
+    which ids were given out. Rows alike in all features are one row of the background that
+    weighs as many.
+    """
+    place = position_hash(df, keys, seed, "background")
+    drawn = df.withColumn("_place", place).orderBy("_place", *keys).limit(size)
+    return drawn.groupBy(*features).agg(F.count(F.lit(1)).alias("weight"))
 
 
 def _weights(n: int, feature: int) -> list[float]:
@@ -44,6 +53,10 @@ def _weights(n: int, feature: int) -> list[float]:
     return weights
 
 
+def _add_weight(total: Column, row: Column) -> Column:
+    return total + row["weight"]
+
+
 def shapley_values(
     rows: DataFrame,
     background: DataFrame,
@@ -55,7 +68,8 @@ def shapley_values(
 
     ``scorer`` is an expression over the features, or a function that adds a
     ``score`` column (a fitted model). ``background`` is a relation made by
-    :func:`background_rows`; it is small by construction and becomes one array.
+    :func:`background_rows`; its size is the caller's choice, and it becomes one array.
+    A row costs two to the number of features times the distinct background rows.
 
     Rows are spread over all cores by key, and the variants of a row are made, scored
     and added up where the row is: the rows are shuffled, the variants never.
@@ -63,23 +77,35 @@ def shapley_values(
     """
     features, keys = list(features), list(keys)
     n = len(features)
-    if n > MAX_FEATURES:
-        raise ValueError(f"at most {MAX_FEATURES} features can be attributed exactly")
     own = [f"_own{j}" for j in range(n)]
     pool = background.agg(
         F.collect_list(
-            F.struct(*[F.col(f).cast("double").alias(f"b{j}") for j, f in enumerate(features)])
+            F.struct(
+                *[F.col(f).cast("double").alias(f"b{j}") for j, f in enumerate(features)],
+                F.col("weight"),
+            )
         )
     ).scalar()
     variants = (
         spread(rows, *keys)
         .select(*keys, *[F.col(f).cast("double").alias(o) for f, o in zip(features, own)])
         .withColumn("_pool", pool)
+        .withColumn("_total", F.aggregate("_pool", F.lit(0).cast("long"), _add_weight))
         .withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2**n - 1))))
-        .withColumn("_other", F.explode("_pool"))
+        # The full coalition has no feature from the background: one variant stands for all.
+        .withColumn(
+            "_other",
+            F.explode(
+                F.when(F.col("_mask") == 2**n - 1, F.slice("_pool", 1, 1)).otherwise(F.col("_pool"))
+            ),
+        )
         .select(
             *keys,
             "_mask",
+            "_total",
+            F.when(F.col("_mask") == 2**n - 1, F.col("_total"))
+            .otherwise(F.col("_other.weight"))
+            .alias("_weight"),
             *[
                 F.when(F.col("_mask").bitwiseAND(F.lit(1 << j)) != 0, F.col(own[j]))
                 .otherwise(F.col(f"_other.b{j}"))
@@ -97,12 +123,14 @@ def shapley_values(
 
     def contribution(j: int) -> Column:
         weights = F.array(*[F.lit(w) for w in _weights(n, j)])
-        weight = F.element_at(weights, F.col("_mask") + 1)
-        return F.sum(weight * F.col("score")) / F.count_if(none_own)
+        weight = F.element_at(weights, F.col("_mask") + 1) * F.col("_weight")
+        return F.sum(weight * F.col("score")) / F.max("_total")
 
     return scored.groupBy(*keys).agg(
         F.avg(F.when(every_own, F.col("score"))).alias("score"),
-        F.avg(F.when(none_own, F.col("score"))).alias("base_value"),
+        (F.sum(F.when(none_own, F.col("score") * F.col("_weight"))) / F.max("_total")).alias(
+            "base_value"
+        ),
         *[F.max(F.when(every_own, F.col(f))).alias(f) for f in features],
         *[contribution(j).alias(f"phi_{f}") for j, f in enumerate(features)],
     )

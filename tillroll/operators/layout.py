@@ -37,7 +37,7 @@ def repartition_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash layout over at least one partition per core.
+    """At least one partition per core: by the hash of ``keys``, or in turn without any.
 
     For relations that are quick to store and slow to work on, such as training data
     or predictions to explain: adaptive execution merges partitions by their size
@@ -46,7 +46,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     session = df.sparkSession
     shuffle_partitions = int(session.conf.get("spark.sql.shuffle.partitions"))
     partitions = max(shuffle_partitions, session.sparkContext.defaultParallelism)
-    return df.repartition(partitions, *(keys or df.columns))
+    return df.repartition(partitions, *keys)
 
 
 @contextmanager

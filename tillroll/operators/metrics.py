@@ -10,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import cents, is_exact, mean_amount, rounded_sum
+from tillroll.functions.money import exact, is_number, mean_amount, rounded_sum
 from tillroll.sources.readers import query_sales
 
-_SALE_DATE = F.to_date
-
 
 def _units(name: str) -> Column:
     return F.sum("Quantity").alias(name)
@@ -33,11 +31,15 @@ def total_sales(df: DataFrame) -> DataFrame:
 
 def avg_transaction_value(df: DataFrame) -> DataFrame:
     """Mean revenue per invoice, to the cent."""
-    return (
-        df.groupBy("InvoiceNo")
-        .agg(F.sum("Revenue").alias("invoice_total"))
-        .agg(F.round(F.avg("invoice_total"), 2).alias("avg_transaction_value"))
+    per_invoice = df.groupBy("InvoiceNo").agg(
+        F.sum(exact()).alias("exact_total"),
+        F.sum("Revenue").alias("total"),
+        F.count_if(~is_number()).alias("odd"),
+    )
+    mean = mean_amount(
+        F.sum("exact_total"), F.sum("total"), F.sum("odd"), F.count("total")
     )
+    return per_invoice.agg(mean.alias("avg_transaction_value"))
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ def distinct_countries(df: DataFrame) -> DataFrame:
 
 def daily_sales(df: DataFrame) -> DataFrame:
     """Revenue, invoices and units per day, in date order."""
-    by_day = df.groupBy(_SALE_DATE("InvoiceDate").alias("sale_date")).agg(
+    by_day = df.groupBy(F.to_date("InvoiceDate").alias("sale_date")).agg(
         rounded_sum().alias("daily_revenue"), _invoices("transactions"), _units("units_sold")
     )
     return by_day.orderBy("sale_date")
@@ -135,7 +137,7 @@ def daily_sales_sql(df: DataFrame) -> DataFrame:
 
 def daily_rollup(df: DataFrame) -> DataFrame:
     """Unrounded revenue and units per day."""
-    return df.groupBy(_SALE_DATE("InvoiceDate").alias("d")).agg(
+    return df.groupBy(F.to_date("InvoiceDate").alias("d")).agg(
         F.sum("Revenue").alias("rev"), _units("q")
     )
 
@@ -170,4 +172,5 @@ def average_transaction_value() -> Column:
     """Revenue of a group of lines per invoice; lines without a number are one invoice."""
     priced = F.col("Revenue").isNotNull()
     invoices = F.count_distinct(F.when(priced, F.struct("InvoiceNo")))
-    return mean_amount(F.sum("Revenue"), F.sum(cents()), F.count_if(~is_exact()), invoices)
+    odd = F.count_if(~is_number())
+    return mean_amount(F.sum(exact()), F.sum("Revenue"), odd, invoices)

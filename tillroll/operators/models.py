@@ -37,16 +37,22 @@ DEMAND_FEATURES = (
     "is_holiday",
     "hour",
 )
+# What tells one line from another.
+LINE_KEYS = ("InvoiceNo", "StockCode", "Quantity", "UnitPrice")
 DEMAND_GRID: Mapping[str, Sequence[Any]] = {"maxDepth": (5, 10), "numTrees": (20, 50)}
 CHURN_FOREST: Mapping[str, Any] = {"numTrees": 60, "maxDepth": 8}
 
 
 class Fitted(NamedTuple):
-    """A model, the rows it was trained on, and its predictions for the other rows."""
+    """A model, the rows it was trained on, and its predictions for the other rows.
+
+    ``tuning`` has the grid points tried and their validation errors.
+    """
 
     model: Model
     train: DataFrame
     predictions: DataFrame
+    tuning: tuple[tuple[dict[str, Any], float], ...] = ()
 
 
 def assemble(
@@ -67,23 +73,35 @@ def fit_sales_forecast(daily: DataFrame, seed: int = SEED) -> Fitted:
     return Fitted(model, train, model.transform(test))
 
 
+def demand_parts(
+    lines: DataFrame, fraction: float = 0.1, seed: int = SEED
+) -> tuple[DataFrame, DataFrame]:
+    """The sampled training lines and all held-out lines, as inputs of the demand model."""
+    marked = label_split(lines, 0.8, seed, keys=LINE_KEYS)
+    train = sample_rows(marked.where("part = 'train'"), fraction, seed, keys=LINE_KEYS)
+    test = marked.where("part = 'test'")
+    inputs = [*DEMAND_FEATURES, F.col("Quantity").cast("double")]
+    return train.select(*inputs), test.select(*inputs)
+
+
 def fit_demand_model(
     lines: DataFrame,
     fraction: float = 0.1,
     grid: Mapping[str, Sequence[Any]] = DEMAND_GRID,
     seed: int = SEED,
 ) -> Fitted:
-    """Random forest for units per line, tuned on a validation split of a sample.
+    """Random forest for units per line, tuned on a validation split of a training sample.
 
-    ``lines`` carry the calendar features. The best model of the grid by root mean
-    square error is refitted on all training rows.
+    ``lines`` carry the calendar features. Every line is in the training or in the held-out part.
+    ``fraction`` bounds the training lines that are fitted; predictions are for all
+    held-out lines, scored in one pass over the source. The best model of the grid by
+    root mean square error is refitted on all training rows. Lines without one of the
+    features are left out of either part.
     """
-    marked = label_split(sample_rows(lines, fraction, seed), 0.8, seed)
-    inputs = marked.select(*DEMAND_FEATURES, F.col("Quantity").cast("double"), "part")
-    data = assemble(checkpointed(spread(inputs)), DEMAND_FEATURES)
+    sampled, held_out = demand_parts(lines, fraction, seed)
     train, test = (
-        data.where(F.col("part") == part).select("features", "Quantity")
-        for part in ("train", "test")
+        assemble(part, DEMAND_FEATURES, handle_invalid="skip").select("features", "Quantity")
+        for part in (checkpointed(spread(sampled)), held_out)
     )
     forest = RandomForestRegressor(featuresCol="features", labelCol="Quantity", seed=seed)
     points = ParamGridBuilder()
@@ -98,8 +116,24 @@ def fit_demand_model(
         parallelism=len(combinations),
         seed=seed,
     )
-    best = search.fit(train).bestModel
-    return Fitted(best, train, best.transform(test))
+    found = search.fit(train)
+    errors = [
+        ({p.name: v for p, v in point.items()}, float(error))
+        for point, error in zip(combinations, found.validationMetrics)
+    ]
+    return Fitted(found.bestModel, train, found.bestModel.transform(test), tuple(errors))
+
+
+def tuning_results(fitted: Fitted, spark: SparkSession) -> DataFrame:
+    """Validation error of every grid point, and which was chosen: the first of the smallest."""
+    names = sorted({name for point, _ in fitted.tuning for name in point})
+    errors = [error for _, error in fitted.tuning]
+    rows = [
+        (*[int(point[n]) for n in names], error, i == errors.index(min(errors)))
+        for i, (point, error) in enumerate(fitted.tuning)
+    ]
+    columns = "".join(f"{n} int, " for n in names)
+    return spark.createDataFrame(rows, f"{columns}rmse double, chosen boolean")
 
 
 def fit_churn_model(
@@ -110,10 +144,12 @@ def fit_churn_model(
 ) -> Fitted:
     """Random forest for the churn label over a labelled customer table.
 
-    Predictions keep the customer columns and gain ``prediction`` and ``score``, the
+    The group of lines without a customer is no customer: it is neither trained on nor
+    scored. Predictions keep the customer columns and gain ``prediction`` and ``score``, the
     votes for churn.
     """
-    data = checkpointed(spread(customers, "CustomerID"))
+    known = customers.where(F.col("CustomerID").isNotNull())
+    data = checkpointed(spread(known, "CustomerID"))
     train, test = split_rows(data, (0.8, 0.2), seed, keys=["CustomerID"])
     classifier = RandomForestClassifier(
         featuresCol="features", labelCol="label", seed=seed, **forest

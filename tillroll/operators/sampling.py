@@ -19,7 +19,7 @@ def sample_rows(
     df: DataFrame, fraction: float = 0.1, seed: int = 42, keys: Sequence[str] | None = None
 ) -> DataFrame:
     """A share of the rows. Rows alike in all ``keys`` are taken, or left, together."""
-    return df.where(unit_hash(keys or df.columns, seed, "sample") < fraction)
+    return df.where(unit_hash(df, keys or df.columns, seed, "sample") < fraction)
 
 
 def split_rows(
@@ -29,7 +29,7 @@ def split_rows(
     keys: Sequence[str] | None = None,
 ) -> list[DataFrame]:
     """Disjoint parts that together are the whole, sized like the weights."""
-    position = unit_hash(keys or df.columns, seed, "split")
+    position = unit_hash(df, keys or df.columns, seed, "split")
     total, edge, parts = sum(weights), 0.0, []
     for i, weight in enumerate(weights):
         low, edge = edge, edge + weight / total
@@ -45,5 +45,5 @@ def label_split(
     keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """The two-way split as a column, ``train`` or ``test``."""
-    training = unit_hash(keys or df.columns, seed, "split") < train_share
+    training = unit_hash(df, keys or df.columns, seed, "split") < train_share
     return df.withColumn("part", F.when(training, "train").otherwise("test"))

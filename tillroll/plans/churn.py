@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.attribution import MAX_BACKGROUND, background_rows, shapley_values
+from tillroll.operators.attribution import BACKGROUND_ROWS, background_rows, shapley_values
 from tillroll.operators.customers import CHURN_DAYS, CHURN_FEATURES
 from tillroll.operators.evaluation import (
     METRICS,
@@ -30,7 +30,7 @@ _EXPLAINED = (
 
 
 def first_customers(predictions: DataFrame, n: int = 5) -> DataFrame:
-    """The predictions a report explains: those of the lowest customer numbers."""
+    """The predictions the document quotes: those of the lowest customer numbers."""
     return predictions.orderBy("CustomerID").limit(n)
 
 
@@ -38,9 +38,12 @@ def explain_churn(
     fitted: Fitted,
     rows: DataFrame,
     features: Sequence[str] = CHURN_FEATURES,
-    background_size: int = MAX_BACKGROUND,
+    background_size: int = BACKGROUND_ROWS,
 ) -> DataFrame:
-    """Shapley values of the churn probability for the given customers."""
+    """Shapley values of the churn probability for the given customers.
+
+    ``rows`` may be all predictions: explanations are a relation with a row per customer.
+    """
     background = background_rows(fitted.train, features, ["CustomerID"], background_size)
     return shapley_values(
         rows,
@@ -53,7 +56,7 @@ def explain_churn(
 
 def evaluate_churn(
     customers: DataFrame,
-    n_explain: int = 5,
+    n_quoted: int = 5,
     features: Sequence[str] = CHURN_FEATURES,
     churn_days: int = CHURN_DAYS,
     forest: Mapping[str, Any] = CHURN_FOREST,
@@ -61,11 +64,12 @@ def evaluate_churn(
 ) -> tuple[DataFrame, DataFrame]:
     """Fit a forest on a labelled customer table and judge it on held-out customers.
 
-    Returns the result document and the metrics per segment.
+    Returns the result document and the metrics per segment. The document is a report of one
+    row and quotes ``n_quoted`` explanations; :func:`explain_churn` has them all.
     """
     fitted = fit_churn_model(customers, features, seed, forest)
     fitted = fitted._replace(predictions=checkpointed(fitted.predictions))
-    explained = explain_churn(fitted, first_customers(fitted.predictions, n_explain), features)
+    explained = explain_churn(fitted, first_customers(fitted.predictions, n_quoted), features)
     document = churn_document(fitted.predictions, explained, features, churn_days, forest)
     return document, segment_metrics(fitted.predictions)
 
@@ -123,6 +127,7 @@ def churn_document(
         ),
     )
     explanations = explained.agg(numbered.alias("part"))
+    # Names and texts of the document.
     settings = ", ".join(f"{name}={value}" for name, value in forest.items())
     parts = predictions.sparkSession.range(1).select(
         overall.scalar().alias("overall_metrics"),

@@ -31,6 +31,7 @@ def headline_figures(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("lines"),
     )
     per_invoice = F.col("revenue") / F.nullif(F.col("invoices"), F.lit(0))
+    # Names of the report.
     return figures.select(
         F.round("revenue", 2).alias("total_sales"),
         F.round(per_invoice, 2).alias("average_transaction_value"),

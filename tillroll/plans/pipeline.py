@@ -69,11 +69,11 @@ def write_churn_report(
     out: str,
     home_country: str = HOME_COUNTRY,
     forest: Mapping[str, Any] = CHURN_FOREST,
-    n_explain: int = 5,
+    n_quoted: int = 5,
 ) -> None:
     """The churn evaluation document and the flat table of its segments."""
     customers = churn_table(cleaned, home_country)
-    document, per_segment = evaluate_churn(customers, n_explain, forest=forest)
+    document, per_segment = evaluate_churn(customers, n_quoted, forest=forest)
     write_json_document(document, f"{out}/evaluation_results.json")
     write_csv(flat_fairness(per_segment), f"{out}/fairness_report.csv", order_by=["segment"])
 

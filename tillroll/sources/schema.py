@@ -1,22 +1,17 @@
 """The invoice-line schema every source is read with."""
 
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType, TimestampType
+from pyspark.sql.types import StructType
 
 # Column names, types and timestamp layout of the invoice-line table.
-_COLUMN_TYPES = {
-    "InvoiceNo": StringType(),
-    "StockCode": StringType(),
-    "Description": StringType(),
-    "Quantity": IntegerType(),
-    "InvoiceDate": TimestampType(),
-    "UnitPrice": DoubleType(),
-    "CustomerID": DoubleType(),
-    "Country": StringType(),
-}
+RETAIL_SCHEMA = (
+    StructType()
+    .add("InvoiceNo", "string")
+    .add("StockCode", "string")
+    .add("Description", "string")
+    .add("Quantity", "integer")
+    .add("InvoiceDate", "timestamp")
+    .add("UnitPrice", "double")
+    .add("CustomerID", "double")
+    .add("Country", "string")
+)
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
-RETAIL_SCHEMA = StructType()
-for _name, _type in _COLUMN_TYPES.items():
-    RETAIL_SCHEMA.add(_name, _type, nullable=True)
-
-LINE_COLUMNS = tuple(_COLUMN_TYPES)

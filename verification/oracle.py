@@ -6,6 +6,8 @@ plain discrete quantiles, metrics plain aggregates, contributions a closed form.
 
 from __future__ import annotations
 
+import math
+
 from verification.queries import (
     BACKGROUND,
     CAP_FACTOR,
@@ -15,6 +17,35 @@ from verification.queries import (
     SCORE_THRESHOLD,
 )
 
+
+
+def _position(purpose: str, *parts: str) -> str:
+    """The hash that samples and splits go by, as hexadecimal digits."""
+    values = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '~')" for p in parts)
+    return f"substr(md5(concat_ws('|', '{purpose}', '42', {values})), 1, 13)"
+
+
+def _share(part: float) -> str:
+    """The digits below which that share of all positions lies."""
+    return f"'{math.ceil(part * 16**13):013x}'"
+
+
+def _millionths(column: str) -> str:
+    return f"CAST(floor({column} * 1000000) AS BIGINT)"
+
+
+_CUSTOMER = _millionths("CustomerID")
+_LINE_KEY = ("InvoiceNo", "StockCode", "Quantity", _millionths("UnitPrice"))
+_WHOLE_LINE = (
+    "InvoiceNo",
+    "StockCode",
+    "Description",
+    "Quantity",
+    "strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S')",
+    _millionths("UnitPrice"),
+    _CUSTOMER,
+    "Country",
+)
 _DATES = ", ".join(f"DATE '{day}'" for day in HOLIDAYS)
 
 # Named relations; a query lists the ones it needs, in this order.
@@ -91,7 +122,18 @@ _RELATIONS = {
         SELECT CAST(InvoiceDate AS DATE) AS d, sum(Revenue) AS rev,
                CAST(sum(Quantity) AS BIGINT) AS q
         FROM sales GROUP BY ALL""",
-    "background": f"SELECT * FROM churn ORDER BY CustomerID LIMIT {BACKGROUND}",
+    "background": f"""
+        SELECT * FROM churn ORDER BY {_position("background", _CUSTOMER)}, CustomerID
+        LIMIT {BACKGROUND}""",
+    "daily": f"""
+        SELECT CAST(InvoiceDate AS DATE) AS sale_date,
+               CAST(dayofweek(sale_date) + 1 AS INT) AS day_of_week,
+               CAST(month(sale_date) AS INT) AS month,
+               CAST(quarter(sale_date) AS INT) AS quarter,
+               CASE WHEN dayofweek(sale_date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+               CAST(coalesce(CAST(InvoiceDate AS DATE) IN ({_DATES}), false) AS INT) AS is_holiday,
+               round(sum(Revenue), 2) AS daily_revenue
+        FROM clean GROUP BY ALL""",
     "means": """
         SELECT avg(total_purchases) AS ep, avg(unique_products) AS eu,
                avg(total_purchases * unique_products) AS epu,
@@ -216,6 +258,15 @@ _BEST = """
     FROM sales GROUP BY ALL ORDER BY total_quantity DESC, StockCode, Description LIMIT 5"""
 
 
+def _full(names: list[str], body: str) -> str:
+    """A question about clean lines, asked about the full cleaning chain, where units are doubles."""
+    chain = ORACLE_FULL.removeprefix("WITH ")
+    relations = {n: _RELATIONS[n] for n in names if n not in ("retail", "clean")}
+    ctes = ", ".join(f"{name} AS ({sql})" for name, sql in relations.items())
+    ctes = ctes.replace("CAST(sum(Quantity) AS BIGINT)", "sum(Quantity)")
+    return f"WITH clean AS (WITH {chain}), {ctes} {body}"
+
+
 def _clamp(column: str, low: str, high: str, k: float) -> str:
     return (
         f"least(greatest(CAST({column} AS DOUBLE), {low} - {k} * ({high} - {low})),"
@@ -233,6 +284,27 @@ def _outside(column: str, low: str, high: str, k: float) -> tuple[str, str]:
 _Q_OUT = " OR ".join(_outside("Quantity", "q1", "q3", 1.5))
 _P_OUT = " OR ".join(_outside("UnitPrice", "p1", "p3", 1.5))
 
+# The full cleaning chain, which other questions build on.
+ORACLE_FULL = _with(
+    _IDENTIFIED,
+    f""", filled AS (
+            SELECT * EXCLUDE (price) REPLACE (coalesce(UnitPrice, price) AS UnitPrice)
+            FROM identified, mid),
+        valid AS (
+            SELECT * FROM filled
+            WHERE InvoiceNo NOT LIKE 'C%' AND Quantity > 0 AND UnitPrice > 0),
+        quart AS (
+            SELECT quantile_disc(Quantity, 0.25) AS q1, quantile_disc(Quantity, 0.75) AS q3,
+                   quantile_disc(UnitPrice, 0.25) AS p1, quantile_disc(UnitPrice, 0.75) AS p3
+            FROM valid),
+        capped AS (
+            SELECT InvoiceNo, StockCode, Description,
+                   {_clamp("Quantity", "q1", "q3", 1.5)} AS Quantity, InvoiceDate,
+                   {_clamp("UnitPrice", "p1", "p3", 1.5)} AS UnitPrice, CustomerID, Country
+            FROM valid, quart)
+        SELECT *, round(Quantity * UnitPrice, 2) AS Revenue FROM capped""",
+)
+
 ORACLE: dict[str, str] = {
     "dataset_shape": _with(_RETAIL, "SELECT count(*) AS n_rows, 8 AS n_columns FROM retail"),
     "preview": _with(
@@ -308,25 +380,7 @@ ORACLE: dict[str, str] = {
     "clean_data_keep_guests": _with(
         _SALES, f"SELECT {_LINE} FROM sales WHERE trim(Description) <> ''"
     ),
-    "clean_full": _with(
-        _IDENTIFIED,
-        f""", filled AS (
-                SELECT * EXCLUDE (price) REPLACE (coalesce(UnitPrice, price) AS UnitPrice)
-                FROM identified, mid),
-            valid AS (
-                SELECT * FROM filled
-                WHERE InvoiceNo NOT LIKE 'C%' AND Quantity > 0 AND UnitPrice > 0),
-            quart AS (
-                SELECT quantile_disc(Quantity, 0.25) AS q1, quantile_disc(Quantity, 0.75) AS q3,
-                       quantile_disc(UnitPrice, 0.25) AS p1, quantile_disc(UnitPrice, 0.75) AS p3
-                FROM valid),
-            capped AS (
-                SELECT InvoiceNo, StockCode, Description,
-                       {_clamp("Quantity", "q1", "q3", 1.5)} AS Quantity, InvoiceDate,
-                       {_clamp("UnitPrice", "p1", "p3", 1.5)} AS UnitPrice, CustomerID, Country
-                FROM valid, quart)
-            SELECT *, round(Quantity * UnitPrice, 2) AS Revenue FROM capped""",
-    ),
+    "clean_full": ORACLE_FULL,
     "threshold_filter": _with(
         _RETAIL,
         f"SELECT * FROM retail WHERE UnitPrice > {PRICE_THRESHOLD} AND Quantity % 2 = 0",
@@ -457,6 +511,52 @@ ORACLE: dict[str, str] = {
                    {_HOLIDAY}, round(sum(Revenue), 2) AS daily_revenue
             FROM clean GROUP BY ALL""",
     ),
+    "customer_avg_transaction_raw": _with(
+        _SALES,
+        """SELECT CustomerID,
+                  CAST((2 * total + n * 100000000) // (2 * n * 100000000) AS BIGINT) / 100
+                      AS average_transaction_value
+           FROM (SELECT CustomerID, count(DISTINCT InvoiceNo) AS n,
+                        sum(CAST(round(Revenue * 10000000000) AS HUGEINT)) AS total
+                 FROM sales GROUP BY CustomerID)""",
+    ),
+    "customer_features_full": _full(_FEATURES, "SELECT * FROM features"),
+    "churn_table_full": _full(_CHURN, "SELECT * FROM churn"),
+    "daily_model_frame_full": _full([*_CLEAN, "daily"], "SELECT * FROM daily"),
+    "sample_lines": _with(
+        _RETAIL, f"SELECT * FROM retail WHERE {_position('sample', *_WHOLE_LINE)} < {_share(0.1)}"
+    ),
+    "train_test_split": _with(
+        _CHURN,
+        f"""SELECT *, CASE WHEN {_position("split", _CUSTOMER)} < {_share(0.8)} THEN 'train'
+                           ELSE 'test' END AS part FROM churn""",
+    ),
+    "forecast_held_out": _with(
+        [*_CLEAN, "daily"],
+        f"""SELECT sale_date, daily_revenue AS actual FROM daily
+            WHERE {_position("split", "sale_date")} >= {_share(0.8)}""",
+    ),
+    "forecast_normal_equations": _with(
+        [*_CLEAN, "daily"],
+        f"""SELECT n_train, unnest(['day_of_week', 'month', 'quarter', 'is_weekend', 'is_holiday'])
+                   AS feature, CAST(0 AS DOUBLE) AS moment
+            FROM (SELECT count(*) AS n_train FROM daily
+                  WHERE {_position("split", "sale_date")} < {_share(0.8)})""",
+    ),
+    "demand_held_out": _with(
+        _CLEAN,
+        f"""SELECT 'held_out' AS part, count(*) AS n_lines, CAST(sum(Quantity) AS DOUBLE) AS units
+            FROM clean WHERE {_position("split", *_LINE_KEY)} >= {_share(0.8)}
+            UNION ALL
+            SELECT 'sampled_train', count(*), CAST(sum(Quantity) AS DOUBLE)
+            FROM clean WHERE {_position("split", *_LINE_KEY)} < {_share(0.8)}
+              AND {_position("sample", *_LINE_KEY)} < {_share(0.1)}""",
+    ),
+    "churn_held_out": _with(
+        _CHURN,
+        f"""SELECT CustomerID, label FROM churn
+            WHERE {_position("split", _CUSTOMER)} >= {_share(0.8)}""",
+    ),
     "customer_avg_transaction": _with(
         _FEATURES, "SELECT CustomerID, average_transaction_value FROM baskets"
     ),

@@ -113,7 +113,7 @@ def _explained(spark: SparkSession, sf: str) -> DataFrame:
         + 0.01 * F.col("average_transaction_value")
     )
     background = attribution.background_rows(
-        rows, customers.CHURN_FEATURES, ["CustomerID"], BACKGROUND
+        rows, customers.CHURN_FEATURES, ["CustomerID"], size=BACKGROUND
     )
     return attribution.shapley_values(
         rows, background, customers.CHURN_FEATURES, rule, ["CustomerID"]
@@ -149,13 +149,46 @@ def _forecast(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _demand(spark: SparkSession, sf: str) -> DataFrame:
+def _demand_fit(spark: SparkSession, sf: str) -> models.Fitted:
+    return models.fit_demand_model(
+        calendar.create_temporal_features(clean_lines(spark, sf), HOLIDAYS)
+    )
+
+
+def _demand_held_out(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines and units in both parts of the demand model."""
     lines = calendar.create_temporal_features(clean_lines(spark, sf), HOLIDAYS)
-    return models.actual_vs_predicted(
-        models.fit_demand_model(lines).predictions, "random_forest", "Quantity"
+    train, test = (
+        part.agg(F.count(F.lit(1)).alias("n_lines"), F.sum("Quantity").alias("units"))
+        for part in models.demand_parts(lines)
+    )
+    return train.withColumn("part", F.lit("sampled_train")).unionByName(
+        test.withColumn("part", F.lit("held_out"))
     )
 
 
+def _normal_equations(spark: SparkSession, sf: str) -> DataFrame:
+    """Residuals of the forecast times each input: least squares makes the sums zero."""
+    daily = calendar.daily_model_frame(clean_lines(spark, sf), HOLIDAYS)
+    fitted = models.fit_sales_forecast(daily)
+    rest = F.col("daily_revenue") - F.col("prediction")
+    scored = fitted.model.transform(fitted.train)
+    sums = scored.agg(
+        F.count(F.lit(1)).alias("n_train"),
+        *[
+            (F.sum(rest * F.col(f)) / F.sum(F.abs(F.col("daily_revenue") * F.col(f)))).alias(f)
+            for f in calendar.DAY_FEATURES
+        ],
+    )
+    long = sums.unpivot(["n_train"], list(calendar.DAY_FEATURES), "feature", "moment")
+    return long.withColumn("moment", F.round("moment", 6) + F.lit(0.0))
+
+
+def full_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of the full cleaning chain: imputed prices, capped amounts."""
+    return cleaning.clean_full(raw(spark, sf), relative_error=0)
+
+
 def _churn_fit(spark: SparkSession, sf: str) -> models.Fitted:
     return models.fit_churn_model(labelled(spark, sf))
 
@@ -168,7 +201,7 @@ def _importances(spark: SparkSession, sf: str) -> DataFrame:
 
 def _churn_explanations(spark: SparkSession, sf: str) -> DataFrame:
     fitted = _churn_fit(spark, sf)
-    explained = churn.explain_churn(fitted, churn.first_customers(fitted.predictions))
+    explained = churn.explain_churn(fitted, fitted.predictions)
     return attribution.contributions(
         explained, customers.CHURN_FEATURES, ["CustomerID", "label", "score", "base_value"]
     )
@@ -267,6 +300,12 @@ QUERIES: dict[str, Query] = {
         calendar.daily_model_frame(clean_lines(s, d), HOLIDAYS), 2, "daily_revenue"
     ),
     "customer_avg_transaction": lambda s, d: metrics.customer_avg_transaction(clean_lines(s, d)),
+    "customer_avg_transaction_raw": lambda s, d: metrics.customer_avg_transaction(raw_sales(s, d)),
+    "customer_features_full": lambda s, d: customers.create_customer_features(full_lines(s, d)),
+    "churn_table_full": lambda s, d: customers.churn_table(full_lines(s, d), home_country=HOME),
+    "daily_model_frame_full": lambda s, d: _round(
+        calendar.daily_model_frame(full_lines(s, d), HOLIDAYS), 2, "daily_revenue"
+    ),
     "customer_features": lambda s, d: customers.create_customer_features(clean_lines(s, d)),
     "scaled_customer_features": _scaled,
     "churn_table": labelled,
@@ -285,7 +324,26 @@ QUERIES: dict[str, Query] = {
     "top_driver": _top_driver,
     # models
     "sales_forecast": _forecast,
-    "demand_model": _demand,
+    "forecast_held_out": lambda s, d: _round(
+        models.fit_sales_forecast(
+            calendar.daily_model_frame(clean_lines(s, d), HOLIDAYS)
+        ).predictions.select("sale_date", F.col("daily_revenue").alias("actual")),
+        2,
+        "actual",
+    ),
+    "forecast_normal_equations": _normal_equations,
+    "demand_model": lambda s, d: models.actual_vs_predicted(
+        _demand_fit(s, d).predictions, "random_forest", "Quantity"
+    ),
+    "demand_held_out": _demand_held_out,
+    "demand_importances": lambda s, d: models.feature_importances(
+        _demand_fit(s, d).model, models.DEMAND_FEATURES, s
+    ),
+    "tuning_results": lambda s, d: models.tuning_results(_demand_fit(s, d), s),
+    "model_metrics": lambda s, d: evaluation.regression_metrics(
+        training.model_predictions(clean_lines(s, d), HOLIDAYS), ["model"]
+    ),
+    "churn_held_out": lambda s, d: _churn_fit(s, d).predictions.select("CustomerID", "label"),
     "model_predictions": lambda s, d: training.model_predictions(clean_lines(s, d), HOLIDAYS),
     "churn_predictions": lambda s, d: _churn_fit(s, d).predictions,
     "feature_importances": _importances,
