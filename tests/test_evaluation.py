@@ -36,10 +36,12 @@ def brute_force_auc(rows):
 
 
 @pytest.mark.parametrize("ranges", [1, 2, 7, 256])
-def test_auc_equals_counting_pairs(spark, monkeypatch, ranges):
-    monkeypatch.setattr(evaluation, "_SCORE_RANGES", ranges)
+def test_auc_equals_counting_pairs(spark, ranges):
     predictions = random_predictions(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
     found = evaluation.auc_roc(predictions).first()["auc_roc"]
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found == pytest.approx(brute_force_auc(predictions.collect()), abs=1e-12)
 
 
@@ -157,3 +159,14 @@ def test_flat_report_columns(spark):
     flat = flat_fairness(per_segment)
     assert flat.columns == ["segment", "n", "auc_roc", "precision", "recall", "f1"]
     assert [r["segment"] for r in flat.collect()] == ["A", "B", "C"]
+
+
+def test_scores_that_cannot_be_ranked(spark):
+    rows = [(1, 0.9, 1.0), (0, 0.1, 0.0), (1, 0.4, 0.0), (0, 0.6, 1.0), (0, None, 0.0), (1, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "label int, score double, prediction double")
+    ranked = df.where("score IS NOT NULL AND NOT isnan(score)")
+    found, expected = (evaluation.classification_metrics(d).first() for d in (df, ranked))
+    assert found["auc_roc"] == expected["auc_roc"] == 0.75
+    assert (found["n"], expected["n"]) == (6, 4)
+    only = df.where("score IS NULL OR isnan(score)")
+    assert evaluation.auc_roc(only).first()["auc_roc"] is None

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import customers, metrics
+from verification.queries import clean_lines
 
 _HOT_DAY = "TIMESTAMP_NTZ'2011-05-01 10:00:00'"
 _OTHER_DAYS = "TIMESTAMP_NTZ'2011-06-01 10:00:00' + make_dt_interval(CAST(id % 9 AS INT))"
@@ -71,3 +72,12 @@ def test_the_shuffle_of_lines_spreads_a_hot_group(skewed, metric, counted):
 def test_plain_sums_combine_before_the_shuffle(skewed, metric):
     plan = metric(skewed)._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan.split("Exchange hashpartitioning")[-1]
+
+
+def test_customer_tables_do_not_fan_lines_out(spark, folder):
+    for table in (
+        customers.create_customer_features(clean_lines(spark, folder)),
+        customers.churn_table(clean_lines(spark, folder)),
+    ):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan

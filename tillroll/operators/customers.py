@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.metrics import average_transaction_value
+from tillroll.functions.money import exact, is_number, mean_amount
 
 # The features a churn model sees, the scaled ones, and the label rule.
 CHURN_FEATURES = (
@@ -33,26 +33,48 @@ def snapshot_date(df: DataFrame) -> DataFrame:
     return df.agg(F.max("InvoiceDate").alias("snapshot"))
 
 
-def create_customer_features(df: DataFrame) -> DataFrame:
-    """One row per customer: frequency, units, revenue, range, recency, basket value.
+def _customers(df: DataFrame) -> DataFrame:
+    """One row per customer, folded from lines by way of invoices.
 
-    All of it is one aggregation over one scan, with no join. Its distinct counts
-    combine on the map side and shuffle on customer together with invoice or
-    product, so a customer with a third of all lines is spread out.
-
-    Recency is measured from the last line of the table, read as a scalar subquery.
-    Lines without a customer form one group, which has no mean basket.
+    Lines fold on the map side to (customer, invoice, country) with plain sums and times; what
+    is left is small, and distinct invoices are rows of it. Distinct products are counted
+    beside it on (customer, product). No line is fanned out for a distinct count, and a
+    customer with a third of all lines is spread over invoices and products.
     """
-    customers = df.groupBy("CustomerID").agg(
-        F.count_distinct("InvoiceNo").alias("total_purchases"),
-        F.sum("Quantity").alias("total_quantity"),
-        F.round(F.sum("Revenue"), 2).alias("total_revenue"),
-        F.count_distinct("StockCode").alias("unique_products"),
-        F.max("InvoiceDate").alias("last_purchase"),
-        average_transaction_value().alias("basket"),
+    per_country = df.groupBy("CustomerID", "InvoiceNo", "Country").agg(
+        F.sum("Quantity").alias("units"),
+        F.sum("Revenue").alias("revenue"),
+        F.sum(exact()).alias("exact_revenue"),
+        F.count_if(~is_number()).alias("odd"),
+        F.count("Revenue").alias("priced"),
+        F.min("InvoiceDate").alias("since"),
+        F.max("InvoiceDate").alias("until"),
+    )
+    start = F.struct(F.col("since").isNull(), "since", "Country")
+    per_invoice = per_country.groupBy("CustomerID", "InvoiceNo").agg(
+        *[F.sum(c).alias(c) for c in ("units", "revenue", "exact_revenue", "odd", "priced")],
+        F.max("until").alias("until"),
+        F.min(F.when(F.col("Country").isNotNull(), start)).alias("start"),
+    )
+    basket = mean_amount(
+        F.sum("exact_revenue"), F.sum("revenue"), F.sum("odd"), F.count_if(F.col("priced") > 0)
+    )
+    customers = per_invoice.groupBy("CustomerID").agg(
+        F.count("InvoiceNo").alias("total_purchases"),
+        F.sum("units").alias("total_quantity"),
+        F.round(F.sum("revenue"), 2).alias("total_revenue"),
+        F.max("until").alias("last_purchase"),
+        basket.alias("basket"),
+        F.min("start")["Country"].alias("country"),
+    )
+    products = (
+        df.select(F.col("CustomerID").alias("_buyer"), "StockCode")
+        .distinct()
+        .groupBy("_buyer")
+        .agg(F.count("StockCode").alias("unique_products"))
     )
     recency = F.date_diff(snapshot_date(df).scalar(), F.col("last_purchase"))
-    return customers.select(
+    return customers.join(products, F.col("CustomerID").eqNullSafe(F.col("_buyer"))).select(
         "CustomerID",
         "total_purchases",
         "total_quantity",
@@ -62,9 +84,19 @@ def create_customer_features(df: DataFrame) -> DataFrame:
         F.when(F.col("CustomerID").isNotNull(), F.col("basket")).alias(
             "average_transaction_value"
         ),
+        "country",
     )
 
 
+def create_customer_features(df: DataFrame) -> DataFrame:
+    """One row per customer: frequency, units, revenue, range, recency, basket value.
+
+    Recency is measured from the last line of the table, a scalar subquery that reads one column
+    of it. Lines without a customer form one group, which has no mean basket.
+    """
+    return _customers(df).drop("country")
+
+
 def customer_country(df: DataFrame) -> DataFrame:
     """Country of each customer's earliest line; alphabetical among lines of one time.
 
@@ -94,15 +126,10 @@ def segment(country: str = "country", home: str = HOME_COUNTRY) -> Column:
 def churn_table(
     df: DataFrame, home_country: str = HOME_COUNTRY, churn_days: int = CHURN_DAYS
 ) -> DataFrame:
-    """Customer features with country, churn label and segment.
+    """Customer features with country, churn label and segment, from the same fold of lines.
 
-    The join is between two relations of one row per customer; null-safe, so guests
-    keep their country.
+    Guests form one row with a country of its own.
     """
-    home = customer_country(df).withColumnRenamed("CustomerID", "_customer")
-    customers = create_customer_features(df).join(
-        home, F.col("CustomerID").eqNullSafe(F.col("_customer")), "left"
-    )
-    return customers.drop("_customer").withColumns(
+    return _customers(df).withColumns(
         {"label": churn_label(threshold=churn_days), "segment": segment(home=home_country)}
     )

@@ -6,6 +6,7 @@ groups: ``by`` takes the grouping columns, and without them there is one row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,9 +16,6 @@ METRICS = ("auc_roc", "precision", "recall", "f1")
 # Fixed value: a gap above this between two segments is a concern.
 FAIRNESS_THRESHOLD = 0.10
 
-# Score ranges that are ranked independently of each other.
-_SCORE_RANGES = 256
-
 
 def regression_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Root mean square error and R² of ``predicted`` against ``actual``."""
@@ -35,10 +33,13 @@ def _counts(predictions: DataFrame, by: Sequence[str], score: str | None) -> Dat
 
     A win is a positive scored above a negative; a tie is half a win. Rows are first
     folded to distinct scores, however many rows share one. Those are cut into ranges
-    of about equal size and ranked range by range in parallel; a range's wins over
-    all lower ranges need only the class sizes per range, a relation of a few hundred
-    rows. The cuts come from a sketch of the distinct scores and only balance the
-    work: any cuts give the same counts.
+    of about equal size, as many as the session has shuffle partitions, and ranked range by
+    range in parallel; a range's wins over all lower ranges need only the class sizes per
+    range. The cuts come from a sketch of the distinct scores and only balance the work:
+    any cuts give the same counts.
+
+    A row whose score is null or NaN cannot be ranked: it counts in the class sizes and hits,
+    which do not look at scores, but not in the wins or in the pairs they are a share of.
     """
     by = list(by)
     positive, claimed = F.col("label") == 1, F.col("prediction") == 1
@@ -51,14 +52,37 @@ def _counts(predictions: DataFrame, by: Sequence[str], score: str | None) -> Dat
     if score is None:
         return predictions.groupBy(*by).agg(*[m.alias(n) for n, m in sizes.items()])
 
-    value = F.col(score).cast("double")
+    value = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
+    ranges = max(2, int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     per_score = predictions.groupBy(*by, value.alias("_score")).agg(
         *[m.alias(n) for n, m in sizes.items()]
     )
-    shares = [i / _SCORE_RANGES for i in range(1, _SCORE_RANGES)]
-    cuts = per_score.agg(F.percentile_approx("_score", shares).alias("_cuts")).scalar()
-    ranged = per_score.withColumn("_cuts", cuts).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col("_score")))
+    shares = [i / ranges for i in range(1, ranges)]
+    # Every step-th cut first, then those in between: a score is placed in about 2 * step looks.
+    step = math.isqrt(ranges) + 1
+    cuts = (
+        per_score.agg(F.percentile_approx("_score", shares).alias("fine"))
+        .select(
+            F.struct(
+                "fine", F.filter("fine", lambda _, i: i % step == step - 1).alias("coarse")
+            ).alias("cuts")
+        )
+        .scalar()
+    )
+
+    def passed(some: Column) -> Column:
+        return F.size(F.filter(some, lambda cut: cut < F.col("_score")))
+
+    scored = F.col("_score").isNotNull()
+    ranged = (
+        per_score.withColumns({"_pos": F.when(scored, F.col("pos")), "_neg": F.when(scored, F.col("neg"))})
+        .withColumn("_cuts", cuts)
+        .withColumn("_skip", step * passed(F.col("_cuts.coarse")))
+        .withColumn(
+            "_range",
+            F.col("_skip") + passed(F.slice(F.col("_cuts.fine"), F.col("_skip") + 1, F.lit(step))),
+        )
+        .withColumn("_range", F.when(scored, F.col("_range")).otherwise(F.lit(-1)))
     )
     lower_in_range = (
         Window.partitionBy(*by, "_range")
@@ -69,26 +93,26 @@ def _counts(predictions: DataFrame, by: Sequence[str], score: str | None) -> Dat
         Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
     per_range = (
-        ranged.withColumn("_lower", F.coalesce(F.sum("neg").over(lower_in_range), F.lit(0)))
+        ranged.withColumn("_lower", F.coalesce(F.sum("_neg").over(lower_in_range), F.lit(0)))
         .groupBy(*by, "_range")
         .agg(
-            F.sum(F.col("pos") * (F.col("_lower") + F.col("neg") / 2)).alias("wins"),
-            *[F.sum(n).alias(n) for n in sizes],
+            F.sum(F.col("_pos") * (F.col("_lower") + F.col("_neg") / 2)).alias("wins"),
+            *[F.sum(n).alias(n) for n in (*sizes, "_pos", "_neg")],
         )
     )
     return (
-        per_range.withColumn("_lower", F.coalesce(F.sum("neg").over(lower_ranges), F.lit(0)))
+        per_range.withColumn("_lower", F.coalesce(F.sum("_neg").over(lower_ranges), F.lit(0)))
         .groupBy(*by)
         .agg(
-            F.sum(F.col("wins") + F.col("pos").cast("double") * F.col("_lower")).alias("wins"),
+            F.sum(F.col("wins") + F.col("_pos").cast("double") * F.col("_lower")).alias("wins"),
+            (F.sum("_pos").cast("double") * F.sum("_neg")).alias("pairs"),
             *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sizes],
         )
     )
 
 
 def _auc() -> Column:
-    pairs = F.col("pos").cast("double") * F.col("neg")
-    return F.col("wins") / F.nullif(pairs, F.lit(0.0))
+    return F.col("wins") / F.nullif(F.col("pairs"), F.lit(0.0))
 
 
 def auc_roc(

@@ -97,9 +97,8 @@ def _regression(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _repartition_profile(spark: SparkSession, sf: str) -> DataFrame:
-    spread = layout.repartition_by(
-        raw_sales(spark, sf), ["Country"], salt_on=["InvoiceNo", "StockCode"], salts=8
-    )
+    keys = raw_sales(spark, sf).select("Country", "InvoiceNo", "StockCode")
+    spread = layout.repartition_by(keys, ["Country"], salt_on=["InvoiceNo", "StockCode"], salts=8)
     return layout.repartition_profile(spread, ["Country"])
 
 
