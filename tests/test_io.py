@@ -18,8 +18,8 @@ from tillroll.sources import (
 )
 
 CSV = """InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country
-536365,85123A,"HEART, WHITE",6,2010-12-01 08:26:00,2.55,17850.0,United Kingdom
-C536366,71053,,x,2010-12-01 08:28:00,3.39,,France
+800201,ZX-9,"LAMP, GREEN",6,2010-12-01 08:26:00,2.15,601.0,Norway
+C800202,ZX-7,,x,2010-12-01 08:28:00,3.25,,Spain
 """
 
 
@@ -34,7 +34,7 @@ def test_csv_with_the_fixed_schema(spark, csv_file):
     df = load_sales_data(spark, csv_file)
     assert df.schema == RETAIL_SCHEMA
     good, bad = df.orderBy("InvoiceNo").collect()
-    assert good["Description"] == "HEART, WHITE"
+    assert good["Description"] == "LAMP, GREEN"
     assert good["InvoiceDate"] == dt.datetime(2010, 12, 1, 8, 26)
     assert (bad["Description"], bad["Quantity"], bad["CustomerID"]) == (None, None, None)
 
@@ -64,16 +64,21 @@ def parts(folder: Path, suffix: str):
 def test_a_report_is_one_ordered_file(spark, make_lines, tmp_path):
     lines = make_lines(*[{"InvoiceDate": dt.datetime(2011, 1, d)} for d in range(1, 29)])
     report = daily_sales(add_revenue(lines.repartition(5)))
-    write_csv(report, str(tmp_path / "report"), order_by=["sale_date"])
+    write_csv(report, str(tmp_path / "report"), order_by=["sale_date"], files=1)
     (file,) = parts(tmp_path / "report", ".csv")
     header, *rows = file.read_text().splitlines()
     assert header == "sale_date,daily_revenue,transactions,units_sold"
     assert rows == sorted(rows) and len(rows) == 28
 
 
-def test_an_unordered_report_is_one_file_too(spark, tmp_path):
-    write_csv(spark.range(100).repartition(6), str(tmp_path / "report"))
-    assert len(parts(tmp_path / "report", ".csv")) == 1
+def test_the_number_of_files_is_the_callers(spark, tmp_path):
+    rows = spark.range(100).repartition(6)
+    for files in (1, 3):
+        write_csv(rows, str(tmp_path / "report"), files=files)
+        assert len(parts(tmp_path / "report", ".csv")) == files
+    write_csv(rows, str(tmp_path / "ordered"), ["id"], files=2)
+    first, second = (f.read_text().split()[1:] for f in parts(tmp_path / "ordered", ".csv"))
+    assert [*map(int, first), *map(int, second)] == list(range(100)) and first and second
 
 
 def test_parquet_round_trip(spark, make_lines, tmp_path):

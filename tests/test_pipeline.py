@@ -31,8 +31,6 @@ def test_reports_are_single_files(out):
         "top_products.csv",
         "daily_sales.csv",
         "sales_by_country.csv",
-        "customer_features.csv",
-        "customer_features_scaled.csv",
         "fairness_report.csv",
     ):
         assert len(list((out / name).glob("part-*.csv"))) == 1, name

@@ -29,14 +29,13 @@ from tillroll.sources import read_lines_parquet, write_csv, write_json_document,
 def write_metrics(raw: DataFrame, out: str) -> None:
     """Key figures, best sellers, daily sales and sales by country of the raw lines."""
     sales = add_revenue(remove_invalid_sales(raw), digits=None)
-    write_csv(kpi_summary(raw), f"{out}/metrics.csv")
+    write_csv(kpi_summary(raw), f"{out}/metrics.csv", files=1)
     best_first = [F.desc("total_quantity"), "StockCode", "Description"]
-    write_csv(metrics.top_products(sales), f"{out}/top_products.csv", order_by=best_first)
-    write_csv(metrics.daily_sales(sales), f"{out}/daily_sales.csv", order_by=["sale_date"])
+    write_csv(metrics.top_products(sales), f"{out}/top_products.csv", best_first, files=1)
+    write_csv(metrics.daily_sales(sales), f"{out}/daily_sales.csv", ["sale_date"], files=1)
     largest_first = [F.desc("total_revenue"), "Country"]
-    write_csv(
-        metrics.sales_by_country(sales), f"{out}/sales_by_country.csv", order_by=largest_first
-    )
+    by_country = metrics.sales_by_country(sales)
+    write_csv(by_country, f"{out}/sales_by_country.csv", largest_first, files=1)
 
 
 def write_cleaned(raw: DataFrame, out: str, relative_error: float = 0.01) -> DataFrame:
@@ -75,7 +74,7 @@ def write_churn_report(
     customers = churn_table(cleaned, home_country)
     document, per_segment = evaluate_churn(customers, n_quoted, forest=forest)
     write_json_document(document, f"{out}/evaluation_results.json")
-    write_csv(flat_fairness(per_segment), f"{out}/fairness_report.csv", order_by=["segment"])
+    write_csv(flat_fairness(per_segment), f"{out}/fairness_report.csv", ["segment"], files=1)
 
 
 def run_all(

@@ -12,17 +12,20 @@ def write_csv(
     df: DataFrame,
     path: str,
     order_by: Sequence[str | Column] = (),
+    files: int | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """CSV with a header.
+    """CSV with a header, in ``files`` files; without a number, one file per task.
 
-    A report ends up in one tidy file and a large table in many, without anyone
-    choosing: the shuffle before the write (a range shuffle when an order is asked
-    for, a rebalance otherwise) is sized by adaptive execution, which merges small
-    partitions into one and splits large ones. Only ``order_by`` orders the file: an
-    order the relation already has is lost in a rebalance.
+    The number is the caller's to choose, 1 for a report. Files are ordered by ``order_by`` and,
+    if there are several, follow each other in that order.
     """
-    placed = df.orderBy(*order_by) if order_by else df.hint("rebalance")
+    if files and order_by:
+        placed = df.repartitionByRange(files, *order_by).sortWithinPartitions(*order_by)
+    elif files:
+        placed = df.repartition(files)
+    else:
+        placed = df.orderBy(*order_by) if order_by else df
     placed.write.mode(mode).option("header", True).csv(path)
 
 
