@@ -13,23 +13,19 @@ from tillroll.operators.metrics import top_products
 def headline_figures(raw: DataFrame) -> DataFrame:
     """One row of key figures of the valid sales, and the number of raw lines.
 
-    One pass over the raw lines: validity is a condition inside the aggregates, so
-    the raw count needs no second scan. A valid sale has an invoice, a quantity and
-    a price, hence the mean over invoices is the total over the number of invoices.
+    Distinct counts fan out their rows, so lines that are no sales are filtered before them,
+    and the raw count is a scalar subquery that reads no column of the lines. A valid
+    sale has an invoice, a quantity and a price, hence the mean over invoices is the total
+    over the number of invoices.
     """
-    sale = lines.is_sale()
-
-    def of_sales(column: str):
-        return F.when(sale, F.col(column))
-
-    figures = raw.agg(
-        F.sum(F.when(sale, lines.revenue(digits=None))).alias("revenue"),
-        F.count_distinct(of_sales("InvoiceNo")).alias("invoices"),
-        F.sum(of_sales("Quantity")).alias("units"),
-        F.count_distinct(of_sales("StockCode")).alias("products"),
-        F.count_distinct(of_sales("CustomerID")).alias("customers"),
-        F.count(F.lit(1)).alias("lines"),
+    figures = raw.where(lines.is_sale()).agg(
+        F.sum(lines.revenue(digits=None)).alias("revenue"),
+        F.count_distinct("InvoiceNo").alias("invoices"),
+        F.sum("Quantity").alias("units"),
+        F.count_distinct("StockCode").alias("products"),
+        F.count_distinct("CustomerID").alias("customers"),
     )
+    n_lines = raw.agg(F.count(F.lit(1)).alias("lines")).scalar()
     per_invoice = F.col("revenue") / F.nullif(F.col("invoices"), F.lit(0))
     # Names of the report.
     return figures.select(
@@ -39,7 +35,7 @@ def headline_figures(raw: DataFrame) -> DataFrame:
         F.col("units").alias("total_quantity_sold"),
         F.col("products").alias("unique_products"),
         F.col("customers").alias("unique_customers"),
-        F.col("lines").alias("total_line_items"),
+        n_lines.alias("total_line_items"),
     )
 
 
