@@ -75,7 +75,7 @@ def _counts(predictions: DataFrame, by: Sequence[str], score: str | None) -> Dat
 
     scored = F.col("_score").isNotNull()
     ranged = (
-        per_score.withColumns({"_pos": F.when(scored, F.col("pos")), "_neg": F.when(scored, F.col("neg"))})
+        per_score.withColumns({f"_{n}": F.when(scored, F.col(n)) for n in ("pos", "neg")})
         .withColumn("_cuts", cuts)
         .withColumn("_skip", step * passed(F.col("_cuts.coarse")))
         .withColumn(
