@@ -161,7 +161,8 @@ def nearest_neighbours(
 
     def search(block: pd.DataFrame, turn: pd.DataFrame) -> pd.DataFrame:
         found = list(_search(block, turn, k, seed))
-        return pd.concat(found) if found else pd.DataFrame(columns=_FOUND.split()[::2])
+        columns = ["query_id", "mark", "vec_id", "score"]
+        return pd.concat(found) if found else pd.DataFrame(columns=columns)
 
     near = (
         data.groupBy(*keys)
@@ -176,8 +177,6 @@ def nearest_neighbours(
     )
 
 
-_FOUND = "query_id long mark long vec_id long score double"
-
 
 def _search(block: pd.DataFrame, turn: pd.DataFrame, k: int, seed: int) -> Iterator[pd.DataFrame]:
     if not len(block) or not len(turn):

@@ -24,8 +24,8 @@ def difference(
 ) -> list[int]:
     """The shard of each size. ``start`` is what the shards hold beforehand.
 
-    A partial partition is one sum per shard, largest first, less its smallest sum. The two of largest
-    spread are combined oppositely ordered until one is left. With ``start`` the
+    A partial partition is one sum per shard, largest first, less its smallest sum. The two of
+    largest spread are combined oppositely ordered until one is left. With ``start`` the
     result's shards are those of ``start``; else their numbers are drawn by ``seed``,
     so that what is left over does not pile up over many calls.
     """
@@ -44,13 +44,8 @@ def difference(
     while len(heap) > 1:
         _, _, first, first_rope = heapq.heappop(heap)
         _, _, second, second_rope = heapq.heappop(heap)
-        merged = sorted(
-            (
-                (first[j] + second[-1 - j], j)
-                for j in range(shards)
-            ),
-            key=lambda x: -x[0],
-        )
+        opposed = [(first[j] + second[-1 - j], j) for j in range(shards)]
+        merged = sorted(opposed, key=lambda x: -x[0])
         least = merged[-1][0]
         ropes = [_tie(first_rope[j], second_rope[-1 - j]) for _, j in merged]
         sums = [total - least for total, _ in merged]
@@ -104,7 +99,8 @@ def balanced_groups(
     large = groups.filter(F.col("bytes") > limit)
     small = groups.filter(F.col("bytes") <= limit)
     placed = checkpointed(balanced_groups(checkpointed(large), shards, block_groups))
-    held = {r["shard"]: r["held"] for r in placed.groupBy("shard").agg(F.sum("bytes").alias("held")).collect()}
+    sums = placed.groupBy("shard").agg(F.sum("bytes").alias("held")).collect()
+    held = {r["shard"]: r["held"] for r in sums}
     start = [int(held.get(s, 0)) for s in range(shards)]
     rest = total - sum(start)
     return placed.unionByName(_by_block(small, shards, blocks, start, rest))

@@ -35,7 +35,8 @@ HOMOGLYPHS = {
     "ѕ": "s", "ԁ": "d", "һ": "h", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "г": "r",
     "α": "a", "ε": "e", "ο": "o", "ρ": "p", "ι": "i", "κ": "k", "ν": "v", "τ": "t", "υ": "u",
     "χ": "x", "ı": "i", "ɑ": "a", "ɡ": "g", "ʟ": "l", "ɪ": "i", "ꜱ": "s", "ᴏ": "o",
-    "​": "", "‌": "", "‍": "", "⁠": "", "­": "", "﻿": "",
+    # Without width: zero-width space and joiners, word joiner, soft hyphen, byte order mark.
+    "\u200b": "", "\u200c": "", "\u200d": "", "\u2060": "", "\u00ad": "", "\ufeff": "",
 }
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 EXCEPTIONS = ("trash can", "trash bin", "trash collection", "clown fish", "worthless bond")
@@ -51,7 +52,7 @@ _SUBSTITUTE = re.compile(
 
 
 def fold(text: str | None) -> str:
-    """Lower case, compatibility forms and look-alikes as plain letters, substitutes inside words undone.
+    """Lower case, compatibility forms and look-alikes as plain letters, substitutes undone.
 
     A digit or sign is a substitute where a letter follows it, maybe after other
     substitutes, or where it alone ends a word.
