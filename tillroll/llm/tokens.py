@@ -20,8 +20,8 @@ _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN_WORD = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _PLAIN_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u017f]+|[0-9]|[^a-z0-9\u00df-\u017f]+")
 # Distinct words a worker keeps, and bytes of text it encodes at a time.
-_KEPT_WORDS = 500_000
-_SLICE_BYTES = 8_000_000
+_KEPT_WORDS = 250_000
+_SLICE_BYTES = 4_000_000
 
 SCHEMA = "part int, before long, n_tokens int, ids array<int>"
 
