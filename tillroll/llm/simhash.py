@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.connected import connected_components
-from tillroll.llm.storage import checkpointed, new_folder
+from tillroll.llm.storage import checkpointed
 
 _BITS = 64
 _SEED = 42
@@ -21,16 +21,16 @@ TRIE_ROWS = 50_000
 _FRONTIER = 500_000
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """The signed 64-bit SimHash of the word shingles of a text.
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """The 64-bit hashes of the word shingles of a text, big-endian, in text order.
 
     A-Z become a-z, words are runs of anything but ASCII white space, shingles are joined
     by one space and counted as often as they occur. Fewer words than a shingle has make
-    one shingle; no words make zero.
+    one shingle; no words make none.
     """
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.array([], dtype=">u8")
     joined = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -39,10 +39,17 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
+    return np.array(
         [digest(joined[a:b], _SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)],
         dtype=">u8",
     )
+
+
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """The signed 64-bit SimHash of the word shingles of a text; no words make zero."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return 0
     ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes)).view(">i8")[0])
 
@@ -260,47 +267,3 @@ def near_duplicates(
     names = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(names, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(F.col("doc_id").alias(id_column), "fp", "component_id")
-
-
-def one_of_each(
-    df: DataFrame,
-    words: int = 3,
-    budget: int = 3,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    trie_rows: int = TRIE_ROWS,
-) -> DataFrame:
-    """One row, as it is, of each component of near duplicates: the one of smallest id.
-
-    Rows that repeat this id in the component count as duplicates too: the first by fingerprint and
-    text hash stays. A component in which no row has an id keeps one row.
-    """
-    path = new_folder(df.sparkSession, "simhash")
-    fp = "__fp"
-
-    @F.pandas_udf("long")
-    def prints(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
-
-    # Row numbers and fingerprints are written once, so that both readings agree.
-    df.withColumns(
-        {"__row": F.monotonically_increasing_id(), fp: prints(F.col(text_column))}
-    ).write.parquet(path)
-    rows = df.sparkSession.read.parquet(path)
-    # The first row of a fingerprint stands for it; a hot one is folded before it is exchanged.
-    first = F.struct(
-        F.col(id_column).isNull().alias("a"),
-        F.col(id_column).alias("b"),
-        F.xxhash64(text_column).alias("c"),
-        F.col("__row").alias("row"),
-    )
-    classes = checkpointed(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")))
-    links = fingerprint_links(classes.select("fp"), budget, trie_rows)
-    roots = connected_components(links)
-    kept = (
-        classes.join(roots, classes["fp"] == roots["node"], "left")
-        .groupBy(F.coalesce("root", "fp").alias("root"))
-        .agg(F.min("first").alias("first"))
-        .select(F.col("first.row").alias("__row"))
-    )
-    return rows.join(checkpointed(kept), "__row", "left_semi").select(*df.columns)
