@@ -105,6 +105,12 @@ def token_files(documents: DataFrame) -> DataFrame:
     return digest
 
 
+def kept_token_files(documents: DataFrame, path: str) -> DataFrame:
+    """Writes the documents' token files to a new folder and leaves them; their checksums are returned."""
+    write_token_files(documents, path, TOKENIZER, END_ID)
+    return token_checksums(documents.sparkSession, path)
+
+
 def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document, written to ORC and read back."""
     return token_files(table(spark, folder, "documents"))
