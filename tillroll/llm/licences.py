@@ -78,6 +78,12 @@ HINT = "licen[sc]e|permission|redistribut|copyright|warrant"
 # Ends of sentences, and what is no part of a word, version or option.
 SENTENCE_END = r"[.!?:]+[\x20\x09-\x0D]+|[\x0A\x0D]{2,}"
 LINE_BREAK = r"\x0A"
+# The point in "v. 2.0" and the colon in "free software: you" end no sentence; a mark keeps both sides together.
+JOINT = (
+    r"(?i)(\bv\.(?=[\x20\x09-\x0D]+[0-9])"
+    r"|\bfree[\x20\x09-\x0D]+software:(?=[\x20\x09-\x0D]+you\b))"
+)
+MARK = "\x01"
 NOISE = "[^a-z0-9.+-]+"
 EDGES = "^[ .+-]+|[ .+-]+$"
 
@@ -86,7 +92,8 @@ def _identifiers(text: Column) -> Column:
     """Identifiers of known sentences in text order; an unknown sentence is an empty one.
 
     Licence statements come as running text, where lines break anywhere, and as single
-    lines: a sentence is looked up as a whole and, if unknown, line by line.
+    lines: a sentence is looked up as a whole and, if unknown, line by line. A ``JOINT``
+    ends a sentence only where what it would join is unknown.
     """
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
 
@@ -98,7 +105,19 @@ def _identifiers(text: Column) -> Column:
         lines = F.transform(F.split(sentence, LINE_BREAK, -1), look)
         return F.when(look(sentence) != "", F.array(look(sentence))).otherwise(lines)
 
-    return F.flatten(F.transform(F.split(text, SENTENCE_END, -1), each))
+    def marked(sentence: Column) -> Column:
+        lines = F.split(sentence, LINE_BREAK, -1)
+        known_line = F.exists(lines, lambda line: F.contains(line, F.lit(MARK)) & (look(line) != ""))
+        plain = F.split(F.replace(sentence, F.lit(MARK), F.lit("")), SENTENCE_END, -1)
+        return (
+            F.when(~F.contains(sentence, F.lit(MARK)), each(sentence))
+            .when(look(sentence) != "", F.array(look(sentence)))
+            .when(known_line, F.transform(lines, look))
+            .otherwise(F.flatten(F.transform(plain, each)))
+        )
+
+    joined = F.regexp_replace(text, JOINT, "$1" + MARK)
+    return F.flatten(F.transform(F.split(joined, SENTENCE_END, -1), marked))
 
 
 def licence_scan(
