@@ -70,6 +70,45 @@ def _is_ssn(match: Column) -> Column:
     return match.rlike(shape) & ~match.rlike(void)
 
 
+# How long the IBANs of a country are.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """A country's IBAN takes its length and ends there; of other countries any length is proposed."""
+
+    def blocks(length: int) -> str:
+        whole, rest = divmod(length - 4, 4)
+        return rf"(?:\x20?[A-Z0-9]{{4}}){{{whole}}}" + (rf"\x20?[A-Z0-9]{{{rest}}}" if rest else "")
+
+    known = "|".join("|".join(names.split()) for names in IBAN_LENGTHS.values())
+    each = [
+        rf"(?:{names.replace(' ', '|')})[0-9]{{2}}{blocks(length)}(?![A-Z0-9])"
+        for length, names in IBAN_LENGTHS.items()
+    ]
+    other = rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?"
+    return f"(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*each, other])})"
+
+
 # The first four are the base kinds: their patterns find what the plain ones find. Possessive
 # repeats and a start at the head of a run only spare the engine hopeless attempts.
 BASE = ("email", "ip", "card", "phone")
@@ -112,7 +151,7 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?",
+        _iban_pattern(),
         r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}",
         _is_iban,
         90,
