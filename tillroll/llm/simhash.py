@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.connected import connected_components
-from tillroll.llm.storage import checkpointed
+from tillroll.llm.storage import checkpointed, new_folder, unused
 
 _BITS = 64
 _SEED = 42
@@ -267,3 +267,49 @@ def near_duplicates(
     names = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(names, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(F.col("doc_id").alias(id_column), "fp", "component_id")
+
+
+def one_of_each(
+    df: DataFrame,
+    words: int = 3,
+    budget: int = 3,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    trie_rows: int = TRIE_ROWS,
+) -> DataFrame:
+    """One row, as it is, of each component of near duplicates: the one of smallest id.
+
+    Rows that repeat this id in the component count as duplicates too: the first by
+    fingerprint and text hash stays. A component in which no row has an id keeps one row.
+    Null and empty texts are one component. An empty table gives an empty result; all
+    columns are carried, whatever their names.
+    """
+    path = new_folder(df.sparkSession, "simhash")
+    fp, row = unused(df, "__fp"), unused(df, "__row")
+
+    @F.pandas_udf("long")
+    def prints(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
+
+    # Row numbers and fingerprints are written once, so that both readings agree.
+    df.withColumns(
+        {row: F.monotonically_increasing_id(), fp: prints(F.col(text_column))}
+    ).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    # The first row of a fingerprint stands for it; a hot one is folded before it is exchanged.
+    first = F.struct(
+        F.col(id_column).isNull().alias("a"),
+        F.col(id_column).alias("b"),
+        F.xxhash64(text_column).alias("c"),
+        F.col(row).alias("row"),
+    )
+    classes = checkpointed(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")))
+    links = fingerprint_links(classes.select("fp"), budget, trie_rows)
+    roots = connected_components(links)
+    kept = (
+        classes.join(roots, classes["fp"] == roots["node"], "left")
+        .groupBy(F.coalesce("root", "fp").alias("root"))
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.row").alias(row))
+    )
+    return rows.join(checkpointed(kept), row, "left_semi").select(*df.columns)

@@ -42,3 +42,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder that ``new_folder`` named, once nothing reads it any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until the table has no such column in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
