@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.decontamination import without_contaminated
 from tillroll.llm.mixing import mixed_documents
 from tillroll.llm.queries import TOXIC, kept_token_files, table, toxicity_lexicon
-from tillroll.llm.similar import one_of_similar
+from tillroll.llm.simhash import one_of_each
 from tillroll.llm.storage import new_folder
 from tillroll.llm.toxicity import without_toxic
 
@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of smallest id, of each group of texts linked by five-word shingles."""
-    return one_of_similar(docs, words=5, percent=80)
+    """One document, the one of smallest id, of each group of linked fingerprints."""
+    return one_of_each(docs, words=3, budget=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
