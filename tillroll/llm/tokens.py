@@ -6,6 +6,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # The same for lower-case ASCII and Latin letters that no normal form changes, U+0130 left out.
 _PLAIN_WORD = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _PLAIN_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u017f]+|[0-9]|[^a-z0-9\u00df-\u017f]+")
-# Distinct words a worker keeps, and bytes of text it encodes at a time.
-_KEPT_WORDS = 250_000
+# Distinct words a worker keeps (30 to 40 bytes each), and bytes of text it encodes at a time.
+_KEPT_WORDS = 1_000_000
 _SLICE_BYTES = 4_000_000
 
 SCHEMA = "part int, before long, n_tokens int, ids array<int>"
@@ -40,9 +41,12 @@ class Encoder:
     """Encodes texts with a tokenizer file of the tokenizers library.
 
     A tokenizer that drops white space gives a text the ids of its words, one after
-    another; distinct words are encoded once and kept, up to a bound. Any other tokenizer
-    gets whole texts. Words of plain letters, digits and ASCII signs are split here and given
-    to the tokenizer's model; all others go through the whole tokenizer.
+    another; distinct words are encoded once and kept. Any other tokenizer gets whole texts.
+    Words of plain letters, digits and ASCII signs are split here and given to the tokenizer's
+    model; all others go through the whole tokenizer.
+
+    Kept words are one Arrow array, their ids one flat array of 32-bit integers. Beyond
+    ``_KEPT_WORDS`` only those stay that were met again since the last time.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,7 +61,10 @@ class Encoder:
         )
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words = pa.array([], pa.string())
+        self.flat = np.zeros(0, np.int32)
+        self.lengths = np.zeros(0, np.int32)
+        self.again = np.zeros(0, bool)
 
     def encode(self, texts: pa.Array, end_id: int) -> pa.ListArray:
         """One list of ids per text, each ended by ``end_id``."""
@@ -67,49 +74,86 @@ class Encoder:
         words = pc.ascii_split_whitespace(texts)
         bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
         coded = words.flatten().dictionary_encode()
-        known = self._ids(coded.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, known), np.int64, len(known))
-        flat = np.fromiter((i for ids in known for i in ids), np.int32, lengths.sum())
-        starts = np.cumsum(lengths) - lengths
-        at = coded.indices.to_numpy()
+        places = self._places(coded.dictionary)
+        # The end of a text is one more word, the last.
+        flat = np.append(self.flat, np.int32(end_id))
+        lengths = np.append(self.lengths, np.int32(1))
+        starts = (np.cumsum(lengths, dtype=np.int64) - lengths).astype(np.int32)
+        at = np.append(places, np.int32(len(lengths) - 1))[
+            np.insert(coded.indices.to_numpy(), bounds[1:], len(places))
+        ]
         each = lengths[at]
-        ends = np.concatenate(([0], np.cumsum(each)))
-        ids = flat[np.repeat(starts[at] - ends[:-1], each) + np.arange(ends[-1])]
-        cuts = ends[bounds]
-        return pa.ListArray.from_arrays(
-            pa.array((cuts + np.arange(len(cuts))).astype(np.int32)),
-            pa.array(np.insert(ids, cuts[1:], end_id).astype(np.int32)),
-        )
-
-    def _ids(self, words: list[str]) -> list[tuple[int, ...]]:
-        kept = self.words
-        missing = [w for w in words if w not in kept]
-        if len(kept) + len(missing) > _KEPT_WORDS:
-            kept.clear()
-            missing = words
-        rest, tokenize = [], self.model.tokenize
-        for word in missing:
+        ends = np.concatenate(([0], np.cumsum(each, dtype=np.int64)))
+        ids = flat[
+            np.repeat((starts[at] - ends[:-1]).astype(np.int32), each)
+            + np.arange(ends[-1], dtype=np.int32)
+        ]
+        cuts = ends[bounds + np.arange(len(bounds))]
+        return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))
+
+    def _places(self, words: pa.StringArray) -> np.ndarray:
+        """The number of each word among those kept; new ones are encoded and kept."""
+        if len(self.words) + len(words) > _KEPT_WORDS:
+            self._drop_rare()
+        places = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().copy()
+        new = np.flatnonzero(places < 0)
+        self.again[places[places >= 0]] = True
+        places[new] = len(self.words) + np.arange(len(new))
+        missing = words.take(pa.array(new))
+        ids = self._ids(missing.to_pylist())
+        lengths = np.fromiter(map(len, ids), np.int32, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
+        self.words = pa.concat_arrays([self.words, missing])
+        self.flat = np.concatenate([self.flat, flat])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.again = np.concatenate([self.again, np.zeros(len(ids), bool)])
+        return places
+
+    def _drop_rare(self) -> None:
+        kept = self.again & (self.again.sum() <= _KEPT_WORDS // 2)
+        self.words = self.words.filter(pa.array(kept))
+        self.flat = self.flat[np.repeat(kept, self.lengths)]
+        self.lengths = self.lengths[kept]
+        self.again = np.zeros(len(self.lengths), bool)
+
+    def _ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of words; a piece that several of them have is encoded once."""
+        pieces: dict[str, list[int]] = {}
+        tokenize = self.model.tokenize
+        found: list[list[int]] = []
+        rest = []
+        for word in words:
             if word.isascii() and word.isalpha():
-                kept[word] = tuple([token.id for token in tokenize(word.lower())])
+                parts = [word.lower()]
             elif _PLAIN_WORD.fullmatch(word) and "<|" not in word:
-                shown = word.lower()
-                pieces = _PLAIN_SPLIT.findall(shown)
-                if not shown.isascii():
-                    pieces = [p.encode().decode("latin-1").translate(_BYTE_LETTERS) for p in pieces]
-                kept[word] = tuple([token.id for piece in pieces for token in tokenize(piece)])
+                parts = _PLAIN_SPLIT.findall(word.lower())
             else:
-                rest.append(word)
-        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        kept.update((w, tuple(x.ids)) for w, x in zip(rest, found, strict=True))
-        return [kept[w] for w in words]
+                rest.append((len(found), word))
+                found.append([])
+                continue
+            ids: list[int] = []
+            for part in parts:
+                known = pieces.get(part)
+                if known is None:
+                    shown = part
+                    if not part.isascii():
+                        shown = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                    known = pieces[part] = [token.id for token in tokenize(shown)]
+                ids = ids + known if ids else known
+            found.append(ids)
+        encoded = self.tokenizer.encode_batch_fast([w for _, w in rest], add_special_tokens=False)
+        for (at, _), one in zip(rest, encoded, strict=True):
+            found[at] = one.ids
+        return found
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
 def _encoder(path: str) -> Encoder:
-    """One encoder per worker and file, kept from task to task."""
+    """One encoder per worker, kept from task to task."""
     if path not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
@@ -163,6 +207,7 @@ def write_token_files(
                     names=["doc_id", "part", "before", "n_tokens", "ids"],
                 )
                 before += int(counts.sum())
+        pa.default_memory_pool().release_unused()
 
     kind = df.schema[id_column].dataType.simpleString()
     ordered = (
