@@ -1,0 +1,108 @@
+"""Vector codes against a plain rendering of the rules, the trie against plain distances."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.llm.codes import Trie, vector_codes
+from tillroll.llm.queries import op13_codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def plain_codes(rows):
+    """Rows as (vec_id, code, error, label_error, digest), one component at a time."""
+    kept = []
+    for vec_id, vector, label in rows:
+        if vector and all(x is not None and math.isfinite(x) for x in vector):
+            kept.append((vec_id, [math.floor(1024 * x) for x in vector], label))
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    if not kept:
+        return []
+    kept = [r for r in kept if len(r[1]) == len(kept[0][1])]
+    size = len(kept[0][1]) // 4
+    parts = [[r[1][k * size : (k + 1) * size] for r in kept] for k in range(4)]
+    books = [[p[:] for p in part[:256]] for part in parts]
+
+    def assign(part, book):
+        found = []
+        for row in part:
+            far = [sum((a - b) ** 2 for a, b in zip(row, entry, strict=True)) for entry in book]
+            found.append((far.index(min(far)), min(far)))
+        return found
+
+    for _ in range(4):
+        for part, book in zip(parts, books, strict=True):
+            codes = [c for c, _ in assign(part, book)]
+            for entry in range(len(book)):
+                own = [row for row, c in zip(part, codes, strict=True) if c == entry]
+                if own:
+                    book[entry] = [sum(column) // len(own) for column in zip(*own, strict=True)]
+    final = [assign(part, book) for part, book in zip(parts, books, strict=True)]
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    errors = [sum(f[i][1] for f in final) for i in range(len(kept))]
+    by_label = {}
+    for (_, _, label), error in zip(kept, errors, strict=True):
+        by_label[label] = by_label.get(label, 0) + error
+    return [
+        (r[0], "".join(f"{f[i][0]:02x}" for f in final), errors[i], by_label[r[2]], digest)
+        for i, r in enumerate(kept)
+    ]
+
+
+def test_trie_against_plain_distances():
+    rng = np.random.default_rng(2)
+    for size, spread, n in [(1, 2, 50), (3, 3, 4000), (16, 600, 2500), (4, 10**8, 300)]:
+        rows = rng.integers(-spread, spread, (n, size))
+        entries = rng.integers(-spread, spread, (40, size))
+        entries[7] = entries[3]
+        trie = Trie(rows)
+        code, error = trie.nearest(entries)
+        far = ((rows[:, None, :] - entries[None]) ** 2).sum(axis=2)
+        assert (code[trie.leaf] == far.argmin(axis=1)).all() and (error[trie.leaf] == far.min(axis=1)).all()
+        total, number = trie.weighted_sums(code, 40)
+        for entry in range(40):
+            own = rows[far.argmin(axis=1) == entry]
+            assert number[entry] == len(own) and (total[entry] == own.sum(axis=0)).all()
+        assert len(trie.rows) == len(np.unique(rows, axis=0))
+
+
+def test_against_plain_rules(spark):
+    rng = random.Random(4)
+    vector = lambda: [rng.choice([-0.3, 0.1, 0.25]) + rng.gauss(0, 0.05) for _ in range(8)]
+    rows = [(i, vector(), rng.choice([1, 2, None])) for i in rng.sample(range(5000), 700)]
+    rows += [(r[0] + 10_000, r[1], 3) for r in rows[:40]] + [rows[0]]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    # Floats are what the table holds.
+    exact = [tuple(r) for r in df.collect()]
+    assert sorted(tuple(r) for r in vector_codes(df).collect()) == sorted(plain_codes(exact))
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 256])
+def test_few_rows(spark, n):
+    rows = [(i, [0.001 * i, -0.5, 0.0, 1.0 / (i + 1)], None) for i in range(n)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    exact = [tuple(r) for r in df.collect()]
+    assert sorted(tuple(r) for r in vector_codes(df).collect()) == sorted(plain_codes(exact))
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(1, [0.5, -0.5, 0.25, 0.0], 1), (1, [0.5, -0.5, 0.25, 0.0], 1), (2, [0.0] * 4, None), (None, [1.0] * 4, 7)]
+    bad = [(3, None, 1), (4, [], 1), (5, [nan, 1.0, 1.0, 1.0], 1), (6, [1.0, inf, 1.0, 1.0], 1), (7, [1.0, None, 1.0, 1.0], 1), (8, [1.0] * 8, 1)]
+    df = spark.createDataFrame(good + bad, SCHEMA).withColumns({"id": F.lit("x"), "ints": F.lit(1), "code": F.lit("y"), "of": F.lit(0)})
+    got = [tuple(r) for r in vector_codes(df).collect()]
+    key = lambda r: (r[0] is None, r)
+    assert sorted(got, key=key) == sorted(plain_codes(good), key=key)
+    huge = spark.createDataFrame([(1, [3e38, -3e38, 0.0, 1.0], 1), (2, [0.0] * 4, 1)], SCHEMA)
+    assert [r["error"] for r in vector_codes(huge).collect()] == [0, 0]
+
+
+def test_query_by_the_rules(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    assert sorted(tuple(r) for r in op13_codes(spark, folder).collect()) == sorted(plain_codes(rows))

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.codes import vector_codes
 from tillroll.llm.decontamination import contaminated
 from tillroll.llm.languages import languages, learn_languages
 from tillroll.llm.licences import licence_scan
@@ -16,7 +17,9 @@ from tillroll.llm.neighbours import nearest_neighbours
 from tillroll.llm.pii import personal_data, span_digest
 from tillroll.llm.sharding import sharded
 from tillroll.llm.simhash import near_duplicates
+from tillroll.llm.spelling import spelling_variants, vocabulary
 from tillroll.llm.storage import checkpointed, new_folder, remove_folder
+from tillroll.llm.syncmers import edited_fingerprints
 from tillroll.llm.tokens import token_checksums, write_token_files
 from tillroll.llm.toxicity import Lexicon, learn_lexicon, toxicity
 
@@ -121,6 +124,21 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharded(table(spark, folder, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return edited_fingerprints(table(spark, folder, "documents"))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Spelling variants in the vocabulary of all documents."""
+    return spelling_variants(vocabulary(table(spark, folder, "documents")))
+
+
+def op13_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Product codes of every vector."""
+    return vector_codes(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_neighbours": op2_neighbours,
@@ -132,4 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_token_output": op9_token_output,
     "op10_sharding": op10_sharding,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_spelling": op12_spelling,
+    "op13_codes": op13_codes,
 }
