@@ -113,4 +113,109 @@ FROM {before}
 """
 
 
-ORACLE: dict[str, str] = {"op3_licences": _licences(), "op5_pii": _PII}
+
+def _spelling() -> str:
+    """CRC-32 by half bytes; words one edit apart share the word less one code point."""
+    table = []
+    for i in range(16):
+        c = i
+        for _ in range(4):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    entries = ", ".join(str(c) for c in table)
+    # The low half of a byte comes first.
+    halves = (
+        "list_transform(string_split(regexp_replace(hex(encode(id || ':' || run)), '(.)(.)', '\\2\\1', 'g'), ''),"
+        " lambda x: CAST(strpos('0123456789ABCDEF', x) - 1 AS BIGINT))"
+    )
+    crc = (
+        f"xor(4294967295, list_reduce(list_prepend(4294967295, {halves}),"
+        f" lambda c, x: xor(c >> 4, [{entries}][CAST(xor(c & 15, x) + 1 AS INT)])))"
+    )
+    return f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[a-z\u00C0-\u00FF]+')) AS run
+  FROM documents),
+hashed AS (SELECT run, {crc} AS h FROM runs WHERE length(run) >= 6),
+counted AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+              ELSE run END AS word
+  FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, count(*) AS n FROM counted WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+less AS MATERIALIZED (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, n, count(*) AS n_near,
+         first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word, n),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.other_n >= 5 * w.n THEN b.other END AS form,
+         CASE WHEN b.other_n >= 5 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)),
+steps AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON s.next = f.word)
+SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN steps s ON f.word = s.word AND s.next IS NULL
+"""
+
+
+def _codes() -> str:
+    """Four rounds of assignment and means, one after another."""
+    dot = "list_inner_product(CAST({} AS DOUBLE[]), CAST({} AS DOUBLE[]))"
+    far = f"{dot.format('x', 'x')} - 2 * {dot.format('x', 'c')} + {dot.format('c', 'c')}"
+    steps = []
+    for k in range(5):
+        steps.append(
+            f"nearest{k} AS MATERIALIZED (SELECT row_no, p.part, min(CAST({far} AS BIGINT) * 256 + entry) AS best"
+            f" FROM parts p JOIN book{k} b ON p.part = b.part GROUP BY row_no, p.part)"
+        )
+        if k < 4:
+            steps.append(
+                f"means{k} AS (SELECT part, entry, list(mean ORDER BY i) AS c FROM ("
+                f" SELECT p.part, best % 256 AS entry, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS mean"
+                f" FROM parts p JOIN nearest{k} m ON p.row_no = m.row_no AND p.part = m.part,"
+                f" unnest(range(1, len(x) + 1)) AS t(i) GROUP BY p.part, best % 256, i) GROUP BY part, entry)"
+            )
+            steps.append(
+                f"book{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.c, b.c) AS c"
+                f" FROM book{k} b LEFT JOIN means{k} m ON b.part = m.part AND b.entry = m.entry)"
+            )
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, ints) AS row_no, vec_id, label, ints
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS ints
+        FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+parts AS MATERIALIZED (
+  SELECT row_no, part, ints[part * len(ints) // 4 + 1 : (part + 1) * len(ints) // 4] AS x
+  FROM kept, unnest(range(0, 4)) AS t(part)),
+book0 AS MATERIALIZED (SELECT part, row_no - 1 AS entry, x AS c FROM parts WHERE row_no <= 256),
+{", ".join(steps)},
+digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book4),
+coded AS MATERIALIZED (
+  SELECT row_no, lower(string_agg(printf('%02x', best % 256), '' ORDER BY part)) AS code,
+         CAST(sum(best // 256) AS BIGINT) AS error
+  FROM nearest4 GROUP BY row_no)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row_no), digest
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op3_licences": _licences(),
+    "op5_pii": _PII,
+    "op12_spelling": _spelling(),
+    "op13_codes": _codes(),
+}
