@@ -3,13 +3,14 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import clashing, documents
 from tillroll.llm.decontamination import (
     Matcher,
     best_distance,
     contaminated,
-    matchers,
+    item_blocks,
     normal,
     pieces,
     without_contaminated,
@@ -96,7 +97,7 @@ def test_blocks_of_items(spark, pass_chars):
     got = contaminated(df, benchmark, pass_chars=pass_chars).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i) for i, _ in items}
     if pass_chars == 100:
-        assert len(matchers(benchmark, pass_chars=pass_chars)) > 5
+        assert len(list(item_blocks(benchmark, pass_chars=pass_chars))) > 5
     kept = without_contaminated(df, benchmark)
     assert [r["doc_id"] for r in kept.collect()] == [50]
 
@@ -113,3 +114,17 @@ def test_odd_rows(spark):
     assert contaminated(df, benchmark.limit(0)).count() == 0
     assert contaminated(documents(spark, []), benchmark).count() == 0
     assert without_contaminated(df, benchmark.limit(0)).count() == len(rows)
+
+
+def test_short_items_between_word_boundaries():
+    matcher = Matcher([(1, "ab cd"), (2, "x"), (3, "(e)"), (4, "deep learning")])
+    found = lambda text: [(m[0], m[3]) for m in matcher.matches(text)]
+    assert found("ab cd") == [(1, 5)] and found("zab cd, ab cde; ab cd.") == [(1, 21)]
+    assert found("xx x") == [(2, 4)] and found("fox") == [] and found("a(e)b") == [(3, 4)]
+    assert found("deep learnings") == [] and found("the deep-learning") == [] and found("deep learning 2") == [(4, 13)]
+
+
+def test_columns_of_any_name_stay(spark):
+    benchmark = spark.createDataFrame([(1, "a question that has leaked")], ITEMS)
+    df = documents(spark, [(1, "clean"), (2, "A question that has leaked")]).withColumns({"item_id": F.lit(5), "clean": F.lit("c")})
+    assert [(r["doc_id"], r["item_id"], r["clean"]) for r in without_contaminated(df, benchmark).collect()] == [(1, 5, "c")]

@@ -1,6 +1,9 @@
 """IBANs end where their country says, whatever follows."""
 
+import duckdb
+
 from tests.llm.helpers import documents
+from tillroll.llm.oracle import ORACLE
 from tillroll.llm.pii import IBAN_LENGTHS, personal_data, span_digest
 
 # Whole blocks of four (ES, BE, AT, PL) and not (DE, GB, NO).
@@ -15,6 +18,19 @@ IBANS = [
 ]
 
 
+def test_sql_ends_them_too(spark):
+    behind = ("", ", X", " Gracias", " BIC GEBABEBB", " 7", "x", "7", "\nan account " + IBANS[0], "iban" + IBANS[1], " ")
+    texts = [f"pay {n}{b}" for iban in IBANS for n in (iban, iban.replace(" ", "")) for b in behind]
+    texts += [" ".join(IBANS), ",".join(IBANS), "i" + "iban ".join(IBANS), "XX33 0000 0000 0000 7"]
+    got = span_digest(personal_data(documents(spark, list(enumerate(texts))))).orderBy("doc_id").collect()
+    assert sum(r["n_iban"] for r in got) > 100
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    rows = db.execute(f"SELECT * FROM ({ORACLE['op5_pii']}) ORDER BY doc_id").fetchall()
+    assert rows == [tuple(r) for r in got]
+
+
 def ibans(spark, texts):
     rows = span_digest(personal_data(documents(spark, list(enumerate(texts))))).orderBy("doc_id").collect()
     return [[s for s in r["spans"].split(",") if s.startswith("iban")] for r in rows]

@@ -16,9 +16,22 @@ def plain_scan(text):
     def look(part):
         return SENTENCES.get(re.sub(r"^[ .+-]+|[ .+-]+$", "", re.sub("[^a-z0-9.+-]+", " ", part.lower())))
 
-    ids = []
-    for sentence in re.split(r"[.!?:]+[ \t-\r]+|[\n\r]{2,}", text or ""):
-        ids += [look(sentence)] if look(sentence) else [look(line) for line in sentence.split("\n")]
+    def each(sentence):
+        return [look(sentence)] if look(sentence) else [look(line) for line in sentence.split("\n")]
+
+    # A stop behind "v" before a number, and a colon in "free software: you", join what is known as a
+    # whole; where nothing is, they end sentences like any other.
+    end, ids = r"[.!?:]+[ \t-\r]+|[\n\r]{2,}", []
+    text = re.sub(r"(?i)(\bv\.)(?=[ \t-\r]+[0-9])", "\\1\x01", text or "")
+    text = re.sub(r"(?i)(\bfree[ \t-\r]+software:)(?=[ \t-\r]+you\b)", "\\1\x01", text)
+    for sentence in re.split(end, text):
+        if look(sentence):
+            ids.append(look(sentence))
+        elif any("\x01" in line and look(line) for line in sentence.split("\n")):
+            ids += [look(line) for line in sentence.split("\n")]
+        else:
+            for part in re.split(end, sentence.replace("\x01", "")):
+                ids += each(part)
     ids = [i for i in ids if i]
     known, names = len(ids), set()
     for name, sequence in RULES:
@@ -61,6 +74,19 @@ def test_specific_rules_use_sentences_up(spark):
     assert got == [(0, "BSD-2-Clause", 3, 0), (1, "BSD-3-Clause", 4, 0), (2, "MIT", 2, 1)]
 
 
+def test_sql_of_joined_sentences(spark):
+    program = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    source = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+    texts = [source, source.replace("v. 2", "v.\n2"), f"Copyright 2020 X\n{source}", program, f"{source} {program}", source.replace("2.0", "1.1"), "See v. 2 notes. Licensed under CC BY 4.0.", None, ""]
+    got = licence_scan(documents(spark, list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [r["licences"] for r in got[:5]] == ["MPL-2.0", "MPL-2.0", "MPL-2.0", "GPL-3.0-or-later", "GPL-3.0-or-later,MPL-2.0"]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    rows = db.execute(f"SELECT * FROM ({ORACLE['op3_licences']}) ORDER BY doc_id").fetchall()
+    assert rows == [tuple(r) for r in got] == [(i, *plain_scan(t)) for i, t in enumerate(texts)]
+
+
 def test_query_equals_its_sql(spark):
     folder = "/root/testdata/sf0.1"
     got = op3_licences(spark, folder)

@@ -6,6 +6,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import clashing, documents
 from tillroll.llm.mixing import (
@@ -132,3 +133,11 @@ def test_odd_rows(spark):
     assert sorted((r["doc_id"] or 0, r["size"], r["taken"]) for r in got) == [(0, 2, 2), (1, 2, 2), (1, 2, 2), (2, 0, 0)]
     assert mixed_sizes(mix(documents(spark, []))).count() == 0
     assert mixed_documents(documents(spark, [])).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = rows_of(30)
+    df = documents(spark, rows).withColumns({"__row": F.lit("r"), "__takes": F.lit("t"), "__NEW": F.lit("n"), "row_id": F.lit(1)})
+    out = mixed_documents(df, block_words=16)
+    assert out.columns == df.columns and out.count() > 10
+    assert {(r["__row"], r["__takes"], r["__NEW"], r["row_id"]) for r in out.collect()} == {("r", "t", "n", 1)}

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import clashing, documents
 from tillroll.llm.connected import connected_components
@@ -12,6 +13,7 @@ from tillroll.llm.simhash import (
     fingerprint,
     fingerprint_links,
     near_duplicates,
+    one_of_each,
     trie_roots,
 )
 
@@ -128,3 +130,11 @@ def test_odd_rows(spark):
     assert named == [(0, 5), (5, 5), (5, 5), (6, 6), (7, 6), (8, 8), (9, 8)]
     assert {r["fp"] for r in got if r["doc_id"] in (8, 9)} == {0}
     assert near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_one_of_each_carries_columns_of_any_name(spark):
+    rows = [(3, "a b c d"), (1, "A b c d"), (None, "a b c d"), (2, "other words are here"), (None, None), (None, ""), (1, "a b c d")]
+    df = documents(spark, rows).withColumns({"__row": F.lit("r"), "__fp": F.lit("f"), "fp": F.lit(1)})
+    out = one_of_each(df).collect()
+    assert sorted((r["doc_id"] or 0, r["__row"], r["__fp"], r["fp"]) for r in out) == [(0, "r", "f", 1), (1, "r", "f", 1), (2, "r", "f", 1)]
+    assert one_of_each(documents(spark, [])).count() == 0

@@ -96,3 +96,8 @@ def test_odd_rows(spark):
     one = spark.createDataFrame([(1, 1), (None, 0), (2, None)], LABELS)
     assert learn_lexicon(documents(spark, rows), one).weights == {}
     assert learn_lexicon(documents(spark, []), spark.createDataFrame([(1, 1), (2, 0)], LABELS)).weights == {}
+
+
+def test_capitals_of_compatibility_forms_fold():
+    bold = "".join(chr(0x1D400 + ord(c) - 65) for c in "IDIOT")
+    assert fold(bold) == fold("ＩＤＩＯＴ") == "idiot" and LEXICON.score(f"you {bold}") >= 0.7

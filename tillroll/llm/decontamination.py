@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 
 # Edits allowed per character of a test item.
 ERROR_RATE = 0.08
-# Shorter items (normalised) are no evidence: common phrases contain them by chance.
-LEAST_CHARS = 24
+# Shorter items (normalised) count only where they stand unchanged between word boundaries.
+SHORT_CHARS = 24
 # Characters of test items searched for in one pass over the documents.
 _PASS_CHARS = 4_000_000
 
@@ -73,8 +74,14 @@ class Matcher:
     run over the text; around the hits of an item the distance decides.
     """
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = ERROR_RATE) -> None:
-        self.items = [(i, text, int(rate * len(text)), char_masks(text)) for i, text in items]
+    def __init__(
+        self, items: list[tuple[int, str]], rate: float = ERROR_RATE, short_chars: int = SHORT_CHARS
+    ) -> None:
+        self.short_chars = short_chars
+        self.items = [
+            (i, text, int(rate * len(text)) if len(text) >= short_chars else 0, char_masks(text))
+            for i, text in items
+        ]
         found: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for number, (_, text, budget, _) in enumerate(self.items):
             for start, piece in pieces(text, budget):
@@ -95,6 +102,11 @@ class Matcher:
                 starts[number].add(last + 1 - length - offset)
         for number in sorted(starts):
             item, pattern, budget, masks = self.items[number]
+            if len(pattern) < self.short_chars:
+                ends = [at + len(pattern) for at in starts[number] if _bounded(text, at, len(pattern))]
+                if ends:
+                    yield item, 0, 0, min(ends)
+                continue
             best = (budget + 1, 0)
             for low, high in _merged(sorted(starts[number]), budget):
                 begin = max(0, low - budget)
@@ -114,6 +126,14 @@ class Matcher:
         return next(self.matches(text), None) is not None
 
 
+def _bounded(text: str, start: int, size: int) -> bool:
+    """Whether a part of the text does not end inside a word on either side."""
+    before, behind = text[max(start - 1, 0) : start], text[start + size : start + size + 1]
+    return not (before.isalnum() and text[start].isalnum()) and not (
+        behind.isalnum() and text[start + size - 1].isalnum()
+    )
+
+
 def _merged(starts: list[int], budget: int) -> Iterator[tuple[int, int]]:
     """Ranges of expected starts whose windows touch, joined."""
     low = high = starts[0]
@@ -125,49 +145,51 @@ def _merged(starts: list[int], budget: int) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
-def matchers(
+Items = list[tuple[int, str]]
+
+
+def item_blocks(
     benchmark: DataFrame,
     item_column: str = "item_id",
     text_column: str = "text",
-    rate: float = ERROR_RATE,
-    least_chars: int = LEAST_CHARS,
     pass_chars: int = _PASS_CHARS,
-) -> list[Matcher]:
-    """One matcher per block of test items, each of about ``pass_chars`` characters.
+) -> Iterator[Items]:
+    """Test items, normalised, in blocks of about ``pass_chars`` characters.
 
     A block is what one pass over the documents carries, so what is sent to the tasks is
-    bounded however many items there are. Items without an id or with fewer than
-    ``least_chars`` characters take no part.
+    bounded however many items there are. Items without an id or without any character but white
+    space take no part.
     """
-    items = benchmark.filter(
-        F.col(item_column).isNotNull() & (F.length(text_column) >= least_chars)
-    ).select(F.col(item_column).alias("item"), F.col(text_column).alias("text"))
+    items = benchmark.filter(F.col(item_column).isNotNull() & F.col(text_column).isNotNull()).select(
+        F.col(item_column).alias("item"), F.col(text_column).alias("text")
+    )
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // pass_chars))
     block = F.pmod(F.xxhash64("item"), F.lit(blocks))
-    made = []
     for number in range(blocks):
         rows = items.filter(block == number).collect()
         chosen = sorted({(r["item"], normal(r["text"])) for r in rows})
-        made.append(Matcher([(i, t) for i, t in chosen if len(t) >= least_chars], rate))
-    return [m for m in made if m.items]
+        if found := [(i, t) for i, t in chosen if t]:
+            yield found
 
 
-_BUILT: dict[int, Matcher] = {}
+_BUILT: dict[str, Matcher] = {}
 
 
 class _Carried:
-    """A matcher as its items, built again once per worker."""
+    """A block of items; a worker builds its matcher when it first needs it and keeps the last one."""
 
-    def __init__(self, matcher: Matcher, rate: float) -> None:
-        self.items = [(i, text) for i, text, _, _ in matcher.items]
-        self.rate = rate
+    def __init__(self, items: Items, rate: float, short_chars: int) -> None:
+        self.items, self.rate, self.short_chars = items, rate, short_chars
+        self.key = hashlib.sha256(
+            repr((rate, short_chars, items)).encode("utf-8", "surrogatepass")
+        ).hexdigest()
 
     def get(self) -> Matcher:
-        key = hash((self.rate, tuple(self.items)))
-        if key not in _BUILT:
-            _BUILT[key] = Matcher(self.items, self.rate)
-        return _BUILT[key]
+        if self.key not in _BUILT:
+            _BUILT.clear()
+            _BUILT[self.key] = Matcher(self.items, self.rate, self.short_chars)
+        return _BUILT[self.key]
 
 
 def contaminated(
@@ -176,15 +198,16 @@ def contaminated(
     id_column: str = "doc_id",
     text_column: str = "text",
     rate: float = ERROR_RATE,
-    least_chars: int = LEAST_CHARS,
+    short_chars: int = SHORT_CHARS,
     pass_chars: int = _PASS_CHARS,
 ) -> DataFrame:
     """(id, item_id, distance, budget, end) for each test item found in a document.
 
     ``distance`` is the least number of edits that turn the item into a part of the
     document, both in lower case with single spaces; ``end`` is where that part first
-    ends. The whole text is searched. Documents are read once per block of items and
-    never shuffled.
+    ends. Items of fewer than ``short_chars`` characters, which common phrases contain by
+    chance, are found only unchanged and between word boundaries. The whole text is searched.
+    Documents are read once per block of items and never shuffled.
 
     Null and empty texts contain nothing. Rows with null or repeated ids are searched like
     any other; items of equal text are found as each of their ids. Empty tables give an
@@ -193,9 +216,9 @@ def contaminated(
     kind = documents.schema[id_column].dataType.simpleString()
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     found = None
-    for matcher in matchers(benchmark, rate=rate, least_chars=least_chars, pass_chars=pass_chars):
+    for items in item_blocks(benchmark, pass_chars=pass_chars):
         part = rows.mapInPandas(
-            _search(_Carried(matcher, rate)),
+            _search(_Carried(items, rate, short_chars)),
             f"id {kind}, item_id long, distance int, budget int, end int",
         )
         found = part if found is None else found.unionByName(part)
@@ -226,12 +249,20 @@ def _search(carried: _Carried):
 
 
 def without_contaminated(
-    documents: DataFrame, benchmark: DataFrame, text_column: str = "text", rate: float = ERROR_RATE
+    documents: DataFrame,
+    benchmark: DataFrame,
+    text_column: str = "text",
+    rate: float = ERROR_RATE,
+    short_chars: int = SHORT_CHARS,
 ) -> DataFrame:
-    """The rows, as they are, in which no test item is found."""
+    """The rows, as they are, in which no test item is found, by the rules of ``contaminated``.
+
+    Null and empty texts stay, as do repeated rows and rows without an id. Without items all rows
+    stay; an empty table gives an empty result. All columns are carried, whatever their names.
+    """
     kept = documents
-    for matcher in matchers(benchmark, rate=rate):
-        kept = kept.filter(_clean(_Carried(matcher, rate))(F.col(text_column)))
+    for items in item_blocks(benchmark):
+        kept = kept.filter(_clean(_Carried(items, rate, short_chars))(F.col(text_column)))
     return kept
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.numbering import running_total
-from tillroll.llm.storage import checkpointed, new_folder
+from tillroll.llm.storage import checkpointed, new_folder, unused
 
 BLOCK_WORDS = 1024
 # Blocks in one output shard.
@@ -279,27 +279,31 @@ def mixed_documents(
     """The documents of the mix: a row for each pass that takes words of a document.
 
     A pass that takes the whole document keeps its text as it is; one that takes some
-    words has those, joined by single spaces. Other columns are carried over and
+    words has those, joined by single spaces. Other columns are carried over, whatever their names, and
     ``chars_column``, if there is one, follows the text.
+
+    Null texts and texts without words are never taken. Repeated rows and rows without an id are
+    documents of their own; an empty table gives an empty mix.
     """
+    row, takes, new = (unused(df, name) for name in ("__row", "__takes", "__new"))
     path = new_folder(df.sparkSession, "mix")
-    df.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    df.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
     rows = df.sparkSession.read.parquet(path)
-    mixed = mix(rows, text_column=text_column, row_id="__row", **options)
-    parts = mixed.takes.groupBy(F.col("row_id").alias("__row")).agg(
-        F.sort_array(F.collect_list(F.struct("low", "high", "times", "part"))).alias("__takes")
+    mixed = mix(rows, text_column=text_column, row_id=row, **options)
+    parts = mixed.takes.groupBy(F.col("row_id").alias(row)).agg(
+        F.sort_array(F.collect_list(F.struct("low", "high", "times", "part"))).alias(takes)
     )
 
     @F.pandas_udf("array<string>")
     def passes(text: pd.Series, takes: pd.Series) -> pd.Series:
         return pd.Series([_passes(t, k) for t, k in zip(text, takes, strict=True)])
 
-    found = rows.join(parts, "__row").withColumn(
-        "__text", F.explode(passes(F.col(text_column), F.col("__takes")))
+    found = rows.join(parts, row).withColumn(
+        new, F.explode(passes(F.col(text_column), F.col(takes)))
     )
-    named = {text_column: F.col("__text")}
+    named = {text_column: F.col(new)}
     if chars_column in df.columns:
-        named[chars_column] = F.char_length("__text").cast(df.schema[chars_column].dataType)
+        named[chars_column] = F.char_length(new).cast(df.schema[chars_column].dataType)
     return found.withColumns(named).select(*df.columns)
 
 

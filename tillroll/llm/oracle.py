@@ -11,21 +11,31 @@ from tillroll.llm.licences import (
     SENTENCE_END,
     SENTENCES,
 )
+from tillroll.llm.pii import IBAN_LENGTHS
 
 
-def _pii_kind(number: int, pattern: str, valid: str, score: int, boost: int, context: str, least: int) -> str:
-    """Spans of one kind: gaps and matches alternate, so earlier lengths give the start."""
+def _pii_kind(
+    number: int, pattern: str, valid: str, score: int, boost: int, context: str, least: int, tail: str = ""
+) -> str:
+    """Spans of one kind: gaps and matches alternate, so earlier lengths give the start.
+
+    A match may have taken in one character behind the span, a ``tail``, which belongs to the next gap.
+    """
+    match, gap = "matches[i]", "gaps[i]"
+    if tail:
+        match = f"regexp_replace(matches[i], '{tail}$', '')"
+        gap = f"(CASE WHEN i > 1 THEN regexp_extract(matches[i-1], '{tail}$') ELSE '' END || gaps[i])"
     return f"""
     SELECT doc_id, row_no, {number} AS kind,
            list_sum(list_transform(gaps[1:i], lambda g: length(g)))
              + coalesce(list_sum(list_transform(matches[1:i-1], lambda m: length(m))), 0) AS start,
-           length(matches[i]) AS size,
-           {score} + CASE WHEN regexp_matches(lower(right(gaps[i], 40)), '{context}') THEN {boost} ELSE 0 END AS score
+           length({match}) AS size,
+           {score} + CASE WHEN regexp_matches(lower(right({gap}, 40)), '{context}') THEN {boost} ELSE 0 END AS score
     FROM (SELECT *, unnest(range(1, len(matches) + 1)) AS i
           FROM (SELECT doc_id, row_no, regexp_extract_all(text, '{pattern}') AS matches,
                        string_split_regex(text, '{pattern}') AS gaps FROM docs))
-    WHERE {valid.replace("$m", "matches[i]")}
-      AND {score} + CASE WHEN regexp_matches(lower(right(gaps[i], 40)), '{context}') THEN {boost} ELSE 0 END >= {least}"""
+    WHERE {valid.replace("$m", match)}
+      AND {score} + CASE WHEN regexp_matches(lower(right({gap}, 40)), '{context}') THEN {boost} ELSE 0 END >= {least}"""
 
 
 _DIGITS = "regexp_replace($m, '[^0-9]', '', 'g')"
@@ -39,6 +49,21 @@ _MOD97 = f"""list_reduce(
       list_prepend(0, list_transform(string_split({_PLAIN}[5:] || {_PLAIN}[1:4], ''), lambda c: ord(c))),
       lambda rest, c: (CASE WHEN c < 65 THEN rest * 10 + c - 48 ELSE rest * 100 + c - 55 END) % 97) = 1"""
 
+
+
+def _iban() -> str:
+    """Listed countries by their length and up to a character that ends them; others by any length."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    listed = {name: size for size, names in IBAN_LENGTHS.items() for name in names.split()}
+    shapes = []
+    for size, names in IBAN_LENGTHS.items():
+        whole, rest = divmod(size - 4, 4)
+        end = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        shapes.append(f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{whole}}}{end}(?:[^A-Z0-9]|$)")
+    others = "|".join(f"{a}[{''.join(b for b in letters if a + b not in listed)}]" for a in letters)
+    return "|".join([*shapes, f"(?:{others})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"])
+
+
 _PII = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row_no FROM documents),
 found AS ({" UNION ALL ".join([
@@ -51,8 +76,7 @@ found AS ({" UNION ALL ".join([
               "card|visa|credit|pay", 0),
     _pii_kind(3, r"\+[0-9][ ().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 10 AND 15", 70, 30,
               "phone|call|tel|mobile", 0),
-    _pii_kind(4, r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", _MOD97, 90, 10,
-              "iban|account|bank", 0),
+    _pii_kind(4, _iban(), _MOD97, 90, 10, "iban|account|bank", 0, "[^A-Z0-9]"),
     _pii_kind(5, r"[0-9]+(?:-[0-9]+){2,}",
               "regexp_full_match($m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')"
               " AND NOT regexp_matches($m, '^(?:000|666|9)|-00-|-0000$')",
@@ -83,6 +107,17 @@ def _look(sentence: str) -> str:
     return f"coalesce(known[{plain}], '')"
 
 
+def _lines(sentence: str) -> str:
+    return f"list_transform(string_split_regex({sentence}, '{LINE_BREAK}'), lambda l: {_look('l')})"
+
+
+# What ends no sentence is marked; the groups take in what must follow, which no other match begins with.
+_JOINED = (
+    r"regexp_replace(regexp_replace(text, '(?i)(\bv\.)([\x20\x09-\x0D]+[0-9])', '\1' || chr(1) || '\2', 'g'),"
+    r" '(?i)(\bfree[\x20\x09-\x0D]+software:)([\x20\x09-\x0D]+you\b)', '\1' || chr(1) || '\2', 'g')"
+)
+
+
 def _licences() -> str:
     """Rules one after another: each uses up the identifiers it matches."""
     steps, before = [], "joined"
@@ -95,13 +130,17 @@ def _licences() -> str:
         )
         before = f"rule{i}"
     return f"""
-WITH hinted AS (SELECT doc_id, text, MAP {{{_KNOWN}}} AS known,
+WITH hinted AS (SELECT doc_id, {_JOINED} AS text, MAP {{{_KNOWN}}} AS known,
                        regexp_matches(lower(coalesce(text, '')), '{HINT}') AS hint FROM documents),
 found AS (
   SELECT doc_id, CASE WHEN hint THEN list_filter(flatten(list_transform(
       string_split_regex(text, '{SENTENCE_END}'),
-      lambda s: CASE WHEN {_look("s")} <> '' THEN [{_look("s")}]
-                     ELSE list_transform(string_split_regex(s, '{LINE_BREAK}'), lambda l: {_look("l")}) END)),
+      lambda s: CASE
+        WHEN {_look("s")} <> '' THEN [{_look("s")}]
+        WHEN len(list_filter(string_split_regex(s, '{LINE_BREAK}'), lambda l: contains(l, chr(1)) AND {_look("l")} <> '')) > 0
+          THEN {_lines("s")}
+        ELSE flatten(list_transform(string_split_regex(replace(s, chr(1), ''), '{SENTENCE_END}'),
+          lambda p: CASE WHEN {_look("p")} <> '' THEN [{_look("p")}] ELSE {_lines("p")} END)) END)),
       lambda i: i <> '') ELSE CAST([] AS VARCHAR[]) END AS ids
   FROM hinted),
 joined AS (SELECT doc_id, CAST(len(ids) AS INT) AS n_known,

@@ -60,7 +60,8 @@ def fold(text: str | None) -> str:
     folded = (text or "").lower()
     if not folded.isascii():
         if not unicodedata.is_normalized("NFKC", folded):
-            folded = unicodedata.normalize("NFKC", folded)
+            # Compatibility forms of letters may be capitals: lower again.
+            folded = unicodedata.normalize("NFKC", folded).lower()
         if _ALIKE.search(folded):
             folded = folded.translate(_ALIKE_TABLE)
     return _SUBSTITUTE.sub(lambda m: SUBSTITUTES[m[0]], folded)
@@ -314,7 +315,11 @@ def toxicity(
 def without_toxic(
     documents: DataFrame, lexicon: Lexicon, least: float = 0.7, text_column: str = "text"
 ) -> DataFrame:
-    """The rows, as they are, whose text scores below ``least``."""
+    """The rows, as they are, whose text scores below ``least``.
+
+    Null and empty texts get the score of no match. Repeated rows and rows without an id are rows
+    like any other; an empty table gives an empty result. All columns are carried, whatever their names.
+    """
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
