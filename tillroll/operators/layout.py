@@ -76,18 +76,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     a model, then scoring) reads many times: lost executors cost a file read, not
     another scan.
     """
-    _checkpoint_folder(df.sparkSession)
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def _checkpoint_folder(spark: SparkSession) -> None:
+def checkpoint_folder(spark: SparkSession) -> str:
     """The folder is the cluster's to name; only a local session gets one made up."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="checkpoint-")
-    context.setCheckpointDir(named)
+    if not context.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            named = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(named)
+    return str(context.getCheckpointDir()).rstrip("/")

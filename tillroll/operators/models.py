@@ -17,10 +17,11 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.hashing import unit_hash
 from tillroll.operators.calendar import DAY_FEATURES
 from tillroll.operators.customers import CHURN_FEATURES
 from tillroll.operators.layout import checkpointed, spread
@@ -40,6 +41,10 @@ DEMAND_FEATURES = (
 # What tells one line from another.
 LINE_KEYS = ("InvoiceNo", "StockCode", "Quantity", "UnitPrice")
 DEMAND_GRID: Mapping[str, Sequence[Any]] = {"maxDepth": (5, 10), "numTrees": (20, 50)}
+# Position from which on a training line validates.
+VALIDATION_FROM = 0.8
+# Rows of a partition to fit on, and the least number of partitions: the same on every cluster.
+_FIT_ROWS, _FIT_PARTITIONS = 1 << 20, 16
 CHURN_FOREST: Mapping[str, Any] = {"numTrees": 60, "maxDepth": 8}
 
 
@@ -76,12 +81,16 @@ def fit_sales_forecast(daily: DataFrame, seed: int = SEED) -> Fitted:
 def demand_parts(
     lines: DataFrame, fraction: float = 0.1, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """The sampled training lines and all held-out lines, as inputs of the demand model."""
+    """The sampled training lines and all held-out lines, as inputs of the demand model.
+
+    Training lines are marked by their values: a fifth of them ``validates`` the points of a grid.
+    """
     marked = label_split(lines, 0.8, seed, keys=LINE_KEYS)
     train = sample_rows(marked.where("part = 'train'"), fraction, seed, keys=LINE_KEYS)
     test = marked.where("part = 'test'")
     inputs = [*DEMAND_FEATURES, F.col("Quantity").cast("double")]
-    return train.select(*inputs), test.select(*inputs)
+    validates = unit_hash(train, LINE_KEYS, seed, "validation") >= VALIDATION_FROM
+    return train.select(*inputs, validates.alias("validates")), test.select(*inputs)
 
 
 def fit_demand_model(
@@ -94,34 +103,45 @@ def fit_demand_model(
 
     ``lines`` carry the calendar features. Every line is in the training or in the held-out part.
     ``fraction`` bounds the training lines that are fitted; predictions are for all
-    held-out lines, scored in one pass over the source. The best model of the grid by
-    root mean square error is refitted on all training rows. Lines without one of the
-    features are left out of either part.
+    held-out lines, scored in one pass over the source. Each grid point is fitted on the training
+    lines that do not validate and judged by root mean square error on those that do, which their
+    values decide; the best is refitted on all. The fit depends on rows and seed alone, not on
+    partitions. Lines without one of the features are left out of either part.
     """
     sampled, held_out = demand_parts(lines, fraction, seed)
     train, test = (
-        assemble(part, DEMAND_FEATURES, handle_invalid="skip").select("features", "Quantity")
-        for part in (checkpointed(spread(sampled)), held_out)
+        assemble(part, DEMAND_FEATURES, handle_invalid="skip")
+        for part in (checkpointed(_fixed_order(sampled)), held_out)
     )
     forest = RandomForestRegressor(featuresCol="features", labelCol="Quantity", seed=seed)
     points = ParamGridBuilder()
     for name, values in grid.items():
         points = points.addGrid(forest.getParam(name), list(values))
     combinations = points.build()
-    search = TrainValidationSplit(
-        estimator=forest,
-        estimatorParamMaps=combinations,
-        evaluator=RegressionEvaluator(labelCol="Quantity", metricName="rmse"),
-        trainRatio=0.8,
-        parallelism=len(combinations),
-        seed=seed,
-    )
-    found = search.fit(train)
+    fitting, validation = train.where(~F.col("validates")), train.where("validates")
+    judge = RegressionEvaluator(labelCol="Quantity", metricName="rmse")
     errors = [
-        ({p.name: v for p, v in point.items()}, float(error))
-        for point, error in zip(combinations, found.validationMetrics)
+        float(judge.evaluate(model.transform(validation)))
+        for _, model in sorted(forest.fitMultiple(fitting, combinations))
+    ]
+    chosen = combinations[errors.index(min(errors))]
+    model = forest.fit(train, chosen)
+    tuning = [
+        ({p.name: v for p, v in point.items()}, error)
+        for point, error in zip(combinations, errors, strict=True)
     ]
-    return Fitted(found.bestModel, train, found.bestModel.transform(test), tuple(errors))
+    return Fitted(model, train, model.transform(test), tuple(tuning))
+
+
+def _fixed_order(rows: DataFrame) -> DataFrame:
+    """The rows in partitions and an order that only their values and their number decide.
+
+    A forest draws its samples by place. Equal rows are interchangeable, so on the same rows it
+    is the same forest, whatever the partitions they come in.
+    """
+    partitions = max(1, -(-rows.count() // _FIT_ROWS))
+    order = [F.col(c) for c in rows.columns]
+    return rows.repartition(max(partitions, _FIT_PARTITIONS), F.xxhash64(*order)).sortWithinPartitions(*order)
 
 
 def tuning_results(fitted: Fitted, spark: SparkSession) -> DataFrame:

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.attribution import BACKGROUND_ROWS, background_rows, shapley_values
+from tillroll.operators.attribution import BACKGROUND_ROWS, background_rows
 from tillroll.operators.customers import CHURN_DAYS, CHURN_FEATURES
 from tillroll.operators.evaluation import (
     METRICS,
@@ -16,8 +16,9 @@ from tillroll.operators.evaluation import (
     fairness_report,
     segment_metrics,
 )
+from tillroll.operators.forests import forest_nodes, forest_shapley
 from tillroll.operators.layout import checkpointed
-from tillroll.operators.models import CHURN_FOREST, SEED, Fitted, fit_churn_model, score_churn
+from tillroll.operators.models import CHURN_FOREST, SEED, Fitted, fit_churn_model
 
 # What the document tells about an explained prediction, after its index.
 _EXPLAINED = (
@@ -45,13 +46,8 @@ def explain_churn(
     ``rows`` may be all predictions: explanations are a relation with a row per customer.
     """
     background = background_rows(fitted.train, features, ["CustomerID"], background_size)
-    return shapley_values(
-        rows,
-        background,
-        features,
-        lambda variants: score_churn(fitted.model, variants, features),
-        ["CustomerID", "label"],
-    )
+    nodes = forest_nodes(fitted.model, rows.sparkSession)
+    return forest_shapley(rows, background, features, nodes, ["CustomerID", "label"])
 
 
 def evaluate_churn(
