@@ -123,18 +123,18 @@ def report(spark, *rows):
 def test_fairness_of_two_segments(spark):
     found = report(
         spark,
-        ("International", 89, 0.8646, 0.7617, 0.764, 0.762),
-        ("United Kingdom", 772, 0.8575, 0.7735, 0.7785, 0.7738),
+        ("Abroad", 40, 0.9, 0.65, 0.7, 0.68),
+        ("Home", 260, 0.85, 0.67, 0.74, 0.71),
     )
     assert {m: r["difference"] for m, r in found.items()} == {
-        "auc_roc": 0.0071,
-        "precision": 0.0118,
-        "recall": 0.0145,
-        "f1": 0.0118,
+        "auc_roc": 0.05,
+        "precision": 0.02,
+        "recall": 0.04,
+        "f1": 0.03,
     }
     verdicts = {(r["max_disparity"], r["fairness_concern"]) for r in found.values()}
-    assert verdicts == {(0.0145, False)}
-    assert found["f1"]["segment_a"] == "International" and found["f1"]["value_b"] == 0.7738
+    assert verdicts == {(0.05, False)}
+    assert found["f1"]["segment_a"] == "Abroad" and found["f1"]["value_b"] == 0.71
 
 
 def test_a_gap_of_exactly_the_threshold_is_no_concern(spark):
@@ -170,3 +170,24 @@ def test_scores_that_cannot_be_ranked(spark):
     assert (found["n"], expected["n"]) == (6, 4)
     only = df.where("score IS NULL OR isnan(score)")
     assert evaluation.auc_roc(only).first()["auc_roc"] is None
+
+
+def test_groups_of_any_kind_over_many_partitions(spark):
+    source = random.Random(6)
+    rows = []
+    for _ in range(4000):
+        group = source.choice([("x", 1), ("x", None), (None, 1), ("", 2), ("null", 1)])
+        score = source.choice([source.randrange(400) / 7, -0.0, 0.0, None, float("nan")])
+        rows.append((*group, source.randrange(2), float(source.randrange(2)), score))
+    df = spark.createDataFrame(rows, "a string, b int, label int, prediction double, score double")
+    expected = {}
+    for a, b, label, _, score in rows:
+        if score is not None and score == score:
+            expected.setdefault((a, b), ([], []))[label].append(score)
+    found = {(r["a"], r["b"]): r["auc_roc"] for r in evaluation.auc_roc(df.repartition(9), ["a", "b"]).collect()}
+    assert set(found) == set(expected)
+    for group, (negative, positive) in expected.items():
+        wins = sum((p > n) + (p == n) / 2 for p in positive for n in negative)
+        assert found[group] == pytest.approx(wins / len(positive) / len(negative), rel=1e-12)
+    plan = evaluation.auc_roc(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1

@@ -6,9 +6,10 @@ groups: ``by`` takes the grouping columns, and without them there is one row.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,11 +33,9 @@ def _counts(predictions: DataFrame, by: Sequence[str], score: str | None) -> Dat
     """Class sizes and hits per group, and the ranking wins the AUC is made of.
 
     A win is a positive scored above a negative; a tie is half a win. Rows are first
-    folded to distinct scores, however many rows share one. Those are cut into ranges
-    of about equal size, as many as the session has shuffle partitions, and ranked range by
-    range in parallel; a range's wins over all lower ranges need only the class sizes per
-    range. The cuts come from a sketch of the distinct scores and only balance the work:
-    any cuts give the same counts.
+    folded to distinct scores, however many rows share one. Those are ranged and sorted by group
+    and score, and every partition is scanned once: it counts its own wins and its class sizes.
+    Wins over the partitions before need only those sizes, a row per partition and group.
 
     A row whose score is null or NaN cannot be ranked: it counts in the class sizes and hits,
     which do not look at scores, but not in the wins or in the pairs they are a share of.
@@ -53,64 +52,65 @@ def _counts(predictions: DataFrame, by: Sequence[str], score: str | None) -> Dat
         return predictions.groupBy(*by).agg(*[m.alias(n) for n, m in sizes.items()])
 
     value = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
-    ranges = max(2, int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    per_score = predictions.groupBy(*by, value.alias("_score")).agg(
+    # One text per group, which keeps nulls and types apart.
+    options = {"ignoreNullFields": "false"}
+    group = F.to_json(F.struct(*by), options) if by else F.lit("")
+    per_score = predictions.groupBy(group.alias("_group"), value.alias("_score")).agg(
         *[m.alias(n) for n, m in sizes.items()]
     )
-    shares = [i / ranges for i in range(1, ranges)]
-    # Every step-th cut first, then those in between: a score is placed in about 2 * step looks.
-    step = math.isqrt(ranges) + 1
-    cuts = (
-        per_score.agg(F.percentile_approx("_score", shares).alias("fine"))
-        .select(
-            F.struct(
-                "fine", F.filter("fine", lambda _, i: i % step == step - 1).alias("coarse")
-            ).alias("cuts")
+    order = ["_group", "_score"]
+    scanned = (
+        per_score.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .mapInPandas(
+            _scan,
+            "_group string, _part int, wins double, _pos long, _neg long,"
+            " pos long, neg long, hit long, miss long",
         )
-        .scalar()
     )
-
-    def passed(some: Column) -> Column:
-        return F.size(F.filter(some, lambda cut: cut < F.col("_score")))
-
-    scored = F.col("_score").isNotNull()
-    ranged = (
-        per_score.withColumns({f"_{n}": F.when(scored, F.col(n)) for n in ("pos", "neg")})
-        .withColumn("_cuts", cuts)
-        .withColumn("_skip", step * passed(F.col("_cuts.coarse")))
-        .withColumn(
-            "_range",
-            F.col("_skip") + passed(F.slice(F.col("_cuts.fine"), F.col("_skip") + 1, F.lit(step))),
-        )
-        .withColumn("_range", F.when(scored, F.col("_range")).otherwise(F.lit(-1)))
-    )
-    lower_in_range = (
-        Window.partitionBy(*by, "_range")
-        .orderBy("_score")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    lower_ranges = (
-        Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    per_range = (
-        ranged.withColumn("_lower", F.coalesce(F.sum("_neg").over(lower_in_range), F.lit(0)))
-        .groupBy(*by, "_range")
-        .agg(
-            F.sum(F.col("_pos") * (F.col("_lower") + F.col("_neg") / 2)).alias("wins"),
-            *[F.sum(n).alias(n) for n in (*sizes, "_pos", "_neg")],
-        )
+    ranked = scanned.withColumn("_lower", F.coalesce(F.sum("_neg").over(earlier), F.lit(0)))
+    total = ranked.groupBy(*["_group"] * bool(by)).agg(
+        F.sum(F.col("wins") + F.col("_pos").cast("double") * F.col("_lower")).alias("wins"),
+        (F.sum("_pos").cast("double") * F.sum("_neg")).alias("pairs"),
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sizes],
     )
-    return (
-        per_range.withColumn("_lower", F.coalesce(F.sum("_neg").over(lower_ranges), F.lit(0)))
-        .groupBy(*by)
-        .agg(
-            F.sum(F.col("wins") + F.col("_pos").cast("double") * F.col("_lower")).alias("wins"),
-            (F.sum("_pos").cast("double") * F.sum("_neg")).alias("pairs"),
-            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sizes],
-        )
+    if not by:
+        return total
+    schema = ", ".join(f"`{c}` {predictions.schema[c].dataType.simpleString()}" for c in by)
+    return total.withColumn("_by", F.from_json("_group", schema)).select(
+        *[F.col("_by")[c].alias(c) for c in by], "wins", "pairs", *sizes
     )
 
 
+def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums per group of a partition whose rows are sorted by group and score."""
+    part, names = TaskContext.get().partitionId(), ["pos", "neg", "hit", "miss"]
+    group: str | None = None
+    sums: dict[str, float] = {}
+
+    def done() -> pd.DataFrame:
+        return pd.DataFrame([{"_group": group, "_part": part, **sums}])
+
+    for frame in frames:
+        for found, piece in frame.groupby("_group", sort=False):
+            if found != group:
+                if group is not None:
+                    yield done()
+                group, sums = found, dict.fromkeys(["wins", "_pos", "_neg", *names], 0)
+            ranked = piece[piece["_score"].notna()]
+            lower = sums["_neg"] + ranked["neg"].cumsum() - ranked["neg"]
+            sums["wins"] += float((ranked["pos"] * (lower + ranked["neg"] / 2)).sum())
+            sums["_pos"] += int(ranked["pos"].sum())
+            sums["_neg"] += int(ranked["neg"].sum())
+            for name in names:
+                sums[name] += int(piece[name].sum())
+    if group is not None:
+        yield done()
+
+
 def _auc() -> Column:
     return F.col("wins") / F.nullif(F.col("pairs"), F.lit(0.0))
 

@@ -9,8 +9,10 @@ disjoint through any recomputation.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any, NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -44,7 +46,7 @@ DEMAND_GRID: Mapping[str, Sequence[Any]] = {"maxDepth": (5, 10), "numTrees": (20
 # Position from which on a training line validates.
 VALIDATION_FROM = 0.8
 # Rows of a partition to fit on, and the least number of partitions: the same on every cluster.
-_FIT_ROWS, _FIT_PARTITIONS = 1 << 20, 16
+_FIT_ROWS, _FIT_PARTITIONS = 1 << 18, 8
 CHURN_FOREST: Mapping[str, Any] = {"numTrees": 60, "maxDepth": 8}
 
 
@@ -120,10 +122,12 @@ def fit_demand_model(
     combinations = points.build()
     fitting, validation = train.where(~F.col("validates")), train.where("validates")
     judge = RegressionEvaluator(labelCol="Quantity", metricName="rmse")
-    errors = [
-        float(judge.evaluate(model.transform(validation)))
-        for _, model in sorted(forest.fitMultiple(fitting, combinations))
-    ]
+
+    def error_of(point: dict) -> float:
+        return float(judge.evaluate(forest.fit(fitting, point).transform(validation)))
+
+    with ThreadPoolExecutor(len(combinations)) as pool:
+        errors = list(pool.map(inheritable_thread_target(lines.sparkSession)(error_of), combinations))
     chosen = combinations[errors.index(min(errors))]
     model = forest.fit(train, chosen)
     tuning = [

@@ -12,6 +12,7 @@ from tillroll.operators.calendar import create_temporal_features, daily_model_fr
 from tillroll.operators.models import (
     DEMAND_GRID,
     SEED,
+    Fitted,
     actual_vs_predicted,
     fit_demand_model,
     fit_sales_forecast,
@@ -24,10 +25,14 @@ def model_predictions(
     grid: Mapping[str, Sequence[Any]] = DEMAND_GRID,
     fraction: float = 0.1,
     seed: int = SEED,
+    demand: Fitted | None = None,
 ) -> DataFrame:
-    """Held-out (model, actual, predicted) rows of the forecast and the demand model."""
+    """Held-out (model, actual, predicted) rows of the forecast and the demand model.
+
+    ``demand`` is a demand model fitted on the same lines already.
+    """
     forecast = fit_sales_forecast(daily_model_frame(lines, holidays), seed)
-    demand = fit_demand_model(create_temporal_features(lines, holidays), fraction, grid, seed)
+    demand = demand or fit_demand_model(create_temporal_features(lines, holidays), fraction, grid, seed)
     return actual_vs_predicted(
         forecast.predictions, "linear_regression", "daily_revenue"
     ).unionByName(actual_vs_predicted(demand.predictions, "random_forest", "Quantity"))

@@ -552,6 +552,21 @@ ORACLE: dict[str, str] = {
             FROM clean WHERE {_position("split", *_LINE_KEY)} < {_share(0.8)}
               AND {_position("sample", *_LINE_KEY)} < {_share(0.1)}""",
     ),
+    "demand_walk": _with(
+        _CLEAN,
+        f"""SELECT count(*) AS n_lines, count(*) AS n_agree
+            FROM clean WHERE {_position("split", *_LINE_KEY)} >= {_share(0.8)}""",
+    ),
+    "churn_walk": _with(
+        _CHURN,
+        f"""SELECT CustomerID, label, true AS agrees FROM churn
+            WHERE CustomerID IS NOT NULL AND {_position("split", _CUSTOMER)} >= {_share(0.8)}""",
+    ),
+    "attribution_sums": _with(
+        _CHURN,
+        f"""SELECT CustomerID, label, true AS adds_up FROM churn
+            WHERE CustomerID IS NOT NULL AND {_position("split", _CUSTOMER)} >= {_share(0.8)}""",
+    ),
     "churn_held_out": _with(
         _CHURN,
         f"""SELECT CustomerID, label FROM churn

@@ -17,6 +17,7 @@ from tillroll.operators import (
     cleaning,
     customers,
     evaluation,
+    forests,
     layout,
     metrics,
     models,
@@ -148,9 +149,56 @@ def _forecast(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_FITS: dict[tuple[str, str, str], models.Fitted] = {}
+
+
+def _fit_once(name: str, spark: SparkSession, sf: str, fit: Callable[[], models.Fitted]) -> models.Fitted:
+    """A model fitted once per session and folder; its training rows are checkpointed."""
+    key = (spark.sparkContext.applicationId, name, sf)
+    if key not in _FITS:
+        _FITS[key] = fit()
+    return _FITS[key]
+
+
 def _demand_fit(spark: SparkSession, sf: str) -> models.Fitted:
-    return models.fit_demand_model(
-        calendar.create_temporal_features(clean_lines(spark, sf), HOLIDAYS)
+    lines = calendar.create_temporal_features(clean_lines(spark, sf), HOLIDAYS)
+    return _fit_once("demand", spark, sf, lambda: models.fit_demand_model(lines))
+
+
+def _model_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return training.model_predictions(
+        clean_lines(spark, sf), HOLIDAYS, demand=_demand_fit(spark, sf)
+    )
+
+
+def _demand_walk(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out lines, and on how many the walk through the node table gives the model's units."""
+    fitted = _demand_fit(spark, sf)
+    nodes = forests.forest_nodes(fitted.model, spark)
+    walked = forests.walk_forest(fitted.predictions, nodes, models.DEMAND_FEATURES)
+    near = F.abs(F.col("score") - F.col("prediction")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs("prediction"))
+    return walked.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(near).alias("n_agree"))
+
+
+def _churn_walk(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out customers, and whether the walk through the node table gives the model's score."""
+    fitted = _churn_fit(spark, sf)
+    nodes = forests.forest_nodes(fitted.model, spark)
+    walked = forests.walk_forest(
+        fitted.predictions, nodes, customers.CHURN_FEATURES, name="walked"
+    )
+    near = F.abs(F.col("walked") - F.col("score")) <= 1e-9
+    return walked.select("CustomerID", "label", near.alias("agrees"))
+
+
+def _attribution_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out customers, and whether contributions add up to the model's own score."""
+    fitted = _churn_fit(spark, sf)
+    explained = churn.explain_churn(fitted, fitted.predictions)
+    total = sum((F.col(f"phi_{f}") for f in customers.CHURN_FEATURES), F.col("base_value"))
+    own = fitted.predictions.select("CustomerID", F.col("score").alias("own"))
+    return explained.join(own, "CustomerID").select(
+        "CustomerID", "label", (F.abs(total - F.col("own")) <= 1e-9).alias("adds_up")
     )
 
 
@@ -189,7 +237,7 @@ def full_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _churn_fit(spark: SparkSession, sf: str) -> models.Fitted:
-    return models.fit_churn_model(labelled(spark, sf))
+    return _fit_once("churn", spark, sf, lambda: models.fit_churn_model(labelled(spark, sf)))
 
 
 def _importances(spark: SparkSession, sf: str) -> DataFrame:
@@ -340,10 +388,13 @@ QUERIES: dict[str, Query] = {
     ),
     "tuning_results": lambda s, d: models.tuning_results(_demand_fit(s, d), s),
     "model_metrics": lambda s, d: evaluation.regression_metrics(
-        training.model_predictions(clean_lines(s, d), HOLIDAYS), ["model"]
+        _model_predictions(s, d), ["model"]
     ),
     "churn_held_out": lambda s, d: _churn_fit(s, d).predictions.select("CustomerID", "label"),
-    "model_predictions": lambda s, d: training.model_predictions(clean_lines(s, d), HOLIDAYS),
+    "model_predictions": _model_predictions,
+    "demand_walk": _demand_walk,
+    "churn_walk": _churn_walk,
+    "attribution_sums": _attribution_sums,
     "churn_predictions": lambda s, d: _churn_fit(s, d).predictions,
     "feature_importances": _importances,
     "churn_explanations": _churn_explanations,
