@@ -8,10 +8,13 @@ from tillroll.operators.cleaning import add_revenue
 from tillroll.operators.metrics import daily_sales
 from tillroll.sources import (
     RETAIL_SCHEMA,
+    load_checked_sales,
     load_sales_data,
     query_sales,
     read_lines_parquet,
     register_sales,
+    reject_counts,
+    rejected_cells,
     write_csv,
     write_json_document,
     write_parquet,
@@ -101,3 +104,48 @@ def test_named_relation(spark, make_lines):
     assert spark.sql("SELECT sum(Quantity) FROM sales").first()[0] == 5
     assert query_sales(lines, "SELECT count(*) FROM {sales} WHERE Quantity > 2").first()[0] == 1
     spark.catalog.dropTempView("sales")
+
+
+MESSY = """InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country
+1,A,plain,6,2010-12-01 08:26:00,2.5,601.0,Norway
+2,B,bad cells,six,01/12/2010,2.x,?,Norway
+3,C,"too, few",4,2010-12-01 08:28:00
+4,D,too many,4,2010-12-01 08:28:00,1.5,7.0,Spain,extra
+5,,,,,,,
+6,F,odd numbers,3000000000,2010-02-30 00:00:00,1e400,-.5e1,Spain
+7,G,shapes,+7,2010-12-01 08:28:00,.5,NaN,Spain
+"""
+
+
+def test_rejected_cells_stand_beside_their_rows(spark, tmp_path):
+    path = tmp_path / "messy.csv"
+    path.write_text(MESSY)
+    checked = load_checked_sales(spark, str(path))
+    assert checked.columns == [*RETAIL_SCHEMA.fieldNames(), "rejects"]
+    rows = {r["InvoiceNo"]: r for r in checked.collect()}
+    assert sorted(rows) == list("1234567")
+    found = {k: [tuple(x) for x in r["rejects"]] for k, r in rows.items()}
+    assert found["1"] == found["5"] == found["7"] == []
+    assert found["2"] == [
+        ("Quantity", "six", "not an integer"),
+        ("InvoiceDate", "01/12/2010", "not a time"),
+        ("UnitPrice", "2.x", "not a number"),
+        ("CustomerID", "?", "not a number"),
+    ]
+    assert [(c, reason) for c, _, reason in found["3"]] == [(None, "wrong number of fields")]
+    assert found["4"][0][1].endswith("Spain,extra") and rows["4"]["Country"] == "Spain"
+    assert [c for c, _, _ in found["6"]] == ["Quantity", "InvoiceDate"]
+    assert (rows["7"]["Quantity"], rows["7"]["UnitPrice"], rows["6"]["CustomerID"]) == (7, 0.5, -5.0)
+    assert rejected_cells(checked).count() == 8
+    counts = {(r["column"], r["reason"]): r["n_cells"] for r in reject_counts(checked).collect()}
+    assert counts[("Quantity", "not an integer")] == 2 and counts[(None, "wrong number of fields")] == 2
+    plain = {r["InvoiceNo"]: r for r in load_sales_data(spark, str(path)).collect()}
+    for name in RETAIL_SCHEMA.fieldNames():
+        assert all(repr(plain[k][name]) == repr(rows[k][name]) for k in rows), name
+
+
+def test_an_empty_file_has_no_rejects(spark, tmp_path):
+    path = tmp_path / "empty.csv"
+    path.write_text(MESSY.splitlines()[0] + "\n")
+    assert load_checked_sales(spark, str(path)).count() == 0
+    assert rejected_cells(load_checked_sales(spark, str(path))).count() == 0

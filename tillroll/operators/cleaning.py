@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import lines
@@ -180,14 +180,76 @@ def clean_full(df: DataFrame, k: float = 1.5, relative_error: float = 0.01) -> D
     kept for them, so the source is read once for all statistics and once more by
     the result.
     """
-    identified = df.where(lines.has_customer() & lines.has_description())
-    narrow = identified.select(lines.invoice_kind().alias("InvoiceNo"), *CAPPED_COLUMNS)
-    with reused(narrow) as values:
+    price, limits, _ = _full_statistics(df, k, relative_error)
+    return _full_chain(df, price, limits)
+
+
+def _full_statistics(
+    df: DataFrame, k: float, relative_error: float, counted: bool = False
+) -> tuple[float | None, dict[str, Bounds | None], list[int]]:
+    """The price missing ones take, the limits of the capped columns, and lines per stage if ``counted``.
+
+    Runs jobs, all over the few columns they need, which are kept meanwhile.
+    """
+    customer = lines.has_customer()
+    narrow = df.select(
+        lines.invoice_kind().alias("InvoiceNo"),
+        *CAPPED_COLUMNS,
+        customer.alias("_customer"),
+        (customer & lines.has_description()).alias("_named"),
+    )
+    with reused(narrow) as kept:
+        values = kept.where("_named").drop("_customer", "_named")
         price = missing_price_fill(values, relative_error)
         sold = remove_invalid_sales(fill_price(values, price))
         limits = iqr_limits(sold, CAPPED_COLUMNS, k, relative_error)
-    sales = remove_invalid_sales(fill_price(identified, price))
-    return add_revenue(cap_at(sales, limits))
+        seen = []
+        if counted:
+            counts = _stage_counts(price, F.col("_customer"), F.col("_named"))
+            seen = [int(n) for n in kept.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)]).first()]
+    return price, limits, seen
+
+
+def _full_chain(
+    df: DataFrame, price: float | None, limits: dict[str, Bounds | None]
+) -> DataFrame:
+    identified = df.where(lines.has_customer() & lines.has_description())
+    return add_revenue(cap_at(remove_invalid_sales(fill_price(identified, price)), limits))
+
+
+def write_cleaned(
+    df: DataFrame, path: str, k: float = 1.5, relative_error: float = 0.01, mode: str = "overwrite"
+) -> DataFrame:
+    """Write the whole cleaning chain as parquet; returns the audit of its stages.
+
+    The source is read once for all statistics and the audit together, and once for the result. The
+    audit's three rows are those of :func:`cleaning_audit`, as a local relation.
+
+    It is not observed during the write: a session that has an observation cannot carry MLlib's
+    functions to its tasks any more.
+    """
+    price, limits, seen = _full_statistics(df, k, relative_error, counted=True)
+    _full_chain(df, price, limits).write.mode(mode).parquet(path)
+    rows = [
+        (i + 1, name, before, after, before - after)
+        for i, (name, before, after) in enumerate(zip(_STAGES, seen[:-1], seen[1:], strict=True))
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "step int, stage string, rows_before bigint, rows_after bigint, rows_removed bigint"
+    )
+
+
+# Stages of the full chain that remove lines.
+_STAGES = ("missing_customer", "blank_description", "invalid_sale")
+
+
+def _stage_counts(price: float | None, customer: Column, named: Column) -> list[Column]:
+    """All lines, and the lines left after each stage; ``named`` are those left after the second."""
+    value = F.col("UnitPrice")
+    if price is not None:
+        value = F.coalesce(F.nanvl(value, F.lit(None).cast("double")), F.lit(price))
+    left = (customer, named, named & lines.is_sale(value))
+    return [F.count(F.lit(1)), *[F.count_if(kept) for kept in left]]
 
 
 def cleaning_audit(df: DataFrame, fill_price: float | None = None) -> DataFrame:
@@ -196,17 +258,8 @@ def cleaning_audit(df: DataFrame, fill_price: float | None = None) -> DataFrame:
     ``fill_price`` is the price missing ones are filled with before the validity
     check; without it they count as invalid.
     """
-    price = F.col("UnitPrice")
-    if fill_price is not None:
-        price = F.coalesce(F.nanvl(price, F.lit(None).cast("double")), F.lit(fill_price))
     customer = lines.has_customer()
-    named = customer & lines.has_description()
-    survivors = [
-        ("missing_customer", customer),
-        ("blank_description", named),
-        ("invalid_sale", named & lines.is_sale(price)),
-    ]
-    counts = [F.count(F.lit(1))] + [F.count_if(kept) for _, kept in survivors]
+    counts = _stage_counts(fill_price, customer, customer & lines.has_description())
     audit = df.agg(*[c.alias(f"n{i}") for i, c in enumerate(counts)])
     stages = [
         F.struct(
@@ -216,6 +269,6 @@ def cleaning_audit(df: DataFrame, fill_price: float | None = None) -> DataFrame:
             F.col(f"n{i + 1}").alias("rows_after"),
             (F.col(f"n{i}") - F.col(f"n{i + 1}")).alias("rows_removed"),
         )
-        for i, (name, _) in enumerate(survivors)
+        for i, name in enumerate(_STAGES)
     ]
     return audit.select(F.inline(F.array(*stages)))

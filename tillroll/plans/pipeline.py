@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import DEFAULT_HOLIDAYS
-from tillroll.operators import metrics
-from tillroll.operators.cleaning import add_revenue, clean_full, remove_invalid_sales
+from tillroll.operators import cleaning, metrics
+from tillroll.operators.cleaning import add_revenue, remove_invalid_sales
 from tillroll.operators.customers import HOME_COUNTRY, churn_table, create_customer_features
 from tillroll.operators.layout import checkpointed
 from tillroll.operators.models import CHURN_FOREST, DEMAND_GRID
@@ -40,7 +40,8 @@ def write_metrics(raw: DataFrame, out: str) -> None:
 
 def write_cleaned(raw: DataFrame, out: str, relative_error: float = 0.01) -> DataFrame:
     """Clean the lines, write them, and return them as read back."""
-    write_parquet(clean_full(raw, relative_error=relative_error), f"{out}/cleaned")
+    audit = cleaning.write_cleaned(raw, f"{out}/cleaned", relative_error=relative_error)
+    write_csv(audit, f"{out}/cleaning_audit.csv", ["step"], files=1)
     return read_lines_parquet(raw.sparkSession, f"{out}/cleaned")
 
 

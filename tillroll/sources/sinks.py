@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.sources.schema import TIMESTAMP_FORMAT
+
 
 def write_csv(
     df: DataFrame,
@@ -26,7 +28,14 @@ def write_csv(
         placed = df.repartition(files)
     else:
         placed = df.orderBy(*order_by) if order_by else df
-    placed.write.mode(mode).option("header", True).csv(path)
+    # Text keeps its blanks, times are as the readers take them.
+    placed.write.mode(mode).option("timestampNTZFormat", TIMESTAMP_FORMAT).csv(
+        path,
+        header=True,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        timestampFormat=TIMESTAMP_FORMAT,
+    )
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -329,6 +329,21 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 2, 'blank_description', n1, n2, n1 - n2 FROM n
         UNION ALL SELECT 3, 'invalid_sale', n2, n3, n2 - n3 FROM n""",
     ),
+    "written_audit": _with(
+        _IDENTIFIED,
+        """, n AS (
+            SELECT count(*) AS n0, count(*) FILTER (CustomerID IS NOT NULL) AS n1,
+                   count(*) FILTER (CustomerID IS NOT NULL AND trim(Description) <> '') AS n2,
+                   count(*) FILTER (CustomerID IS NOT NULL AND trim(Description) <> ''
+                       AND InvoiceNo NOT LIKE 'C%' AND Quantity > 0
+                       AND coalesce(UnitPrice, price) > 0) AS n3
+            FROM retail, mid)
+        SELECT 1 AS step, 'missing_customer' AS stage, n0 AS rows_before, n1 AS rows_after,
+               n0 - n1 AS rows_removed FROM n
+        UNION ALL SELECT 2, 'blank_description', n1, n2, n1 - n2 FROM n
+        UNION ALL SELECT 3, 'invalid_sale', n2, n3, n2 - n3 FROM n""",
+    ),
+    "csv_roundtrip": _with(_RETAIL, f"SELECT {_LINE}, 0 AS n_rejects FROM retail"),
     "add_revenue": _with(
         _RETAIL, "SELECT *, round(Quantity * UnitPrice, 2) + 0.0 AS Revenue FROM retail"
     ),

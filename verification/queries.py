@@ -6,6 +6,7 @@ be compared by value; the operators return them as they are.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from tillroll.operators import (
     scaling,
 )
 from tillroll.plans import churn, kpis, training, workload
+from tillroll.sources import RETAIL_SCHEMA, load_checked_sales, write_csv
 from tillroll.sources.star import retail_view, star_table
 
 # Parameters the SQL side repeats.
@@ -76,6 +78,22 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """All lines, written as CSV to the shared folder and read back."""
+    path = f"{layout.checkpoint_folder(spark)}/lines-{uuid.uuid4().hex}"
+    write_csv(raw(spark, sf), path)
+    back = load_checked_sales(spark, path)
+    # The source's times have no zone.
+    back = back.withColumn("InvoiceDate", F.col("InvoiceDate").cast("timestamp_ntz"))
+    return back.select(*RETAIL_SCHEMA.fieldNames(), F.size("rejects").alias("n_rejects"))
+
+
+def _written_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit that the write of the cleaned lines carries."""
+    path = f"{layout.checkpoint_folder(spark)}/cleaned-{uuid.uuid4().hex}"
+    return cleaning.write_cleaned(raw(spark, sf), path, relative_error=0)
+
+
 def _cleaning_audit(spark: SparkSession, sf: str) -> DataFrame:
     lines = raw(spark, sf)
     identified = cleaning.drop_blank_description(cleaning.drop_missing_customer(lines))
@@ -279,6 +297,8 @@ QUERIES: dict[str, Query] = {
     "schema_listing": lambda s, d: profiling.schema_listing(raw(s, d)),
     "null_profile": lambda s, d: profiling.null_profile(raw(s, d)),
     "cleaning_audit": _cleaning_audit,
+    "written_audit": _written_audit,
+    "csv_roundtrip": _csv_roundtrip,
     # projections, filters, cleaning
     "add_revenue": lambda s, d: cleaning.add_revenue(raw(s, d)),
     "remove_invalid_sales": lambda s, d: cleaning.remove_invalid_sales(raw(s, d)),
