@@ -154,3 +154,17 @@ def test_filter_reaches_the_files(spark, make_lines, tmp_path):
     assert "IsNotNull(CustomerID)" in text and "Not(StringStartsWith(InvoiceNo,C))" in text
     assert "GreaterThan(Quantity,0)" in text and "GreaterThan(UnitPrice,0.0)" in text
     assert "Country" not in text.split("ReadSchema")[1]
+
+
+def test_lazy_imputation_runs_no_job_and_agrees(spark, make_lines):
+    nan = float("nan")
+    for prices in ([1.0, None, 5.0, 2.0, nan], [3.0, nan, 1.0], [None, None], [4.0, 2.0], []):
+        lines = make_lines(*[{"InvoiceNo": str(i), "UnitPrice": p} for i, p in enumerate(prices)])
+        spark.sparkContext.setJobGroup("lazy", "imputation")
+        lazy = cleaning.impute_median_price_lazily(lines)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        eager = cleaning.impute_median_price(lines, relative_error=0.0001)
+        assert lazy.columns == eager.columns
+        shown = lambda df: sorted((r["InvoiceNo"], repr(r["UnitPrice"])) for r in df.collect())
+        assert shown(lazy) == shown(eager)

@@ -74,6 +74,23 @@ def impute_median_price(df: DataFrame, relative_error: float = 0.01) -> DataFram
     return fill_price(df, missing_price_fill(df, relative_error))
 
 
+def impute_median_price_lazily(df: DataFrame, relative_error: float = 0.0001) -> DataFrame:
+    """:func:`impute_median_price` as one plan: no job runs before an action.
+
+    The median is a mergeable sketch in a relation of one row, which the plan reads as a scalar;
+    ``relative_error`` must be above 0. The source is read twice by the action.
+    """
+    if relative_error <= 0:
+        raise ValueError("a sketch has a relative error above 0")
+    price = F.col("UnitPrice")
+    present = F.when(~F.isnan(price), price)
+    found = df.agg(
+        F.percentile_approx(present, 0.5, int(1 / relative_error)).alias("median"),
+        (F.count_if(price.isNull()) > 0).alias("missing"),
+    ).select(F.when(F.col("missing"), F.col("median"))).scalar()
+    return df.withColumn("UnitPrice", F.coalesce(F.when(~F.isnan(price), price), found, price))
+
+
 def iqr_limits(
     df: DataFrame, columns: Sequence[str], k: float = 1.5, relative_error: float = 0.01
 ) -> dict[str, Bounds | None]:
