@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,15 +50,17 @@ def is_holiday(timestamp: str, holidays: Iterable[str | dt.date] = DEFAULT_HOLID
 def holiday_udf(holidays: Iterable[str | dt.date] = DEFAULT_HOLIDAYS):
     """The holiday flag as a vectorised UDF: the hook for calendars that are code.
 
-    Batches cross to Python as Arrow columns. :func:`is_holiday` gives the same
-    answer without leaving the JVM and is what the operators use.
+    Batches cross to Python as Arrow arrays and stay such; no date becomes a Python
+    object. :func:`is_holiday` gives the same answer without leaving the JVM and is
+    what the operators use.
     """
-    listed = frozenset(_dates(holidays))
+    listed = _dates(holidays)
 
-    @F.pandas_udf("int")
-    def flag(days: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("int")
+    def flag(days: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = pa.array(listed, pa.date32())
         for batch in days:
-            yield batch.isin(listed).astype("int32")
+            yield pc.is_in(batch, value_set=known).cast(pa.int32())
 
     return flag
 

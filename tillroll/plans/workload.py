@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import metrics
 from tillroll.operators.cleaning import add_revenue, remove_invalid_sales
-from tillroll.operators.layout import reused
+from tillroll.operators.layout import checkpointed, reused, staged
 
 # Columns of the combined answer; a question leaves those it does not use empty.
 _ANSWER = {
@@ -90,7 +90,21 @@ def _daily_answers(daily: DataFrame) -> DataFrame:
 
 def workload(raw: DataFrame) -> DataFrame:
     """All answers as one relation, from one pass over the base per grouping key."""
-    base = workload_base(raw)
+    return _combined(workload_base(raw))
+
+
+def workload_once(raw: DataFrame) -> DataFrame:
+    """:func:`workload` with one scan of the source.
+
+    The base is staged as Parquet in the shared folder while the answers are worked out; each
+    question reads only its columns of it. The answers are checkpointed before it is removed,
+    so this runs jobs before it returns.
+    """
+    with staged(workload_base(raw)) as base:
+        return checkpointed(_combined(base))
+
+
+def _combined(base: DataFrame) -> DataFrame:
     answers = [
         metrics.country_revenue(base).withColumn("query", F.lit("country_revenue")),
         metrics.top_stockcodes(base).withColumn("query", F.lit("top_stockcodes")),

@@ -305,6 +305,24 @@ ORACLE_FULL = _with(
         SELECT *, round(Quantity * UnitPrice, 2) AS Revenue FROM capped""",
 )
 
+_WORKLOAD = """, best AS (SELECT * FROM days ORDER BY rev DESC, d LIMIT 1),
+      codes AS (SELECT StockCode, CAST(sum(Quantity) AS BIGINT) AS q FROM sales GROUP BY ALL
+                ORDER BY q DESC, StockCode LIMIT 5)
+    SELECT 'country_revenue' AS query, Country, CAST(NULL AS VARCHAR) AS StockCode,
+           CAST(NULL AS DOUBLE) AS CustomerID, CAST(NULL AS DATE) AS d,
+           CAST(NULL AS BIGINT) AS orders, round(sum(Revenue), 2) AS rev,
+           CAST(NULL AS BIGINT) AS q
+    FROM sales GROUP BY Country
+    UNION ALL SELECT 'top_stockcodes', NULL, StockCode, NULL, NULL, NULL, NULL, q FROM codes
+    UNION ALL SELECT 'customer_orders_revenue', NULL, NULL, CustomerID, NULL,
+           count(DISTINCT InvoiceNo), round(sum(Revenue), 2), NULL
+    FROM sales GROUP BY CustomerID
+    UNION ALL SELECT 'daily_total', NULL, NULL, NULL, NULL, NULL, round(sum(rev), 2), NULL
+    FROM days
+    UNION ALL SELECT 'daily_mean', NULL, NULL, NULL, NULL, NULL, round(avg(rev), 2), NULL
+    FROM days
+    UNION ALL SELECT 'best_day', NULL, NULL, NULL, d, NULL, round(rev, 2), q FROM best"""
+
 ORACLE: dict[str, str] = {
     "dataset_shape": _with(_RETAIL, "SELECT count(*) AS n_rows, 8 AS n_columns FROM retail"),
     "preview": _with(
@@ -477,25 +495,13 @@ ORACLE: dict[str, str] = {
     "best_day": _with(
         _DAYS, "SELECT d, round(rev, 2) AS rev, q FROM days ORDER BY days.rev DESC, d LIMIT 1"
     ),
-    "workload": _with(
-        _DAYS,
-        """, best AS (SELECT * FROM days ORDER BY rev DESC, d LIMIT 1),
-          codes AS (SELECT StockCode, CAST(sum(Quantity) AS BIGINT) AS q FROM sales GROUP BY ALL
-                    ORDER BY q DESC, StockCode LIMIT 5)
-        SELECT 'country_revenue' AS query, Country, CAST(NULL AS VARCHAR) AS StockCode,
-               CAST(NULL AS DOUBLE) AS CustomerID, CAST(NULL AS DATE) AS d,
-               CAST(NULL AS BIGINT) AS orders, round(sum(Revenue), 2) AS rev,
-               CAST(NULL AS BIGINT) AS q
-        FROM sales GROUP BY Country
-        UNION ALL SELECT 'top_stockcodes', NULL, StockCode, NULL, NULL, NULL, NULL, q FROM codes
-        UNION ALL SELECT 'customer_orders_revenue', NULL, NULL, CustomerID, NULL,
-               count(DISTINCT InvoiceNo), round(sum(Revenue), 2), NULL
-        FROM sales GROUP BY CustomerID
-        UNION ALL SELECT 'daily_total', NULL, NULL, NULL, NULL, NULL, round(sum(rev), 2), NULL
-        FROM days
-        UNION ALL SELECT 'daily_mean', NULL, NULL, NULL, NULL, NULL, round(avg(rev), 2), NULL
-        FROM days
-        UNION ALL SELECT 'best_day', NULL, NULL, NULL, d, NULL, round(rev, 2), q FROM best""",
+    "workload": _with(_DAYS, _WORKLOAD),
+    "workload_once": _with(_DAYS, _WORKLOAD),
+    "hot_key_placement": _with(
+        _SALES,
+        """SELECT Country, count(*) AS n_rows,
+                  count(*) * 24 > (SELECT count(*) FROM sales) AS spread
+           FROM sales GROUP BY ALL""",
     ),
     "repartition_profile": _with(
         _SALES, "SELECT Country, count(*) AS n_rows FROM sales GROUP BY ALL"

@@ -37,6 +37,7 @@ PRICE_THRESHOLD = 1000.0
 SCORE_THRESHOLD = 0.12
 BACKGROUND = 50
 CAP_FACTOR = 0.25
+LAYOUT_PARTITIONS = 24
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,6 +122,18 @@ def _repartition_profile(spark: SparkSession, sf: str) -> DataFrame:
     return layout.repartition_profile(spread, ["Country"])
 
 
+def _hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per country, and whether the layout spreads it over several partitions."""
+    keys = raw_sales(spark, sf).select("Country", "InvoiceNo", "StockCode")
+    placed = layout.hot_key_placement(
+        keys, ["Country"], LAYOUT_PARTITIONS, ["InvoiceNo", "StockCode"]
+    )
+    return placed.groupBy("Country").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        (F.min("partition") < F.max("partition")).alias("spread"),
+    )
+
+
 def _explained(spark: SparkSession, sf: str) -> DataFrame:
     """Contributions to a rule with an interaction, for every customer."""
     rows = layout.checkpointed(labelled(spark, sf))
@@ -357,7 +370,9 @@ QUERIES: dict[str, Query] = {
         metrics.best_day(metrics.daily_rollup(raw_sales(s, d))), 2, "rev"
     ),
     "workload": lambda s, d: _round(workload.workload(raw(s, d)), 2, "rev"),
+    "workload_once": lambda s, d: _round(workload.workload_once(raw(s, d)), 2, "rev"),
     "repartition_profile": _repartition_profile,
+    "hot_key_placement": _hot_keys,
     # calendar and customer features
     "temporal_features": lambda s, d: calendar.create_temporal_features(raw(s, d), HOLIDAYS),
     "holiday_flag": lambda s, d: calendar.holiday_flag(raw(s, d), HOLIDAYS),
