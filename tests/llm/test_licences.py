@@ -13,26 +13,18 @@ from tillroll.llm.queries import op3_licences
 
 
 def plain_scan(text):
-    def look(part):
-        return SENTENCES.get(re.sub(r"^[ .+-]+|[ .+-]+$", "", re.sub("[^a-z0-9.+-]+", " ", part.lower())))
-
-    def each(sentence):
-        return [look(sentence)] if look(sentence) else [look(line) for line in sentence.split("\n")]
-
-    # A stop behind "v" before a number, and a colon in "free software: you", join what is known as a
-    # whole; where nothing is, they end sentences like any other.
-    end, ids = r"[.!?:]+[ \t-\r]+|[\n\r]{2,}", []
-    text = re.sub(r"(?i)(\bv\.)(?=[ \t-\r]+[0-9])", "\\1\x01", text or "")
-    text = re.sub(r"(?i)(\bfree[ \t-\r]+software:)(?=[ \t-\r]+you\b)", "\\1\x01", text)
-    for sentence in re.split(end, text):
-        if look(sentence):
-            ids.append(look(sentence))
-        elif any("\x01" in line and look(line) for line in sentence.split("\n")):
-            ids += [look(line) for line in sentence.split("\n")]
-        else:
-            for part in re.split(end, sentence.replace("\x01", "")):
-                ids += each(part)
-    ids = [i for i in ids if i]
+    """Word by word: the longest known sentence that begins here, or on to the next word."""
+    words = []
+    for run in re.findall("[a-z0-9.+-]+", (text or "").lower()):
+        word = run.replace("licenc", "licens").strip(".+-")
+        words += [word] if word else []
+    sentences = sorted((tuple(s.split()), i) for s, i in SENTENCES.items())
+    sentences.sort(key=lambda pair: -len(pair[0]))
+    ids, at = [], 0
+    while at < len(words):
+        found = next(((s, i) for s, i in sentences if tuple(words[at : at + len(s)]) == s), None)
+        ids += [found[1]] if found else []
+        at += len(found[0]) if found else 1
     known, names = len(ids), set()
     for name, sequence in RULES:
         at = 0
@@ -47,6 +39,7 @@ def plain_scan(text):
 def test_sentences_are_normal_and_hinted():
     for sentence in SENTENCES:
         assert re.sub("[^a-z0-9.+-]+", " ", sentence) == sentence and re.search(HINT, sentence)
+        assert not any(word.strip(".+-") != word or "licenc" in word for word in sentence.split())
     used = {i for _, sequence in RULES for i in sequence}
     assert used <= set(SENTENCES.values())
 

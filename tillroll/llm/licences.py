@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Normalised licence sentences and their identifiers.
+# Normalised licence sentences and their identifiers. A sentence is found wherever its words
+# follow each other, so it begins behind what differs from one header to the next.
 SENTENCES = {
-    "this work is licensed under the gnu general public license version 3": "GPL3_LINE",
     "licensed under the apache license version 2.0": "APACHE2_LINE",
-    "licensed under the apache license version 2.0 the license": "APACHE2_LINE",
-    "released under the mit license": "MIT_LINE",
-    "licensed under the mit license": "MIT_LINE",
-    "licensed under cc by-nc 4.0": "CCBYNC4_LINE",
-    "licensed under cc by 4.0": "CCBY4_LINE",
-    "licensed under cc by-sa 4.0": "CCBYSA4_LINE",
+    "released under the apache license version 2.0": "APACHE2_LINE",
+    "licensed under apache 2.0": "APACHE2_LINE",
     "you may not use this file except in compliance with the license": "APACHE_COMPLY",
     "you may obtain a copy of the license at": "APACHE_COPY",
     "unless required by applicable law or agreed to in writing software distributed under the"
@@ -22,18 +20,10 @@ SENTENCES = {
     " either express or implied": "APACHE_ASIS",
     "see the license for the specific language governing permissions and limitations under the"
     " license": "APACHE_SEE",
-    "this program is free software you can redistribute it and or modify it under the terms of the"
-    " gnu general public license as published by the free software foundation either version 3 of"
-    " the license or at your option any later version": "GPL3PLUS_GRANT",
-    "this program is free software you can redistribute it and or modify it under the terms of the"
-    " gnu general public license as published by the free software foundation either version 2 of"
-    " the license or at your option any later version": "GPL2PLUS_GRANT",
-    "this program is distributed in the hope that it will be useful but without any warranty"
-    " without even the implied warranty of merchantability or fitness for a particular"
-    " purpose": "GPL_WARRANTY",
-    "see the gnu general public license for more details": "GPL_SEE",
-    "you should have received a copy of the gnu general public license along with this"
-    " program": "GPL_RECEIVED",
+    "released under the mit license": "MIT_LINE",
+    "licensed under the mit license": "MIT_LINE",
+    "available under the mit license": "MIT_LINE",
+    "distributed under the mit license": "MIT_LINE",
     "permission is hereby granted free of charge to any person obtaining a copy of this software"
     " and associated documentation files the software to deal in the software without restriction"
     " including without limitation the rights to use copy modify merge publish distribute"
@@ -41,6 +31,14 @@ SENTENCES = {
     " furnished to do so subject to the following conditions": "MIT_GRANT",
     "the above copyright notice and this permission notice shall be included in all copies or"
     " substantial portions of the software": "MIT_NOTICE",
+    "permission to use copy modify and or distribute this software for any purpose with or without"
+    " fee is hereby granted provided that the above copyright notice and this permission notice"
+    " appear in all copies": "ISC_GRANT",
+    "permission to use copy modify and distribute this software for any purpose with or without"
+    " fee is hereby granted provided that the above copyright notice and this permission notice"
+    " appear in all copies": "ISC_GRANT",
+    "licensed under the isc license": "ISC_LINE",
+    "released under the isc license": "ISC_LINE",
     "redistribution and use in source and binary forms with or without modification are permitted"
     " provided that the following conditions are met": "BSD_GRANT",
     "redistributions of source code must retain the above copyright notice this list of conditions"
@@ -51,8 +49,53 @@ SENTENCES = {
     "neither the name of the copyright holder nor the names of its contributors may be used to"
     " endorse or promote products derived from this software without specific prior written"
     " permission": "BSD_ENDORSE",
+    "licensed under the gnu general public license version 2": "GPL2_LINE",
+    "licensed under the gnu general public license version 3": "GPL3_LINE",
+    "licensed under the gnu lesser general public license version 2.1": "LGPL21_LINE",
+    "licensed under the gnu lesser general public license version 3": "LGPL3_LINE",
+    "licensed under the gnu affero general public license version 3": "AGPL3_LINE",
+    "is free software you can redistribute it and or modify it under the terms of the gnu general"
+    " public license version 2 as published by the free software foundation": "GPL2_GRANT",
+    "is free software you can redistribute it and or modify it under the terms of the gnu general"
+    " public license as published by the free software foundation either version 2 of the license"
+    " or at your option any later version": "GPL2PLUS_GRANT",
+    "is free software you can redistribute it and or modify it under the terms of the gnu general"
+    " public license as published by the free software foundation either version 3 of the license"
+    " or at your option any later version": "GPL3PLUS_GRANT",
+    "is free software you can redistribute it and or modify it under the terms of the gnu lesser"
+    " general public license as published by the free software foundation either version 2.1 of"
+    " the license or at your option any later version": "LGPL21PLUS_GRANT",
+    "is free software you can redistribute it and or modify it under the terms of the gnu lesser"
+    " general public license as published by the free software foundation either version 3 of the"
+    " license or at your option any later version": "LGPL3PLUS_GRANT",
+    "is free software you can redistribute it and or modify it under the terms of the gnu affero"
+    " general public license as published by the free software foundation either version 3 of the"
+    " license or at your option any later version": "AGPL3PLUS_GRANT",
+    "is distributed in the hope that it will be useful but without any warranty"
+    " without even the implied warranty of merchantability or fitness for a particular"
+    " purpose": "GNU_WARRANTY",
+    "see the gnu general public license for more details": "GPL_SEE",
+    "see the gnu lesser general public license for more details": "LGPL_SEE",
+    "see the gnu affero general public license for more details": "AGPL_SEE",
+    "you should have received a copy of the gnu general public license along with": "GPL_RECEIVED",
+    "you should have received a copy of the gnu lesser general public license along with": "LGPL_RECEIVED",
+    "you should have received a copy of the gnu affero general public license along with": "AGPL_RECEIVED",
     "this source code form is subject to the terms of the mozilla public license v": "MPL_LINE",
-    "this source code form is subject to the terms of the mozilla public license v. 2.0": "MPL2_LINE",
+    "this source code form is subject to the terms of the mozilla public license v 2.0": "MPL2_LINE",
+    "are made available under the terms of the eclipse public license 2.0": "EPL2_LINE",
+    "are made available under the terms of the eclipse public license v 2.0": "EPL2_LINE",
+    "are made available under the terms of the eclipse public license v2.0": "EPL2_LINE",
+    "distributed under the boost software license version 1.0": "BSL1_LINE",
+    "this is free and unencumbered software released into the public domain": "UNLICENSE_GRANT",
+    "to the extent possible under law": "CC0_EXTENT",
+    "has waived all copyright and related or neighboring rights to": "CC0_WAIVED",
+    "licensed under cc by-nc 4.0": "CCBYNC4_LINE",
+    "licensed under cc by 4.0": "CCBY4_LINE",
+    "licensed under cc by-sa 4.0": "CCBYSA4_LINE",
+    "licensed under a creative commons attribution-noncommercial 4.0 international license": "CCBYNC4_LINE",
+    "licensed under a creative commons attribution 4.0 international license": "CCBY4_LINE",
+    "licensed under a creative commons attribution-sharealike 4.0 international license": "CCBYSA4_LINE",
+    "licensed under cc0 1.0": "CC0_LINE",
 }
 # Licences by the sequences of identifiers that grant them, the more specific first.
 RULES = (
@@ -60,64 +103,93 @@ RULES = (
     ("Apache-2.0", ("APACHE2_LINE", "APACHE_COMPLY")),
     ("BSD-3-Clause", ("BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_ENDORSE")),
     ("BSD-2-Clause", ("BSD_GRANT", "BSD_SOURCE", "BSD_BINARY")),
-    ("GPL-3.0-or-later", ("GPL3PLUS_GRANT", "GPL_WARRANTY", "GPL_SEE", "GPL_RECEIVED")),
+    ("GPL-3.0-or-later", ("GPL3PLUS_GRANT", "GNU_WARRANTY", "GPL_SEE", "GPL_RECEIVED")),
     ("GPL-3.0-or-later", ("GPL3PLUS_GRANT",)),
-    ("GPL-2.0-or-later", ("GPL2PLUS_GRANT", "GPL_WARRANTY", "GPL_SEE", "GPL_RECEIVED")),
+    ("GPL-2.0-or-later", ("GPL2PLUS_GRANT", "GNU_WARRANTY", "GPL_SEE", "GPL_RECEIVED")),
     ("GPL-2.0-or-later", ("GPL2PLUS_GRANT",)),
+    ("GPL-2.0-only", ("GPL2_GRANT", "GNU_WARRANTY", "GPL_SEE", "GPL_RECEIVED")),
+    ("GPL-2.0-only", ("GPL2_GRANT", "GNU_WARRANTY", "GPL_SEE")),
+    ("GPL-2.0-only", ("GPL2_GRANT",)),
+    ("LGPL-2.1-or-later", ("LGPL21PLUS_GRANT", "GNU_WARRANTY", "LGPL_SEE", "LGPL_RECEIVED")),
+    ("LGPL-2.1-or-later", ("LGPL21PLUS_GRANT",)),
+    ("LGPL-3.0-or-later", ("LGPL3PLUS_GRANT", "GNU_WARRANTY", "LGPL_SEE", "LGPL_RECEIVED")),
+    ("LGPL-3.0-or-later", ("LGPL3PLUS_GRANT",)),
+    ("AGPL-3.0-or-later", ("AGPL3PLUS_GRANT", "GNU_WARRANTY", "AGPL_SEE", "AGPL_RECEIVED")),
+    ("AGPL-3.0-or-later", ("AGPL3PLUS_GRANT",)),
     ("MIT", ("MIT_GRANT", "MIT_NOTICE")),
     ("MIT", ("MIT_LINE",)),
+    ("ISC", ("ISC_GRANT",)),
+    ("ISC", ("ISC_LINE",)),
     ("Apache-2.0", ("APACHE2_LINE",)),
+    ("GPL-2.0-only", ("GPL2_LINE",)),
     ("GPL-3.0-only", ("GPL3_LINE",)),
+    ("LGPL-2.1-only", ("LGPL21_LINE",)),
+    ("LGPL-3.0-only", ("LGPL3_LINE",)),
+    ("AGPL-3.0-only", ("AGPL3_LINE",)),
     ("CC-BY-NC-4.0", ("CCBYNC4_LINE",)),
     ("CC-BY-SA-4.0", ("CCBYSA4_LINE",)),
     ("CC-BY-4.0", ("CCBY4_LINE",)),
+    ("CC0-1.0", ("CC0_EXTENT", "CC0_WAIVED")),
+    ("CC0-1.0", ("CC0_LINE",)),
     ("MPL-2.0", ("MPL2_LINE",)),
+    ("EPL-2.0", ("EPL2_LINE",)),
+    ("BSL-1.0", ("BSL1_LINE",)),
+    ("Unlicense", ("UNLICENSE_GRANT",)),
 )
-# Every known sentence has one of these words; a text without them is not split.
-HINT = "licen[sc]e|permission|redistribut|copyright|warrant"
-# Ends of sentences, and what is no part of a word, version or option.
-SENTENCE_END = r"[.!?:]+[\x20\x09-\x0D]+|[\x0A\x0D]{2,}"
-LINE_BREAK = r"\x0A"
-# The point in "v. 2.0" and the colon in "free software: you" end no sentence; a mark keeps both sides together.
-JOINT = (
-    r"(?i)(\bv\.(?=[\x20\x09-\x0D]+[0-9])"
-    r"|\bfree[\x20\x09-\x0D]+software:(?=[\x20\x09-\x0D]+you\b))"
-)
-MARK = "\x01"
+# A tag that names a licence by its short name says what the licence's one-sentence rule says.
+TAG = "spdx-license-identifier"
+_ALONE = {name: sequence[0] for name, sequence in RULES if len(sequence) == 1}
+_TAGS = {name: _ALONE.get(name, f"TAG_{number}") for number, (name, _) in enumerate(RULES)}
+SENTENCES |= {f"{TAG} {name.lower()}": identifier for name, identifier in _TAGS.items()}
+RULES += tuple((name, (identifier,)) for name, identifier in _TAGS.items() if name not in _ALONE)
+# Every known sentence has one of these words; a text without them is not searched.
+HINT = "licen[sc]|permission|redistribut|copyright|warrant|public domain|possible under law"
+# What stands between words; points, plus signs and hyphens stay only within a word, as in "2.0" and "by-nc".
 NOISE = "[^a-z0-9.+-]+"
-EDGES = "^[ .+-]+|[ .+-]+$"
+EDGES = "[.+-]+ | [.+-]+"
 
 
-def _identifiers(text: Column) -> Column:
-    """Identifiers of known sentences in text order; an unknown sentence is an empty one.
+def sentence_trie() -> str:
+    """All known sentences as one expression: a trie of words, over words two blanks apart.
 
-    Licence statements come as running text, where lines break anywhere, and as single
-    lines: a sentence is looked up as a whole and, if unknown, line by line. A ``JOINT``
-    ends a sentence only where what it would join is unknown.
+    From a given word it matches the longest known sentence that begins there: branches differ in
+    a whole word, and going on is tried before stopping. The blank on either side is part of the
+    match, the other one of the pair is left to the neighbour.
     """
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    root: dict = {}
+    for sentence in SENTENCES:
+        node = root
+        for word in sentence.split():
+            node = node.setdefault(word, {})
+        node[""] = {}
 
-    def look(sentence: Column) -> Column:
-        plain = F.regexp_replace(F.regexp_replace(F.lower(sentence), NOISE, " "), EDGES, "")
-        return F.coalesce(F.element_at(known, plain), F.lit(""))
-
-    def each(sentence: Column) -> Column:
-        lines = F.transform(F.split(sentence, LINE_BREAK, -1), look)
-        return F.when(look(sentence) != "", F.array(look(sentence))).otherwise(lines)
-
-    def marked(sentence: Column) -> Column:
-        lines = F.split(sentence, LINE_BREAK, -1)
-        known_line = F.exists(lines, lambda line: F.contains(line, F.lit(MARK)) & (look(line) != ""))
-        plain = F.split(F.replace(sentence, F.lit(MARK), F.lit("")), SENTENCE_END, -1)
-        return (
-            F.when(~F.contains(sentence, F.lit(MARK)), each(sentence))
-            .when(look(sentence) != "", F.array(look(sentence)))
-            .when(known_line, F.transform(lines, look))
-            .otherwise(F.flatten(F.transform(plain, each)))
-        )
+    def expression(node: dict) -> str:
+        ways = [
+            re.escape(word).replace("\\-", "-") + follow(child)
+            for word, child in sorted(node.items())
+            if word
+        ]
+        return f"(?:{'|'.join(ways)})"
+
+    def follow(node: dict) -> str:
+        if set(node) == {""}:
+            return ""
+        return f"(?:  {expression(node)})?" if "" in node else f"  {expression(node)}"
 
-    joined = F.regexp_replace(text, JOINT, "$1" + MARK)
-    return F.flatten(F.transform(F.split(joined, SENTENCE_END, -1), marked))
+    return f" {expression(root)} "
+
+
+def _identifiers(text: Column) -> Column:
+    """Identifiers of the known sentences in text order, wherever they stand.
+
+    Lines, comment marks, quotes and sentence ends do not matter: only words are compared.
+    """
+    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    words = F.replace(F.regexp_replace(F.lower(text), NOISE, "  "), F.lit("licenc"), F.lit("licens"))
+    words = F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), EDGES, " ")
+    words = F.regexp_replace(words, " +", "  ")
+    found = F.regexp_extract_all(words, F.lit(sentence_trie()), F.lit(0))
+    return F.transform(found, lambda m: F.element_at(known, F.trim(F.replace(m, F.lit("  "), F.lit(" ")))))
 
 
 def licence_scan(
@@ -125,7 +197,8 @@ def licence_scan(
 ) -> DataFrame:
     """(id, licences, n_known, n_unmatched): licences granted by the sentences of each text.
 
-    Rules are tried in order on the sequence of identifiers, unknown sentences left out; what
+    Sentences are compared word by word, at any word of the text; the longest known one counts and
+    the search goes on behind it. Rules are tried in order on the sequence of identifiers; what
     a rule matches is used up, so a general rule does not fire inside a specific one.
     ``licences`` are the names, once each, in code point order and comma-joined; ``n_known``
     counts known sentences and ``n_unmatched`` those that no rule used. Row by row with
@@ -137,9 +210,7 @@ def licence_scan(
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     none = F.expr("CAST(array() AS ARRAY<STRING>)")
-    found = F.when(
-        F.lower(text).rlike(HINT), F.filter(_identifiers(text), lambda i: i != "")
-    ).otherwise(none)
+    found = F.when(F.lower(text).rlike(HINT), _identifiers(text)).otherwise(none)
     rows = documents.select(F.col(id_column), found.alias("__known"))
     rows = rows.select(
         id_column,

@@ -5,11 +5,10 @@ from __future__ import annotations
 from tillroll.llm.licences import (
     EDGES,
     HINT,
-    LINE_BREAK,
     NOISE,
     RULES,
-    SENTENCE_END,
     SENTENCES,
+    sentence_trie,
 )
 from tillroll.llm.pii import IBAN_LENGTHS
 
@@ -100,26 +99,10 @@ GROUP BY d.row_no, d.doc_id
 _KNOWN = ", ".join(f"'{sentence}': '{name}'" for sentence, name in SENTENCES.items())
 
 
-def _look(sentence: str) -> str:
-    plain = (
-        f"regexp_replace(regexp_replace(lower({sentence}), '{NOISE}', ' ', 'g'), '{EDGES}', '', 'g')"
-    )
-    return f"coalesce(known[{plain}], '')"
-
-
-def _lines(sentence: str) -> str:
-    return f"list_transform(string_split_regex({sentence}, '{LINE_BREAK}'), lambda l: {_look('l')})"
-
-
-# What ends no sentence is marked; the groups take in what must follow, which no other match begins with.
-_JOINED = (
-    r"regexp_replace(regexp_replace(text, '(?i)(\bv\.)([\x20\x09-\x0D]+[0-9])', '\1' || chr(1) || '\2', 'g'),"
-    r" '(?i)(\bfree[\x20\x09-\x0D]+software:)([\x20\x09-\x0D]+you\b)', '\1' || chr(1) || '\2', 'g')"
-)
-
-
 def _licences() -> str:
     """Rules one after another: each uses up the identifiers it matches."""
+    plain = f"replace(regexp_replace(lower(text), '{NOISE}', '  ', 'g'), 'licenc', 'licens')"
+    words = f"regexp_replace(regexp_replace(' ' || {plain} || ' ', '{EDGES}', ' ', 'g'), ' +', '  ', 'g')"
     steps, before = [], "joined"
     for i, (name, sequence) in enumerate(RULES):
         piece = "'" + ";" + ";;".join(sequence) + ";" + "'"
@@ -130,18 +113,12 @@ def _licences() -> str:
         )
         before = f"rule{i}"
     return f"""
-WITH hinted AS (SELECT doc_id, {_JOINED} AS text, MAP {{{_KNOWN}}} AS known,
+WITH hinted AS (SELECT doc_id, text, MAP {{{_KNOWN}}} AS known,
                        regexp_matches(lower(coalesce(text, '')), '{HINT}') AS hint FROM documents),
 found AS (
-  SELECT doc_id, CASE WHEN hint THEN list_filter(flatten(list_transform(
-      string_split_regex(text, '{SENTENCE_END}'),
-      lambda s: CASE
-        WHEN {_look("s")} <> '' THEN [{_look("s")}]
-        WHEN len(list_filter(string_split_regex(s, '{LINE_BREAK}'), lambda l: contains(l, chr(1)) AND {_look("l")} <> '')) > 0
-          THEN {_lines("s")}
-        ELSE flatten(list_transform(string_split_regex(replace(s, chr(1), ''), '{SENTENCE_END}'),
-          lambda p: CASE WHEN {_look("p")} <> '' THEN [{_look("p")}] ELSE {_lines("p")} END)) END)),
-      lambda i: i <> '') ELSE CAST([] AS VARCHAR[]) END AS ids
+  SELECT doc_id, CASE WHEN hint THEN list_transform(
+      regexp_extract_all({words}, '{sentence_trie()}'),
+      lambda m: known[trim(replace(m, '  ', ' '))]) ELSE CAST([] AS VARCHAR[]) END AS ids
   FROM hinted),
 joined AS (SELECT doc_id, CAST(len(ids) AS INT) AS n_known,
                   ';' || array_to_string(ids, ';;') || ';' AS remaining, CAST([] AS VARCHAR[]) AS names FROM found),
