@@ -10,7 +10,7 @@ from tillroll.llm.licences import (
     SENTENCES,
     sentence_trie,
 )
-from tillroll.llm.pii import IBAN_LENGTHS
+from tillroll.llm.pii import IBAN_LENGTHS, KEY_SHAPE, SECRET_DIGIT_IN, SECRET_DISTINCT
 
 
 def _pii_kind(
@@ -63,6 +63,7 @@ def _iban() -> str:
     return "|".join([*shapes, f"(?:{others})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"])
 
 
+_SECRET_WORDS = "token|secret|passw|key|auth|credential|bearer"
 _PII = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row_no FROM documents),
 found AS ({" UNION ALL ".join([
@@ -80,15 +81,21 @@ found AS ({" UNION ALL ".join([
               "regexp_full_match($m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')"
               " AND NOT regexp_matches($m, '^(?:000|666|9)|-00-|-0000$')",
               40, 40, "ssn|social|security", 60),
+    _pii_kind(6, "[A-Za-z0-9_-]{20,}", f"regexp_matches($m, '{KEY_SHAPE}')", 90, 10, _SECRET_WORDS, 0),
+    _pii_kind(7, "[A-Za-z0-9_-]{20,}",
+              f"NOT regexp_matches($m, '{KEY_SHAPE}') AND regexp_matches($m, '[A-Za-z]')"
+              f" AND len(list_distinct(string_split($m, ''))) >= {SECRET_DISTINCT}"
+              f" AND length({_DIGITS}) * {SECRET_DIGIT_IN} >= length($m)", 30, 40, _SECRET_WORDS, 60),
 ])}),
 spans AS (
   SELECT row_no, kind, start, score,
-         ['email', 'ip', 'card', 'phone', 'iban', 'ssn'][kind + 1] || ':' || start || ':' || (start + size) AS span
+         ['email', 'ip', 'card', 'phone', 'iban', 'ssn', 'key', 'secret'][kind + 1] || ':' || start || ':' || (start + size) AS span
   FROM found)
 SELECT d.doc_id,
        count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip,
        count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone,
        count(*) FILTER (kind = 4) AS n_iban, count(*) FILTER (kind = 5) AS n_ssn,
+       count(*) FILTER (kind = 6) AS n_key, count(*) FILTER (kind = 7) AS n_secret,
        sha256(coalesce(string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 4), '')) AS base_sha256,
        coalesce(string_agg(span, ',' ORDER BY start, kind), '') AS spans,
        coalesce(string_agg(CAST(score AS VARCHAR), ',' ORDER BY start, kind), '') AS scores

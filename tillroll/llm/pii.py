@@ -70,6 +70,38 @@ def _is_ssn(match: Column) -> Column:
     return match.rlike(shape) & ~match.rlike(void)
 
 
+# How the issuers of access keys shape them.
+KEY_SHAPES = (
+    "(?:AKIA|ASIA)[A-Z0-9]{16}",
+    "gh[oprsu]_[A-Za-z0-9]{36}",
+    "github_pat_[A-Za-z0-9_]{82}",
+    "glpat-[A-Za-z0-9_-]{20}",
+    "xox[abprs]-[A-Za-z0-9-]{16,}",
+    "AIza[A-Za-z0-9_-]{35}",
+    "(?:sk|rk|pk)[_-](?:live|test|proj|ant)[_-][A-Za-z0-9_-]{16,}",
+)
+KEY_SHAPE = f"^(?:{'|'.join(KEY_SHAPES)})$"
+# A secret of no known shape has so many different characters, and a digit among so many characters.
+SECRET_DISTINCT = 10
+SECRET_DIGIT_IN = 8
+
+
+def _is_key(match: Column) -> Column:
+    return match.rlike(KEY_SHAPE)
+
+
+def _is_secret(match: Column) -> Column:
+    """As random as a secret: words, names and plain numbers are not."""
+    distinct = F.size(F.array_distinct(F.split(match, "")))
+    digits = F.length(_digits(match)) * SECRET_DIGIT_IN
+    return (
+        ~match.rlike(KEY_SHAPE)
+        & match.rlike("[A-Za-z]")
+        & (distinct >= SECRET_DISTINCT)
+        & (digits >= F.length(match))
+    )
+
+
 # How long the IBANs of a country are.
 IBAN_LENGTHS = {
     15: "NO",
@@ -168,6 +200,25 @@ KINDS = (
         "ssn|social|security",
         60,
     ),
+    Kind(
+        "key",
+        r"[A-Za-z0-9_-]{20,}+",
+        r"[A-Za-z0-9_-]{20}",
+        _is_key,
+        90,
+        10,
+        "token|secret|passw|key|auth|credential|bearer",
+    ),
+    Kind(
+        "secret",
+        r"[A-Za-z0-9_-]{20,}+",
+        r"[A-Za-z0-9_-]{20}",
+        _is_secret,
+        30,
+        40,
+        "token|secret|passw|key|auth|credential|bearer",
+        60,
+    ),
 )
 
 
