@@ -203,7 +203,7 @@ KINDS = (
     Kind(
         "key",
         r"[A-Za-z0-9_-]{20,}+",
-        r"[A-Za-z0-9_-]{20}",
+        r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20}",
         _is_key,
         90,
         10,
@@ -212,7 +212,7 @@ KINDS = (
     Kind(
         "secret",
         r"[A-Za-z0-9_-]{20,}+",
-        r"[A-Za-z0-9_-]{20}",
+        r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20}",
         _is_secret,
         30,
         40,
@@ -222,7 +222,7 @@ KINDS = (
 )
 
 
-def _spans(text: Column, number: int, kind: Kind) -> Column:
+def _spans(text: Column, hinted: Column, number: int, kind: Kind) -> Column:
     """Array of (start, kind number, end, score) of one kind.
 
     Matches and the gaps between them alternate, so lengths summed up along the text are
@@ -260,7 +260,7 @@ def _spans(text: Column, number: int, kind: Kind) -> Column:
 
     start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
     found = F.aggregate(steps, start, add, lambda done: done["spans"])
-    return F.when(text.rlike(kind.hint), found).otherwise(empty)
+    return F.when(hinted, found).otherwise(empty)
 
 
 def personal_data(
@@ -279,7 +279,10 @@ def personal_data(
     rows = df.select(
         F.col(id_column).alias(id_column), F.coalesce(F.col(text_column), F.lit("")).alias("__text")
     )
-    each = [_spans(F.col("__text"), i, kind) for i, kind in enumerate(kinds)]
+    # Kinds with the same hint share one look at the text.
+    hints = {kind.hint: f"__hint{i}" for i, kind in enumerate(kinds)}
+    rows = rows.select("*", *[F.col("__text").rlike(h).alias(name) for h, name in hints.items()])
+    each = [_spans(F.col("__text"), F.col(hints[k.hint]), i, k) for i, k in enumerate(kinds)]
     return rows.select(id_column, F.array_sort(F.concat(*each)).alias("found"))
 
 
