@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from tests.llm.helpers import clashing, documents
 from tillroll.llm.languages import Model, Sample, languages, learn_languages, suffix_automaton
 from tillroll.llm.queries import op8_language
@@ -38,10 +40,11 @@ def test_automaton_has_exactly_the_substrings():
             assert (state >= 0) == (tuple(probe) in have)
 
 
-def test_phrases_against_search(monkeypatch):
-    monkeypatch.setattr("tillroll.llm.languages._BLOCK", 10_000)
+@pytest.mark.parametrize("block, full", [(256, 1 << 24), (1, 1 << 24), (3, 0), (10_000, 0)])
+def test_phrases_against_search(monkeypatch, block, full):
+    monkeypatch.setattr("tillroll.llm.languages._BLOCK", block)
     rng = random.Random(2)
-    model = Model(SAMPLE)
+    model = Model(SAMPLE, full)
     trained = [t.lower() + " " for t in SAMPLE.texts]
     texts = ["".join(rng.choice("abncodtu xé") for _ in range(rng.randrange(1, 60))) for _ in range(200)]
     found, sizes = model.phrases(texts)
@@ -51,6 +54,33 @@ def test_phrases_against_search(monkeypatch):
         assert counts == [plain_phrases(folded, t) for t in trained]
 
 
+@pytest.mark.parametrize("full, rounds", [(1 << 24, 12), (0, 12), (1 << 24, 0), (0, 1)])
+def test_long_texts_have_the_phrases_of_the_plain_parser(monkeypatch, full, rounds):
+    monkeypatch.setattr("tillroll.llm.languages._ROUNDS", rounds)
+    rng = random.Random(5)
+    long = SAMPLE.texts[0] * 40
+    sample = Sample(("aa", "bb", "cc"), (*SAMPLE.texts, long))
+    texts = ["".join(rng.choice("abncodtu ") for _ in range(100_000)), "banana bandana " * 7_000, (long + "x") * 100, "b"]
+    found, sizes = Model(sample, full).phrases(texts)
+    for text, counts, size in zip(texts, found.tolist(), sizes.tolist(), strict=True):
+        folded = re.sub(" +", " ", f"{text} ").lstrip()
+        assert size == len(folded)
+        assert counts == [plain_phrases(folded, t.lower() + " ") for t in sample.texts]
+
+
+@pytest.mark.parametrize("full", [1 << 24, 0])
+def test_scripts_of_many_letters_are_told_apart(full):
+    """Two languages of one script of 3,000 letters, whose words differ."""
+    rng = random.Random(6)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    words = [["".join(rng.choices(letters, k=3)) for _ in range(400)] for _ in range(2)]
+    text = lambda own, n: "".join(rng.choice(own) + rng.choice(["", " "]) for _ in range(n))
+    model = Model(Sample(("ja", "zh"), tuple(text(own, 2000) for own in words)), full)
+    assert len(model.automata[0].local) > 1500
+    made = [(lang, text(own, n)) for n in (5, 50, 3000) for lang, own in zip(("ja", "zh"), words)]
+    assert [p[0] for p in model.predict([t for _, t in made])] == [lang for lang, _ in made]
+
+
 def test_long_texts_are_parsed_whole():
     model = Model(SAMPLE)
     found, sizes = model.phrases(["banana " * 1000 + "cocoa " * 3000])

@@ -17,10 +17,13 @@ TRAIN_CHARS = 700
 UNDETERMINED = "und"
 # Parts in which the first documents of a language are looked for.
 _BUCKETS = 64
-# Letters told apart; rarer ones share a symbol.
-_LETTERS = 120
-# A long text is parsed in blocks of that many characters, side by side.
+# A long text is parsed in blocks of that many characters, side by side; what a block's neighbour
+# before it leaves unfinished is then carried into it.
 _BLOCK = 256
+# Times that blocks are parsed again side by side before the rest is walked through one by one.
+_ROUNDS = 12
+# Entries up to which an automaton is a full table; a language of many letters has a sorted list.
+_FULL_TABLE = 1 << 24
 _SLICE_CHARS = 3_000_000
 _SHARPNESS = 40.0
 
@@ -109,46 +112,85 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+class Automaton:
+    """Moves of one language's automaton, for many texts in step.
+
+    Symbols are numbered within the language: 0 space, its letters, one for letters it does not
+    have, padding. States are multiples of the number of symbols. State 0 stands between phrases;
+    the automaton's start is left only to begin one, so it takes that place.
+    """
+
+    def __init__(self, codes: np.ndarray, symbols: int, full: int) -> None:
+        """``codes`` is the labelled text in the model's symbols, the last of which is padding."""
+        own = np.unique(codes)
+        own = own[own != 0]
+        self.other, self.pad, self.width = len(own) + 1, len(own) + 2, len(own) + 3
+        self.local = np.full(symbols, self.other, np.int32)
+        self.local[0], self.local[symbols - 1] = 0, self.pad
+        self.local[own] = np.arange(1, len(own) + 1)
+        moves = suffix_automaton(self.local[codes].tolist())
+        sizes = np.fromiter(map(len, moves), np.int64, len(moves))
+        states = np.repeat(np.arange(len(moves)), sizes)
+        letters = np.fromiter((c for targets in moves for c in targets), np.int64, len(states))
+        targets = np.fromiter((t for found in moves for t in found.values()), np.int64, len(states))
+        keys, steps = states * self.width + letters, targets * self.width * 2 + (states == 0)
+        # Where a state has no move a phrase begins, as from state 0.
+        begin = np.ones(self.width, np.int64)
+        begin[keys[states == 0]] = steps[states == 0]
+        if len(moves) * self.width <= full:
+            table = np.tile(begin | 1, (len(moves), 1))
+            table.ravel()[keys] = steps
+            table[:, self.pad] = np.arange(len(moves)) * self.width * 2
+            self.table: np.ndarray | None = table.astype(np.int32).ravel()
+        else:
+            order = np.argsort(keys)
+            self.table, self.begin = None, begin | 1
+            # A key above all others spares a bound check.
+            self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+            self.steps = np.append(steps[order], 0)
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """Next state times two, and one more if a phrase begins."""
+        if self.table is not None:
+            return self.table[state + letter]
+        key = state.astype(np.int64) + letter
+        at = np.searchsorted(self.keys, key)
+        found = np.where(self.keys[at] == key, self.steps[at], self.begin[letter])
+        return np.where(letter == self.pad, state.astype(np.int64) * 2, found)
+
+    def walk(self, state: int, letters: np.ndarray) -> tuple[int, int]:
+        """(state, phrases) behind a run of symbols."""
+        count = 0
+        at = np.array([state])
+        for letter in letters.tolist():
+            step = self.table.item(state + letter) if self.table is not None else None
+            if step is None:
+                at[0] = state
+                step = int(self.step(at, np.array([letter]))[0])
+            state, count = step >> 1, count + (step & 1)
+        return state, count
+
+
 class Model:
-    """Automata of all languages as tables, for parsing many texts in step.
+    """Automata of all languages, for parsing many texts in step.
 
     Texts are folded to lower-case letters, everything else to single spaces. A phrase
     is the longest match from where the last one ended; a letter that a language does not have
-    is a phrase of its own.
+    is a phrase of its own. All letters of the labelled text are told apart.
     """
 
-    def __init__(self, sample: Sample) -> None:
+    def __init__(self, sample: Sample, full_table: int = _FULL_TABLE) -> None:
         self.languages = sample.languages
-        whole = "".join(sample.texts).lower()
-        count: dict[str, int] = {}
-        for char in whole:
-            if char.isalpha():
-                count[char] = count.get(char, 0) + 1
-        common = sorted(count, key=lambda c: (-count[c], c))[:_LETTERS]
-        # Symbols: 0 space, 1 … letters, then one for all other letters, then padding.
-        self.other, self.pad = len(common) + 1, len(common) + 2
-        self.width = len(common) + 3
-        kinds = np.zeros(0x110000, np.uint8)
+        letters = sorted({c for text in sample.texts for c in text.lower() if c.isalpha()})
+        # Symbols: 0 space, 1 … letters, then one for letters of no language, then padding.
+        self.other, self.pad = len(letters) + 1, len(letters) + 2
+        kinds = np.zeros(0x110000, np.int32)
         kinds[[i for i in range(0x110000) if chr(i).isalpha()]] = self.other
-        kinds[[ord(c) for c in common]] = np.arange(1, len(common) + 1)
+        kinds[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
         self.kinds = kinds
-        self.tables = [self._table(text) for text in sample.texts]
-
-    def _table(self, text: str) -> np.ndarray:
-        """next * 2 + (1 if a phrase begins) per (state, symbol); states are times ``width``.
-
-        State 0 stands between phrases. The automaton's start is left only to begin one, so
-        it takes that place, and a letter the language lacks leads back to it.
-        """
-        moves = suffix_automaton(self.codes([text])[0].tolist())
-        table = np.full((len(moves), self.width), -1, np.int64)
-        for state, targets in enumerate(moves):
-            table[state, list(targets)] = list(targets.values())
-        begins = table < 0
-        begins[0] = True
-        table = np.where(table < 0, np.maximum(table[0], 0), table) * self.width * 2 + begins
-        table[:, self.pad] = np.arange(len(moves)) * self.width * 2
-        return table.astype(np.int32).ravel()
+        self.automata = [
+            Automaton(self.codes([text])[0], self.pad + 1, full_table) for text in sample.texts
+        ]
 
     def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all texts in a row, and where each text's symbols end."""
@@ -169,18 +211,13 @@ class Model:
         number = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         at = (ends - sizes)[owner] + number * _BLOCK
         left = np.minimum(ends[owner] - at, _BLOCK)
-        grid = np.full((len(owner), _BLOCK), self.pad, np.uint8)
+        grid = np.full((len(owner), _BLOCK), self.pad, np.int32)
         inside = np.arange(_BLOCK) < left[:, None]
         grid[inside] = codes
         columns = np.ascontiguousarray(grid.T)
         found = np.zeros((len(texts), len(self.languages)), np.int64)
-        for language, table in enumerate(self.tables):
-            state = np.zeros(len(owner), np.int32)
-            count = np.zeros(len(owner), np.int32)
-            for column in columns:
-                step = table[state + column]
-                count += step & 1
-                state = step >> 1
+        for language, automaton in enumerate(self.automata):
+            count = _parsed(automaton, columns, number > 0)
             found[:, language] = np.bincount(owner, count, len(texts)).astype(np.int64)
         return found, sizes
 
@@ -196,6 +233,45 @@ class Model:
         return [(self.languages[b], float(s)) for b, s in zip(best, score, strict=True)]
 
 
+def _parsed(automaton: Automaton, columns: np.ndarray, follows: np.ndarray) -> np.ndarray:
+    """Phrases that begin in each block, as if every text were parsed from end to end.
+
+    All blocks are parsed from state 0 first. A block that ``follows`` another is then parsed again
+    from the state its neighbour ended in, beside the parse it had, until both are in the same state:
+    from there on nothing differs. Where they never meet, the block ends otherwise and the next
+    one is parsed again in turn; what ``_ROUNDS`` have not settled is walked through in order.
+    """
+    local = automaton.local
+    state, count = np.zeros(columns.shape[1], np.int32), np.zeros(columns.shape[1], np.int64)
+    for column in columns:
+        step = automaton.step(state, local[column])
+        count += step & 1
+        state = step >> 1
+    entry = np.zeros_like(state)
+    for _ in range(_ROUNDS):
+        before = np.where(follows, np.roll(state, 1), 0)
+        rows = np.flatnonzero(before != entry)
+        if not len(rows):
+            return count
+        old, new = entry[rows], before[rows]
+        entry[rows] = new
+        for column in columns:
+            letter = local[column[rows]]
+            was, now = automaton.step(old, letter), automaton.step(new, letter)
+            count[rows] += (now & 1).astype(np.int64) - (was & 1)
+            old, new = was >> 1, now >> 1
+            apart = old != new
+            rows, old, new = rows[apart], old[apart], new[apart]
+            if not len(rows):
+                break
+        state[rows] = new
+    for block in range(len(state)):
+        start = state[block - 1] if follows[block] else 0
+        if start != entry[block]:
+            state[block], count[block] = automaton.walk(int(start), local[columns[:, block]])
+    return count
+
+
 _MODELS: dict[str, Model] = {}
 
 
