@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.numbering import running_total
@@ -136,7 +136,7 @@ def shard_counts(plan: list[Share], shard_slots: int, seed: int) -> list[tuple[i
 
 @dataclass(frozen=True)
 class Mix:
-    """``rows`` (row_id, source_no, size, source_size, target, first), ``slots`` and ``takes``."""
+    """``rows`` (row_id, source_no, source, size, source_size, target, first), ``slots`` and ``takes``."""
 
     rows: DataFrame
     slots: DataFrame
@@ -273,6 +273,90 @@ def mixed_sizes(mixed: Mix) -> DataFrame:
     )
 
 
+def shard_blocks(
+    df: DataFrame,
+    text_column: str = "text",
+    block_words: int = BLOCK_WORDS,
+    seed: int = 0,
+    **options,
+) -> DataFrame:
+    """The mix itself: (shard, position, source, slot, block, n_words, text), a row for each slot.
+
+    A block is ``block_words`` words of a source, joined by single spaces; documents follow each
+    other without a mark. A shard holds as many blocks of a source as were drawn for it, in an order
+    fixed by their hashes; positions are gapless from 0. The last slot of a source takes the first words
+    of its block only, the block at a source's end may be short. Texts are cut where they lie and only the
+    pieces are shuffled, once to make blocks and once to meet the slots by (source, block):
+    neither step gathers more than a block.
+
+    Null texts and texts without words are in no block; a null source is a source. Repeated rows
+    and rows without an id are documents of their own; an empty table gives no slots.
+    """
+    wanted = [options.get("id_column", "doc_id"), text_column, options.get("source_column", "source")]
+    needed = df.select(*dict.fromkeys(wanted))
+    row = unused(needed, "__row")
+    path = new_folder(df.sparkSession, "mix")
+    needed.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    mixed = mix(rows, text_column=text_column, row_id=row, block_words=block_words, seed=seed, **options)
+    size, first = F.col("size"), F.col("first")
+    lying = (
+        mixed.rows.filter("size > 0")
+        .select("row_id", "source_no", "source", "size", "first")
+        .join(rows.select(F.col(row).alias("row_id"), F.col(text_column).alias("text")), "row_id")
+        .withColumn("words", F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))
+    )
+
+    def piece(block: Column) -> Column:
+        low = F.greatest(block * block_words - first, F.lit(0))
+        high = F.least((block + 1) * block_words - first, size)
+        words = F.slice("words", (low + 1).cast("int"), (high - low).cast("int"))
+        return F.struct(
+            block.alias("block"), first.alias("first"), F.concat_ws(" ", words).alias("piece")
+        )
+
+    covered = F.sequence(
+        F.floor(first / block_words), F.floor((first + size - 1) / block_words)
+    )
+    pieces = lying.select("source_no", "source", F.inline(F.transform(covered, piece)))
+    blocks = pieces.groupBy("source_no", "block").agg(
+        F.first("source").alias("source"),
+        F.sort_array(F.collect_list(F.struct("first", "piece"))).alias("pieces"),
+    )
+    texts = blocks.select(
+        "source_no", "block", "source", F.concat_ws(" ", F.col("pieces.piece")).alias("text")
+    )
+    # A shard has a bounded number of slots.
+    order = Window.partitionBy("shard").orderBy(
+        F.xxhash64(F.lit(seed), "source_no", "slot"), "source_no", "slot"
+    )
+    slots = mixed.slots.withColumn("position", F.row_number().over(order) - 1)
+    part = F.concat_ws(" ", F.slice(F.split("text", " "), F.lit(1), F.col("words").cast("int")))
+    taken = F.when(F.col("words") < block_words, part).otherwise(F.col("text"))
+    return (
+        slots.join(texts, ["source_no", "block"])
+        .withColumn("text", taken)
+        .select(
+            "shard",
+            "position",
+            "source",
+            "slot",
+            "block",
+            F.size(F.split("text", " ")).cast("long").alias("n_words"),
+            "text",
+        )
+    )
+
+
+def write_shards(blocks: DataFrame, path: str) -> None:
+    """Writes :func:`shard_blocks` as Parquet; a shard lies in one file, in the order of its positions.
+
+    No blocks give an empty folder that can be read.
+    """
+    placed = blocks.repartition("shard").sortWithinPartitions("shard", "position")
+    placed.write.parquet(path)
+
+
 def mixed_documents(
     df: DataFrame, text_column: str = "text", chars_column: str = "n_chars", **options
 ) -> DataFrame:
