@@ -58,13 +58,37 @@ def test_blocks_and_copies(spark):
     queries = [r for r in rows if r[0] % 50 == 0]
     asked = spark.createDataFrame(queries, VECTORS)
     expected = brute(rows, queries, 10)
-    for blocks in ((100, 7), (8192, 1024)):
-        got = nearest_neighbours(df, asked, 10, block_vectors=blocks[0], block_queries=blocks[1]).collect()
+    for size in (1, 100, 8192):
+        got = nearest_neighbours(df, asked, 10, block_vectors=size).collect()
         assert recall(got, expected) >= 0.95
         tied = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == 0)
         assert [i for _, i in tied] == list(range(1000, 1010))
 
 
+def test_small_batches(spark):
+    """Vectors of a block, and its queries, that come in many batches."""
+    rng = random.Random(2)
+    rows = [(i, [rng.random() for _ in range(2 + i % 2)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    answers = []
+    try:
+        for batch in (before, "3"):
+            spark.conf.set(name, batch)
+            answers.append(sorted(map(tuple, nearest_neighbours(df, df, 3, block_vectors=60).collect())))
+    finally:
+        spark.conf.set(name, before)
+    assert answers[0] == answers[1] and len(answers[0]) == 600
+    assert all(a[0] % 2 == a[2] % 2 for a in answers[0])
+
+
+def test_vectors_are_shuffled_once(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], VECTORS)
+    plan = nearest_neighbours(df, df, 3, block_vectors=10)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and plan.count("Generate explode") == 1
+
+
 def test_fewer_rows_than_wanted():
     index = Index(np.array([1, 2, 3]), np.array([[1.0, 0], [0, 1], [5, 5]]))
     ids, distances = index.nearest(1, np.array([1.0, 0]), 10)

@@ -17,9 +17,8 @@ GROWTH = 1.4
 _FIRST_SHARE = 0.05
 # Width of a window at radius 1: near points fall inside in 83 % of the projections.
 _WIDTH = 2.72
-# Vectors indexed together, and queries answered together.
+# Vectors indexed together.
 BLOCK_VECTORS = 8192
-BLOCK_QUERIES = 1024
 
 
 class Index:
@@ -118,14 +117,14 @@ def nearest_neighbours(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     block_vectors: int = BLOCK_VECTORS,
-    block_queries: int = BLOCK_QUERIES,
     seed: int = 0,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its ``k`` nearest vectors found.
 
     The score is the Euclidean distance in double precision; ties go to the smaller
-    id. Vectors and queries are dealt by hash into blocks of bounded size and every pair of
-    blocks is searched by a task of its own, so no group grows with the data; the best
+    id. Vectors are dealt by hash into blocks of bounded size. A block is shuffled and indexed
+    once; the queries then stream past it, so a task holds one block and one batch of queries
+    whatever the number of either. Only queries are sent more than once, to every block; the best
     of each block meet per query. Queries and vectors are compared only if they have the same
     length. A row is no neighbour of a query of its own id.
 
@@ -144,30 +143,25 @@ def nearest_neighbours(
     )
     asked = asked.distinct()
     n_blocks = max(1, -(-rows.count() // block_vectors))
-    n_queries = max(1, -(-asked.count() // block_queries))
-    spread = F.xxhash64(F.lit("block"), "id", "vector")
-    keys = ["length", "block", "turn"]
+    block = F.pmod(F.xxhash64(F.lit("block"), "id", "vector"), F.lit(n_blocks))
     data = rows.select(
-        "*",
-        F.pmod(spread, F.lit(n_blocks)).alias("block"),
-        F.explode(_numbers(n_queries)).alias("turn"),
+        "*", F.lit(0).alias("asked"), F.lit(0).cast("long").alias("mark"), block.alias("block")
     )
     wanted = asked.select(
         "*",
+        F.lit(1).alias("asked"),
         F.xxhash64("vector").alias("mark"),
-        F.pmod(spread, F.lit(n_queries)).alias("turn"),
         F.explode(_numbers(n_blocks)).alias("block"),
     )
 
-    def search(block: pd.DataFrame, turn: pd.DataFrame) -> pd.DataFrame:
-        found = list(_search(block, turn, k, seed))
-        columns = ["query_id", "mark", "vec_id", "score"]
-        return pd.concat(found) if found else pd.DataFrame(columns=columns)
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _search(frames, k, seed)
 
     near = (
-        data.groupBy(*keys)
-        .cogroup(wanted.groupBy(*keys))
-        .applyInPandas(search, "query_id long, mark long, vec_id long, score double")
+        data.unionByName(wanted)
+        .repartitionById(n_blocks, F.col("block").cast("int"))
+        .sortWithinPartitions("length", "block", "asked", "id")
+        .mapInPandas(search, "query_id long, mark long, vec_id long, score double")
     )
     best = Window.partitionBy("query_id", "mark").orderBy("score", "vec_id")
     return (
@@ -177,16 +171,33 @@ def nearest_neighbours(
     )
 
 
-
-def _search(block: pd.DataFrame, turn: pd.DataFrame, k: int, seed: int) -> Iterator[pd.DataFrame]:
-    if not len(block) or not len(turn):
-        return
-    order = np.argsort(block["id"].to_numpy(), kind="stable")
-    vectors = np.stack(block["vector"].to_numpy())[order].astype(np.float64)
-    index = Index(block["id"].to_numpy(np.int64)[order], vectors, seed)
-    for own, mark, query in zip(turn["id"], turn["mark"], turn["vector"], strict=True):
+def _search(frames: Iterator[pd.DataFrame], k: int, seed: int) -> Iterator[pd.DataFrame]:
+    """Rows come by (length, block), the vectors of each before its queries."""
+    at, kept, index = None, [], None
+    for frame in frames:
+        for (length, block, asked), part in frame.groupby(["length", "block", "asked"], sort=True):
+            if at != (length, block):
+                at, kept, index = (length, block), [], None
+            if not asked:
+                kept.append((part["id"].to_numpy(np.int64), np.stack(part["vector"].to_numpy())))
+                continue
+            if index is None:
+                if not kept:
+                    continue
+                ids = np.concatenate([i for i, _ in kept])
+                vectors = np.concatenate([v for _, v in kept]).astype(np.float64)
+                order = np.argsort(ids, kind="stable")
+                index, kept = Index(ids[order], vectors[order], seed), []
+            yield _answers(index, part, k)
+
+
+def _answers(index: Index, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+    found = []
+    for own, mark, query in zip(queries["id"], queries["mark"], queries["vector"], strict=True):
         ids, distances = index.nearest(int(own), np.asarray(query, np.float64), k)
-        if len(ids):
-            yield pd.DataFrame(
+        found.append(
+            pd.DataFrame(
                 {"query_id": int(own), "mark": int(mark), "vec_id": ids, "score": distances}
             )
+        )
+    return pd.concat(found)
