@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,14 @@ def unit_hash(df: DataFrame, columns: Sequence[str], seed: int, purpose: str) ->
     return digits.cast("double") / F.lit(float(16**_DIGITS))
 
 
+def below(df: DataFrame, columns: Sequence[str], seed: int, purpose: str, edge: float) -> Column:
+    """Whether ``unit_hash`` is below ``edge``, told from the digits: no number is made of them."""
+    if edge >= 1:
+        return F.lit(True)
+    first = ceil(max(edge, 0.0) * 16**_DIGITS)
+    return position_hash(df, columns, seed, purpose) < F.lit(f"{first:0{_DIGITS}x}")
+
+
 def bucket_hash(columns: Sequence[str], buckets: int) -> Column:
     """Bucket 0 … buckets-1 fixed by the values of ``columns``."""
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(buckets)).cast("int")

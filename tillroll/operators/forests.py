@@ -91,10 +91,11 @@ class Tree:
     threshold: np.ndarray
     value: np.ndarray
 
-    def walk(self, rows: np.ndarray) -> np.ndarray:
-        """Value of the leaf of each row; up to the threshold is left."""
-        at = np.zeros(len(rows), np.int64)
-        while (inner := np.flatnonzero(self.left[at] >= 0)).size:
+    def walk(self, rows: np.ndarray, depth: int | None = None) -> np.ndarray:
+        """Value of the leaf of each row; up to the threshold is left. ``depth`` cuts the tree there."""
+        at, level = np.zeros(len(rows), np.int64), 0
+        while level != depth and (inner := np.flatnonzero(self.left[at] >= 0)).size:
+            level += 1
             node = at[inner]
             low = rows[inner, self.feature[node]] <= self.threshold[node]
             at[inner] = np.where(low, self.left[node], self.right[node])
@@ -136,17 +137,24 @@ def forest_trees(nodes: DataFrame) -> list[Tree]:
     return trees
 
 
-def walk_forest(rows: DataFrame, nodes: DataFrame, features: Sequence[str], name: str = "score") -> DataFrame:
+def walk_forest(
+    rows: DataFrame,
+    nodes: DataFrame,
+    features: Sequence[str],
+    name: str = "score",
+    depth: int | None = None,
+) -> DataFrame:
     """``rows`` with the mean over the trees: a prediction, or a classifier's probability of class 1.
 
-    Rows are scored where they are. A row with a null feature gets null.
+    Rows are scored where they are. A row with a null feature gets null. With ``depth`` the trees
+    are cut there, and the nodes at the cut are leaves.
     """
     trees = forest_trees(nodes)
 
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
         values = np.column_stack([c.to_numpy(np.float64) for c in columns])
-        return pd.Series(sum(tree.walk(values) for tree in trees) / len(trees))
+        return pd.Series(sum(tree.walk(values, depth) for tree in trees) / len(trees))
 
     present = F.lit(True)
     for feature in features:

@@ -23,11 +23,12 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.hashing import unit_hash
+from tillroll.functions.hashing import below
 from tillroll.operators.calendar import DAY_FEATURES
 from tillroll.operators.customers import CHURN_FEATURES
-from tillroll.operators.layout import checkpointed, spread
-from tillroll.operators.sampling import label_split, sample_rows, split_rows
+from tillroll.operators.forests import forest_nodes, walk_forest
+from tillroll.operators.layout import checkpointed, kept_by_column
+from tillroll.operators.sampling import label_split, split_rows
 
 SEED = 42
 # Inputs, grid and sizes of the two forests.
@@ -47,6 +48,8 @@ DEMAND_GRID: Mapping[str, Sequence[Any]] = {"maxDepth": (5, 10), "numTrees": (20
 VALIDATION_FROM = 0.8
 # Rows of a partition to fit on, and the least number of partitions: the same on every cluster.
 _FIT_ROWS, _FIT_PARTITIONS = 1 << 18, 8
+# Rows remember their node of every tree while a forest grows, instead of walking to it at each level.
+_NODE_IDS: Mapping[str, Any] = {"cacheNodeIds": True, "checkpointInterval": -1}
 CHURN_FOREST: Mapping[str, Any] = {"numTrees": 60, "maxDepth": 8}
 
 
@@ -87,12 +90,29 @@ def demand_parts(
 
     Training lines are marked by their values: a fifth of them ``validates`` the points of a grid.
     """
+    marked = _marked_lines(lines, fraction, seed)
+    return _sampled(marked), _held_out(marked)
+
+
+def _marked_lines(lines: DataFrame, fraction: float, seed: int) -> DataFrame:
+    """The inputs of both parts; ``validates`` is null for held-out lines."""
     marked = label_split(lines, 0.8, seed, keys=LINE_KEYS)
-    train = sample_rows(marked.where("part = 'train'"), fraction, seed, keys=LINE_KEYS)
-    test = marked.where("part = 'test'")
-    inputs = [*DEMAND_FEATURES, F.col("Quantity").cast("double")]
-    validates = unit_hash(train, LINE_KEYS, seed, "validation") >= VALIDATION_FROM
-    return train.select(*inputs, validates.alias("validates")), test.select(*inputs)
+    held_out = F.col("part") == "test"
+    kept = marked.where(held_out | below(marked, LINE_KEYS, seed, "sample", fraction))
+    validates = ~below(kept, LINE_KEYS, seed, "validation", VALIDATION_FROM)
+    return kept.select(
+        *DEMAND_FEATURES,
+        F.col("Quantity").cast("double"),
+        F.when(~held_out, validates).alias("validates"),
+    )
+
+
+def _sampled(marked: DataFrame) -> DataFrame:
+    return marked.where("validates IS NOT NULL")
+
+
+def _held_out(marked: DataFrame) -> DataFrame:
+    return marked.where("validates IS NULL").drop("validates")
 
 
 def fit_demand_model(
@@ -104,30 +124,27 @@ def fit_demand_model(
     """Random forest for units per line, tuned on a validation split of a training sample.
 
     ``lines`` carry the calendar features. Every line is in the training or in the held-out part.
-    ``fraction`` bounds the training lines that are fitted; predictions are for all
-    held-out lines, scored in one pass over the source. Each grid point is fitted on the training
-    lines that do not validate and judged by root mean square error on those that do, which their
-    values decide; the best is refitted on all. The fit depends on rows and seed alone, not on
-    partitions. Lines without one of the features are left out of either part.
+    ``fraction`` bounds the training lines that are fitted; predictions are for all held-out lines.
+    The source is read once: the inputs of both parts are kept by column in the checkpoint folder.
+    Each grid point is fitted on the training lines that do not validate and judged by root mean
+    square error on those that do, which their values decide; the best is refitted on all. The fit
+    depends on rows and seed alone, not on partitions. Lines without one of the features are left
+    out of either part.
     """
-    sampled, held_out = demand_parts(lines, fraction, seed)
+    marked = kept_by_column(_marked_lines(lines, fraction, seed))
     train, test = (
         assemble(part, DEMAND_FEATURES, handle_invalid="skip")
-        for part in (checkpointed(_fixed_order(sampled)), held_out)
+        for part in (checkpointed(_fixed_order(_sampled(marked))), _held_out(marked))
+    )
+    forest = RandomForestRegressor(
+        featuresCol="features", labelCol="Quantity", seed=seed, **_NODE_IDS
     )
-    forest = RandomForestRegressor(featuresCol="features", labelCol="Quantity", seed=seed)
     points = ParamGridBuilder()
     for name, values in grid.items():
         points = points.addGrid(forest.getParam(name), list(values))
     combinations = points.build()
     fitting, validation = train.where(~F.col("validates")), train.where("validates")
-    judge = RegressionEvaluator(labelCol="Quantity", metricName="rmse")
-
-    def error_of(point: dict) -> float:
-        return float(judge.evaluate(forest.fit(fitting, point).transform(validation)))
-
-    with ThreadPoolExecutor(len(combinations)) as pool:
-        errors = list(pool.map(inheritable_thread_target(lines.sparkSession)(error_of), combinations))
+    errors = _validation_errors(forest, combinations, fitting, validation)
     chosen = combinations[errors.index(min(errors))]
     model = forest.fit(train, chosen)
     tuning = [
@@ -137,14 +154,48 @@ def fit_demand_model(
     return Fitted(model, train, model.transform(test), tuple(tuning))
 
 
-def _fixed_order(rows: DataFrame) -> DataFrame:
+def _validation_errors(
+    forest: RandomForestRegressor, points: Sequence[dict], fitting: DataFrame, validation: DataFrame
+) -> list[float]:
+    """Root mean square error of every grid point on the validating lines, points side by side.
+
+    A forest grows level by level, and what it draws does not depend on how deep it may become. So
+    of the points that differ in depth alone only the deepest is fitted: the others are that
+    forest, cut at their depth.
+    """
+    judge = RegressionEvaluator(labelCol="Quantity", metricName="rmse")
+    alike: dict[tuple, list[int]] = {}
+    for i, point in enumerate(points):
+        alike.setdefault(tuple((p.name, v) for p, v in point.items() if p != forest.maxDepth), []).append(i)
+
+    def errors_of(own: list[int]) -> dict[int, float]:
+        depth = lambda i: points[i].get(forest.maxDepth, forest.getMaxDepth())
+        deepest = max(own, key=depth)
+        model = forest.fit(fitting, points[deepest])
+        errors = {deepest: judge.evaluate(model.transform(validation))}
+        if len(own) > 1:
+            nodes = forest_nodes(model, fitting.sparkSession)
+            for i in own:
+                if i != deepest:
+                    cut = walk_forest(validation, nodes, DEMAND_FEATURES, "prediction", depth(i))
+                    errors[i] = judge.evaluate(cut)
+        return errors
+
+    with ThreadPoolExecutor(len(alike)) as pool:
+        run = inheritable_thread_target(fitting.sparkSession)(errors_of)
+        found = {i: float(e) for part in pool.map(run, alike.values()) for i, e in part.items()}
+    return [found[i] for i in range(len(points))]
+
+
+def _fixed_order(rows: DataFrame, *keys: str) -> DataFrame:
     """The rows in partitions and an order that only their values and their number decide.
 
     A forest draws its samples by place. Equal rows are interchangeable, so on the same rows it
-    is the same forest, whatever the partitions they come in.
+    is the same forest, whatever the partitions they come in. ``keys``, all columns unless given,
+    tell rows apart. The rows are read twice, for their number and for themselves.
     """
     partitions = max(1, -(-rows.count() // _FIT_ROWS))
-    order = [F.col(c) for c in rows.columns]
+    order = [F.col(c) for c in keys or rows.columns]
     return rows.repartition(max(partitions, _FIT_PARTITIONS), F.xxhash64(*order)).sortWithinPartitions(*order)
 
 
@@ -170,13 +221,15 @@ def fit_churn_model(
 
     The group of lines without a customer is no customer: it is neither trained on nor
     scored. Predictions keep the customer columns and gain ``prediction`` and ``score``, the
-    votes for churn.
+    votes for churn. Customers are checkpointed as they come, for their number, and once more in
+    the order of the fit: the forest depends on customers and seed alone, and there are as
+    many partial sums of its nodes as its rows need.
     """
-    known = customers.where(F.col("CustomerID").isNotNull())
-    data = checkpointed(spread(known, "CustomerID"))
+    known = checkpointed(customers.where(F.col("CustomerID").isNotNull()))
+    data = checkpointed(_fixed_order(known, "CustomerID"))
     train, test = split_rows(data, (0.8, 0.2), seed, keys=["CustomerID"])
     classifier = RandomForestClassifier(
-        featuresCol="features", labelCol="label", seed=seed, **forest
+        featuresCol="features", labelCol="label", seed=seed, **{**_NODE_IDS, **forest}
     )
     model = classifier.fit(assemble(train, features))
     return Fitted(model, train, score_churn(model, test, features))

@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.hashing import unit_hash
+from tillroll.functions.hashing import below
 
 
 def sample_rows(
     df: DataFrame, fraction: float = 0.1, seed: int = 42, keys: Sequence[str] | None = None
 ) -> DataFrame:
     """A share of the rows. Rows alike in all ``keys`` are taken, or left, together."""
-    return df.where(unit_hash(df, keys or df.columns, seed, "sample") < fraction)
+    return df.where(below(df, keys or df.columns, seed, "sample", fraction))
 
 
 def split_rows(
@@ -29,12 +29,13 @@ def split_rows(
     keys: Sequence[str] | None = None,
 ) -> list[DataFrame]:
     """Disjoint parts that together are the whole, sized like the weights."""
-    position = unit_hash(df, keys or df.columns, seed, "split")
+    keys = keys or df.columns
     total, edge, parts = sum(weights), 0.0, []
     for i, weight in enumerate(weights):
         low, edge = edge, edge + weight / total
         last = i == len(weights) - 1
-        parts.append(df.where(position >= low if last else (position >= low) & (position < edge)))
+        from_low = ~below(df, keys, seed, "split", low) if i else F.lit(True)
+        parts.append(df.where(from_low if last else from_low & below(df, keys, seed, "split", edge)))
     return parts
 
 
@@ -45,5 +46,5 @@ def label_split(
     keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """The two-way split as a column, ``train`` or ``test``."""
-    training = unit_hash(df, keys or df.columns, seed, "split") < train_share
+    training = below(df, keys or df.columns, seed, "split", train_share)
     return df.withColumn("part", F.when(training, "train").otherwise("test"))
