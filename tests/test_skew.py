@@ -81,3 +81,20 @@ def test_customer_tables_do_not_fan_lines_out(spark, folder):
     ):
         plan = table._jdf.queryExecution().optimizedPlan().toString()
         assert "Expand" not in plan
+
+
+def test_customer_tables_from_one_reading(spark, skewed):
+    """The same rows as the lazy tables, and no line read more than once."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def seen(_):
+        read.add(1)
+        return True
+
+    watched = skewed.where(seen.asNondeterministic()("InvoiceNo"))
+    for table in (customers.create_customer_features, customers.churn_table):
+        before = read.value
+        got = customers.from_one_reading(table, watched)
+        assert sorted(got.collect()) == sorted(table(skewed).collect())
+        assert read.value - before == skewed.count() and got.dtypes == table(skewed).dtypes

@@ -60,17 +60,23 @@ def clean_lines(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.add_revenue(cleaning.clean_data(raw(spark, sf)))
 
 
+def customer_features(lines: DataFrame) -> DataFrame:
+    return customers.from_one_reading(customers.create_customer_features, lines)
+
+
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return customers.churn_table(clean_lines(spark, sf), home_country=HOME)
+    return customers.from_one_reading(
+        customers.churn_table, clean_lines(spark, sf), home_country=HOME
+    )
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Churn labels with a score by a fixed rule, so that the metrics are checkable.
 
-    Checkpointed, as predictions of a model would be: metrics read them twice.
+    The table is checkpointed, as predictions of a model would be: metrics read them twice.
     """
     score = F.lit(1.0) / (1 + F.col("total_purchases"))
-    return layout.checkpointed(labelled(spark, sf)).select(
+    return labelled(spark, sf).select(
         "CustomerID",
         "segment",
         "label",
@@ -136,7 +142,7 @@ def _hot_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def _explained(spark: SparkSession, sf: str) -> DataFrame:
     """Contributions to a rule with an interaction, for every customer."""
-    rows = layout.checkpointed(labelled(spark, sf))
+    rows = labelled(spark, sf)
     rule = (
         3 * F.col("total_purchases")
         - 2 * F.col("unique_products")
@@ -146,8 +152,9 @@ def _explained(spark: SparkSession, sf: str) -> DataFrame:
     background = attribution.background_rows(
         rows, customers.CHURN_FEATURES, ["CustomerID"], size=BACKGROUND
     )
+    reads = ("total_purchases", "unique_products", "average_transaction_value")
     return attribution.shapley_values(
-        rows, background, customers.CHURN_FEATURES, rule, ["CustomerID"]
+        rows, background, customers.CHURN_FEATURES, rule, ["CustomerID"], reads
     )
 
 
@@ -295,7 +302,7 @@ def _holidays_by_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scaled(spark: SparkSession, sf: str) -> DataFrame:
-    features = layout.checkpointed(customers.create_customer_features(clean_lines(spark, sf)))
+    features = customer_features(clean_lines(spark, sf))
     scaled = scaling.scale_features(features)
     return scaled.select(
         "CustomerID",
@@ -383,12 +390,14 @@ QUERIES: dict[str, Query] = {
     ),
     "customer_avg_transaction": lambda s, d: metrics.customer_avg_transaction(clean_lines(s, d)),
     "customer_avg_transaction_raw": lambda s, d: metrics.customer_avg_transaction(raw_sales(s, d)),
-    "customer_features_full": lambda s, d: customers.create_customer_features(full_lines(s, d)),
-    "churn_table_full": lambda s, d: customers.churn_table(full_lines(s, d), home_country=HOME),
+    "customer_features_full": lambda s, d: customer_features(full_lines(s, d)),
+    "churn_table_full": lambda s, d: customers.from_one_reading(
+        customers.churn_table, full_lines(s, d), home_country=HOME
+    ),
     "daily_model_frame_full": lambda s, d: _round(
         calendar.daily_model_frame(full_lines(s, d), HOLIDAYS), 2, "daily_revenue"
     ),
-    "customer_features": lambda s, d: customers.create_customer_features(clean_lines(s, d)),
+    "customer_features": lambda s, d: customer_features(clean_lines(s, d)),
     "scaled_customer_features": _scaled,
     "churn_table": labelled,
     # sampling
