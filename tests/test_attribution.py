@@ -3,6 +3,7 @@ import math
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tillroll.operators import attribution
@@ -122,3 +123,18 @@ def test_variants_are_not_shuffled(table):
     above, below = main.split("Generate", 1)
     assert "Exchange" not in above and "Exchange hashpartitioning(id" in below
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_only_features_that_are_read_form_coalitions(table):
+    score = F.col("a") * F.col("c") + F.abs(F.col("c"))
+    background = attribution.background_rows(table, FEATURES, ["id"], 10)
+    whole, part = (
+        attribution.shapley_values(table, background, FEATURES, score, ["id"], reads)
+        for reads in (None, ["c", "a"])
+    )
+    assert part.dtypes == whole.dtypes
+    for got, expected in zip(sorted(part.collect()), sorted(whole.collect()), strict=True):
+        assert tuple(got) == pytest.approx(tuple(expected), abs=1e-9) and got["phi_b"] == 0.0
+    # A score of a feature that is said not to be read is an error.
+    with pytest.raises(AnalysisException):
+        attribution.shapley_values(table, background, FEATURES, score, ["id"], ["a"]).collect()

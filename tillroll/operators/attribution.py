@@ -63,6 +63,7 @@ def shapley_values(
     features: Sequence[str],
     scorer: Column | Scorer,
     keys: Sequence[str],
+    reads: Sequence[str] | None = None,
 ) -> DataFrame:
     """Score, base value and contribution of every feature, one row per row explained.
 
@@ -71,24 +72,29 @@ def shapley_values(
     :func:`background_rows`; its size is the caller's choice, and it becomes one array.
     A row costs two to the number of features times the distinct background rows.
 
+    ``reads`` names the features that the scorer reads, if not all: only those form coalitions,
+    as another one contributes exactly nothing. The scorer does not get to see the others.
+
     Rows are spread over all cores by key, and the variants of a row are made, scored
     and added up where the row is: the rows are shuffled, the variants never.
     Contributions of a row add up to its score minus the base value.
     """
     features, keys = list(features), list(keys)
-    n = len(features)
-    own = [f"_own{j}" for j in range(n)]
-    pool = background.agg(
+    played = [f for f in features if reads is None or f in reads]
+    n = len(played)
+    own = {f: f"_own{j}" for j, f in enumerate(features)}
+    idle = [own[f] for f in features if f not in played]
+    others = background.groupBy(*[F.col(f).cast("double").alias(f) for f in played]).agg(
+        F.sum("weight").alias("weight")
+    )
+    pool = others.agg(
         F.collect_list(
-            F.struct(
-                *[F.col(f).cast("double").alias(f"b{j}") for j, f in enumerate(features)],
-                F.col("weight"),
-            )
+            F.struct(*[F.col(f).alias(f"b{j}") for j, f in enumerate(played)], F.col("weight"))
         )
     ).scalar()
     variants = (
         spread(rows, *keys)
-        .select(*keys, *[F.col(f).cast("double").alias(o) for f, o in zip(features, own)])
+        .select(*keys, *[F.col(f).cast("double").alias(o) for f, o in own.items()])
         .withColumn("_pool", pool)
         .withColumn("_total", F.aggregate("_pool", F.lit(0).cast("long"), _add_weight))
         .withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2**n - 1))))
@@ -101,16 +107,17 @@ def shapley_values(
         )
         .select(
             *keys,
+            *idle,
             "_mask",
             "_total",
             F.when(F.col("_mask") == 2**n - 1, F.col("_total"))
             .otherwise(F.col("_other.weight"))
             .alias("_weight"),
             *[
-                F.when(F.col("_mask").bitwiseAND(F.lit(1 << j)) != 0, F.col(own[j]))
+                F.when(F.col("_mask").bitwiseAND(F.lit(1 << j)) != 0, F.col(own[f]))
                 .otherwise(F.col(f"_other.b{j}"))
                 .alias(f)
-                for j, f in enumerate(features)
+                for j, f in enumerate(played)
             ],
         )
     )
@@ -121,7 +128,10 @@ def shapley_values(
     every_own = F.col("_mask") == 2**n - 1
     none_own = F.col("_mask") == 0
 
-    def contribution(j: int) -> Column:
+    def contribution(f: str) -> Column:
+        if f not in played:
+            return F.lit(0.0)
+        j = played.index(f)
         weights = F.array(*[F.lit(w) for w in _weights(n, j)])
         weight = F.element_at(weights, F.col("_mask") + 1) * F.col("_weight")
         return F.sum(weight * F.col("score")) / F.max("_total")
@@ -131,8 +141,8 @@ def shapley_values(
         (F.sum(F.when(none_own, F.col("score") * F.col("_weight"))) / F.max("_total")).alias(
             "base_value"
         ),
-        *[F.max(F.when(every_own, F.col(f))).alias(f) for f in features],
-        *[contribution(j).alias(f"phi_{f}") for j, f in enumerate(features)],
+        *[F.max(F.when(every_own, F.col(f if f in played else own[f]))).alias(f) for f in features],
+        *[contribution(f).alias(f"phi_{f}") for f in features],
     )
 
 
