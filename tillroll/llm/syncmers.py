@@ -14,6 +14,8 @@ ANCHOR_CHARS = 8
 INNER_CHARS = 4
 # Anchors a fingerprint holds: those of least hash, spread evenly over the text.
 ANCHORS = 32
+# Ascending anchors that are looked at first for distinct ones.
+_FEW = 4 * ANCHORS
 # Code points by which places of common anchors may be shifted against each other.
 SLACK = 32
 # Long texts are read in pieces of that many code points.
@@ -85,16 +87,36 @@ def _all_anchors(text: Column, begin: Column, chars: Column) -> Column:
     )
 
 
-def _least(found: Column) -> Column:
-    """The ``ANCHORS`` distinct anchors of least hash, each with its first place, ascending."""
+def _first(ordered: Column, kept: Callable[[Column], Column] | None = None) -> Column:
+    """The ``ANCHORS`` first distinct of ascending anchors, of the ``kept`` ones if given.
 
-    def first(ordered: Column) -> Column:
-        distinct = F.filter(
-            ordered, lambda a, i: (i == 0) | (_hash_of(a) != _hash_of(F.get(ordered, i - 1)))
+    They mostly lie among the first few; where repeats leave too few there, all are looked at.
+    """
+
+    def distinct(part: Column) -> Column:
+        own = part if kept is None else F.filter(part, kept)
+        return _let(
+            own,
+            lambda all_: F.slice(
+                F.filter(
+                    all_, lambda a, i: (i == 0) | (_hash_of(a) != _hash_of(F.get(all_, i - 1)))
+                ),
+                1,
+                ANCHORS,
+            ),
         )
-        return F.slice(distinct, 1, ANCHORS)
 
-    return _let(F.sort_array(found), first)
+    return _let(
+        distinct(F.slice(ordered, 1, _FEW)),
+        lambda few: F.when(
+            (F.size(few) >= ANCHORS) | (F.size(ordered) <= _FEW), few
+        ).otherwise(distinct(ordered)),
+    )
+
+
+def _least(found: Column) -> Column:
+    """The ``ANCHORS`` distinct anchors of least hash, each with its first place, ascending."""
+    return _let(F.sort_array(found), lambda ordered: _first(ordered))
 
 
 def _or_whole(anchors: Column, text: Column) -> Column:
@@ -226,10 +248,10 @@ def edited_fingerprints(
     # Whole texts are read for anchors where they are scanned. What lies in the kept part belongs to
     # the edited text as well; only the seam and the new end are read again.
     both = _let(
-        _all_anchors(F.col("text"), F.lit(0), F.col("n_chars")),
-        lambda found: F.struct(
-            _or_whole(_least(found), F.col("text")).alias("anchors"),
-            _least(F.filter(found, lambda a: _place_of(a) + ANCHOR_CHARS <= kept)).alias("kept_anchors"),
+        F.sort_array(_all_anchors(F.col("text"), F.lit(0), F.col("n_chars"))),
+        lambda ordered: F.struct(
+            _or_whole(_first(ordered), F.col("text")).alias("anchors"),
+            _first(ordered, lambda a: _place_of(a) + ANCHOR_CHARS <= kept).alias("kept_anchors"),
         ),
     )
     texts = rows.groupBy("key").agg(F.first(F.struct("text", "n_chars", both.alias("of"))).alias("row"))
