@@ -48,7 +48,7 @@ DEMAND_GRID: Mapping[str, Sequence[Any]] = {"maxDepth": (5, 10), "numTrees": (20
 VALIDATION_FROM = 0.8
 # Rows of a partition to fit on, and the least number of partitions: the same on every cluster.
 _FIT_ROWS, _FIT_PARTITIONS = 1 << 18, 8
-# Rows remember their node of every tree while a forest grows, instead of walking to it at each level.
+# Customers remember their node of every tree while a forest grows, instead of walking to it at each level.
 _NODE_IDS: Mapping[str, Any] = {"cacheNodeIds": True, "checkpointInterval": -1}
 CHURN_FOREST: Mapping[str, Any] = {"numTrees": 60, "maxDepth": 8}
 
@@ -84,9 +84,9 @@ def fit_sales_forecast(daily: DataFrame, seed: int = SEED) -> Fitted:
 
 
 def demand_parts(
-    lines: DataFrame, fraction: float = 0.1, seed: int = SEED
+    lines: DataFrame, fraction: float = 1.0, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """The sampled training lines and all held-out lines, as inputs of the demand model.
+    """All training lines, or a ``fraction`` of them, and all held-out lines, as inputs of the demand model.
 
     Training lines are marked by their values: a fifth of them ``validates`` the points of a grid.
     """
@@ -117,14 +117,16 @@ def _held_out(marked: DataFrame) -> DataFrame:
 
 def fit_demand_model(
     lines: DataFrame,
-    fraction: float = 0.1,
+    fraction: float = 1.0,
     grid: Mapping[str, Sequence[Any]] = DEMAND_GRID,
     seed: int = SEED,
 ) -> Fitted:
-    """Random forest for units per line, tuned on a validation split of a training sample.
+    """Random forest for units per line, tuned on a validation split of the training lines.
 
     ``lines`` carry the calendar features. Every line is in the training or in the held-out part.
-    ``fraction`` bounds the training lines that are fitted; predictions are for all held-out lines.
+    Every training line is fitted, unless a ``fraction`` below 1 asks for a share of them; predictions
+    are for all held-out lines. Of a feature with more values than bins MLlib tries up to 31 thresholds,
+    which it takes from about 10,000 of the rows; every row is counted on either side of them.
     The source is read once: the inputs of both parts are kept by column in the checkpoint folder.
     Each grid point is fitted on the training lines that do not validate and judged by root mean
     square error on those that do, which their values decide; the best is refitted on all. The fit
@@ -136,9 +138,8 @@ def fit_demand_model(
         assemble(part, DEMAND_FEATURES, handle_invalid="skip")
         for part in (checkpointed(_fixed_order(_sampled(marked))), _held_out(marked))
     )
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol="Quantity", seed=seed, **_NODE_IDS
-    )
+    # No node ids: beside all lines they would take more memory than the lines themselves.
+    forest = RandomForestRegressor(featuresCol="features", labelCol="Quantity", seed=seed)
     points = ParamGridBuilder()
     for name, values in grid.items():
         points = points.addGrid(forest.getParam(name), list(values))
