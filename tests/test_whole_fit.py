@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import calendar, cleaning, forests, models
+from tillroll.plans import training
 from verification import queries
 
 GRID = {"maxDepth": [2], "numTrees": [3]}
@@ -57,3 +58,14 @@ def test_importances_are_of_a_forest_of_all_training_lines(spark, lines, monkeyp
     # A tree draws about as many rows as there are.
     roots = forests.forest_nodes(fitted.model, spark).where("node = 0").collect()
     assert all(r["weight"] == pytest.approx(fitted.train.count(), rel=0.25) for r in roots)
+
+
+def test_joint_predictions_come_from_a_whole_fit(lines, monkeypatch):
+    fits = []
+    fit = models.fit_demand_model
+    monkeypatch.setattr(training, "fit_demand_model", lambda *given: fits.append(fit(*given)) or fits[-1])
+    joint = training.model_predictions(lines, queries.HOLIDAYS, grid=GRID)
+    [fitted] = fits
+    scored = joint.where("model = 'random_forest'").count()
+    assert scored == fitted.predictions.count() > 0
+    assert fitted.train.count() + scored == lines.count()
